@@ -29,8 +29,13 @@ def lookup(mapping, key, default=None) -> Column:
     return chain if default is None else chain.otherwise(F.lit(default))
 
 
+def bind(value, body) -> Column:
+    """`body(value)` with `value` evaluated once, however often the body reads it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _without_marks(c):
-    return F.regexp_replace(_col(c), "[\u0001\u0002]", "")
+    return F.translate(_col(c), MARK + END, "")
 
 
 def demanded_years(text) -> Column:
@@ -41,14 +46,10 @@ def demanded_years(text) -> Column:
     its white space collapsed, which makes the phrase sit exactly one space before the mark.
     """
     marked = F.regexp_replace(_without_marks(text), FLAGS + fixed.YEARS_DEMANDED, MARK + "$0")
-    found = F.regexp_extract_all(
-        marked,
-        F.lit(FLAGS + "(?<!" + fixed.YEARS_AS_HISTORY + r"\s)" + MARK + fixed.YEARS_LEAD_IN
-              + r"(\d{1,2})"),
-        F.lit(1),
-    )
-    years = F.array_max(F.transform(found, lambda x: x.try_cast("int")))
-    return F.when(F.contains(marked, F.lit(MARK)), years)
+    asked = (FLAGS + MARK + "(?<!" + fixed.YEARS_AS_HISTORY + r"\s" + MARK + ")"
+             + fixed.YEARS_LEAD_IN + r"(\d{1,2})")
+    found = F.regexp_extract_all(marked, F.lit(asked), F.lit(1))
+    return F.array_max(F.transform(found, lambda x: x.try_cast("int")))
 
 
 def any_match_outside(text, pattern, reject, before, after, min_match_chars) -> Column:
@@ -59,35 +60,32 @@ def any_match_outside(text, pattern, reject, before, after, min_match_chars) ->
     `min_match_chars` characters, a bounded number of neighbouring pieces (cut to the window
     size) always covers the window, so the work is linear in the text.
     """
-    left_pieces = math.ceil(before / min_match_chars) + 1
-    right_pieces = math.ceil(after / min_match_chars) + 1
-    marked = F.regexp_replace(_without_marks(text), FLAGS + pattern, MARK + "$0" + END)
-    pieces = F.split(marked, MARK)
-    plain = F.transform(pieces, lambda p: F.replace(p, F.lit(END), F.lit("")))
-    cut = F.transform(
-        F.arrays_zip(pieces.alias("raw"), plain.alias("txt")),
-        lambda z: F.struct(
-            F.right(z["txt"], F.lit(before)).alias("tail"),
-            F.left(z["txt"], F.lit(after)).alias("head"),
-            F.substring_index(z["raw"], END, 1).alias("hit"),
-            F.left(F.substring_index(z["raw"], END, -1), F.lit(after)).alias("rest"),
-        ),
-    )
-
-    def window(all_cut, i):
-        # i is the 0-based position of the piece; pieces 0..i-1 lie left of it
-        start = F.greatest(i - left_pieces, F.lit(0)) + 1
-        left = F.array_join(F.transform(F.slice(all_cut, start, F.least(i, F.lit(left_pieces))),
-                                        lambda z: z["tail"]), "")
-        right = F.array_join(F.transform(F.slice(all_cut, i + 2, right_pieces),
-                                         lambda z: z["head"]), "")
-        here = all_cut[i]
-        return F.concat(
-            F.right(left, F.lit(before)), here["hit"],
-            F.left(F.concat(here["rest"], right), F.lit(after)),
+    reach_left = math.ceil(before / min_match_chars) + 1
+    reach_right = math.ceil(after / min_match_chars) + 1
+
+    def cut(piece):
+        plain = F.replace(piece, F.lit(END), F.lit(""))
+        return F.struct(
+            F.right(plain, F.lit(before)).alias("tail"),
+            F.left(plain, F.lit(after)).alias("head"),
+            F.substring_index(piece, END, 1).alias("hit"),
+            F.left(F.substring_index(piece, END, -1), F.lit(after)).alias("rest"),
         )
 
-    verdicts = F.transform(
-        cut, lambda _, i: (i > 0) & ~F.coalesce(matches(window(cut, i), reject), F.lit(False))
-    )
-    return F.when(F.contains(marked, F.lit(MARK)), F.exists(verdicts, lambda v: v)).otherwise(False)
+    def window(pieces, i):
+        # pieces[0] is the text before the first match; pieces[i] starts with match i
+        lefts = F.slice(pieces, F.greatest(i - reach_left, F.lit(0)) + 1,
+                        F.least(i, F.lit(reach_left)))
+        left = F.array_join(F.transform(lefts, lambda z: z["tail"]), "")
+        right = F.array_join(
+            F.transform(F.slice(pieces, i + 2, reach_right), lambda z: z["head"]), "")
+        return F.concat(F.right(left, F.lit(before)), pieces[i]["hit"],
+                        F.left(F.concat(pieces[i]["rest"], right), F.lit(after)))
+
+    def some_free(pieces):
+        free = F.exists(F.sequence(F.lit(1), F.size(pieces) - 1),
+                        lambda i: ~matches(window(pieces, i), reject))
+        return F.when(F.size(pieces) > 1, free).otherwise(False)
+
+    marked = F.regexp_replace(_without_marks(text), FLAGS + pattern, MARK + "$0" + END)
+    return bind(F.transform(F.split(marked, MARK), cut), some_free)
