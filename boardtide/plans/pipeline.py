@@ -1,0 +1,64 @@
+"""The three runs: land payloads, rebuild the curated tables, serve readers."""
+
+from pyspark.sql import functions as F
+
+from boardtide import schema
+from boardtide.operators import packing, reports, select
+from boardtide.operators.curate import build_tables
+from boardtide.operators.lifecycle import compute_lifecycle
+from boardtide.sources import registry as dims, snapshots
+from boardtide.sources.payloads import normalise
+
+
+def ingest(spark, root, landed, platform, date, **options):
+    """Normalise one platform's landed payloads and replace that day's partition."""
+    postings, outcomes = normalise(platform, landed, **options)
+    snapshots.write_snapshot(spark, root, platform, date, postings, outcomes)
+
+
+def rebuild(spark, root, out, registry, aliases, overrides, **options):
+    """Write the curated and candidate tables from the snapshot store; returns the date."""
+    latest = snapshots.latest_snapshot_date(spark, root)
+    if latest is None:
+        raise RuntimeError("no snapshots on disk; ingest first")
+    current = snapshots.as_postings(snapshots.read_newest(spark, root, latest))
+    lifecycle = compute_lifecycle(*snapshots.read_history(spark, root))
+    curated, candidates, _ = build_tables(
+        current, lifecycle, registry, aliases, overrides, latest, **options)
+    curated.hint("rebalance").write.mode("overwrite").parquet(f"{out}/postings")
+    candidates.write.mode("overwrite").parquet(f"{out}/candidates")
+    return latest
+
+
+def rebuild_from_files(spark, root, out, registry_csv, aliases_csv, overrides_csv, **options):
+    return rebuild(spark, root, out, dims.load_registry(spark, registry_csv),
+                   dims.load_aliases(spark, aliases_csv), dims.load_overrides(spark, overrides_csv),
+                   **options)
+
+
+def read_curated(spark, out):
+    fs_ok = snapshots._fs(spark, f"{out}/postings")
+    if not fs_ok[0].exists(fs_ok[1]):
+        return spark.createDataFrame([], schema.CURATED)
+    return spark.read.schema(schema.CURATED).parquet(f"{out}/postings")
+
+
+def serve(curated, subscriptions, sent, snapshot_date):
+    """(messages, new sent state) for all active subscribers."""
+    from boardtide.sources.state import active_subscriptions
+
+    matches = select.match_subscribers(select.notifiable(curated),
+                                       active_subscriptions(subscriptions))
+    due = select.unsent(matches, sent)
+    return (packing.render_digest(due, snapshot_date),
+            select.record_sent(sent, due, curated))
+
+
+def health(outcomes, curated, candidates):
+    """The frames behind the daily report."""
+    return {
+        "platforms": reports.platform_health(outcomes),
+        "failures": reports.read_failures(outcomes),
+        "statuses": reports.status_counts(curated),
+        "candidates": candidates.orderBy(F.desc("postings"), "employer"),
+    }
