@@ -7,8 +7,10 @@ from boardtide.functions.text import FLAGS, _col, matches
 
 
 def host_of(url) -> Column:
-    """Lower-case host; null when the URL has none."""
-    return F.lower(F.try_parse_url(_col(url), F.lit("HOST")))
+    """Lower-case host; null when the URL has none.  Unescaped characters later on are fine."""
+    host = F.regexp_extract(
+        _col(url), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)
+    return F.lower(F.nullif(host, F.lit("")))
 
 
 def path_of(url) -> Column:
