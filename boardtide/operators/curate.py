@@ -26,26 +26,24 @@ def curate(postings, registry, lifecycle, overrides, snapshot_date, place=fixed.
                             "status")
     rows = classified.join(life, lifecycle_key, "left")
     extra = lambda name: F.col(f"extra.{name}")
-    return schema.conform(rows.select(
-        "*",
-        F.coalesce("_name", text.none_if_empty(extra("employer_name")), "firm_id")
-        .alias("firm_name"),
-        F.coalesce("_tier", F.lit(0)).alias("tier"),
-        (text.mentions_place("location_raw", place=place)
-         | (F.col("source_platform") == fixed.PORTAL_PLATFORM)).alias("is_singapore"),
-        F.coalesce("status", F.lit("open")).alias("_status"),
-        F.coalesce(extra("mcf_job_id"), F.lit("")).alias("mcf_job_id"),
-        extra("salary_min").try_cast("double").alias("salary_min"),
-        extra("salary_max").try_cast("double").alias("salary_max"),
-        F.left("description_text", F.lit(fixed.DESCRIPTION_CAP)).alias("_body"),
-        F.lit(snapshot_date).cast("date").alias("snapshot_date"),
-    ).drop("status", "description_text").withColumnsRenamed(
-        {"_status": "status", "_body": "description_text"}), schema.CURATED)
+    place_named = text.mentions_place("location_raw", place=place)
+    return schema.conform(rows.withColumns({
+        "firm_name": F.coalesce("_name", text.none_if_empty(extra("employer_name")), "firm_id"),
+        "tier": F.coalesce("_tier", F.lit(0)),
+        "is_singapore": place_named | (F.col("source_platform") == fixed.PORTAL_PLATFORM),
+        "status": F.coalesce("status", F.lit("open")),
+        "mcf_job_id": F.coalesce(extra("mcf_job_id"), F.lit("")),
+        "salary_min": extra("salary_min").try_cast("double"),
+        "salary_max": extra("salary_max").try_cast("double"),
+        "description_text": F.left("description_text", F.lit(fixed.DESCRIPTION_CAP)),
+        "snapshot_date": F.lit(snapshot_date).cast("date"),
+    }), schema.CURATED)
 
 
-def build_tables(postings, lifecycle, registry, aliases, overrides, snapshot_date, **options):
+def build_tables(postings, lifecycle, registry, aliases, overrides, snapshot_date, stage=None,
+                 **options):
     """(curated, candidates, merged) from the newest postings and a computed lifecycle."""
-    merged = merge_sources(postings, registry, aliases)
+    merged = merge_sources(postings, registry, aliases, **({"stage": stage} if stage else {}))
     curated = curate(merged.postings, registry, lifecycle, overrides, snapshot_date, **options)
     written = summarise_candidates(merged.candidates, top=fixed.CANDIDATES_WRITTEN)
     return curated, schema.conform(written, schema.CANDIDATES), merged

@@ -25,11 +25,16 @@ class Merged:
     resolutions: DataFrame   # job_key, firm_id, basis, score of every portal row
 
 
+def _as_is(df, name):
+    return df
+
+
 def find_twins(portal, boards, order, threshold=fixed.TITLE_MATCH_THRESHOLD,
-               window=fixed.MERGE_WINDOW_DAYS):
+               window=fixed.MERGE_WINDOW_DAYS, stage=_as_is):
     """Add `twin_key`: the first board row of the same firm with a similar title and close date.
 
     `portal` and `boards` carry firm_id, title, posted_date; `boards` also job_key and `order`.
+    `stage(df, name)` may store the lookup, which is small and read more than once.
     Both sides shrink to distinct (firm, title, day) before they meet, titles are matched once
     per pair of distinct titles, and the date window becomes an equi-join on the day: a group of
     identical copies costs one row however large it is.
@@ -59,6 +64,7 @@ def find_twins(portal, boards, order, threshold=fixed.TITLE_MATCH_THRESHOLD,
              .groupBy("firm_id", "t", "posted_date").agg(F.min("best").alias("best"))
              .select(F.col("firm_id").alias("f"), "t", F.col("posted_date").alias("d"),
                      F.col("best.twin_key").alias("twin_key")))
+    twins = stage(twins, "twins")
     match = ((F.col("firm_id") == F.col("f")) & (F.lower("title") == F.col("t"))
              & F.col("posted_date").eqNullSafe(F.col("d")))
     return portal.join(twins, match, "left").drop("f", "t", "d")
@@ -83,9 +89,11 @@ def enrich(boards, folded, order):
 
 
 def merge_sources(postings, registry, aliases, order=("source_platform", "job_key"),
-                  portal=fixed.PORTAL_PLATFORM):
+                  portal=fixed.PORTAL_PLATFORM, stage=_as_is):
     """Split board and portal rows, resolve the portal's employers, fold duplicates together.
 
+    The resolved names and the twins feed several branches; with `stage` they are computed once.
+
     A portal row without a twin is kept under the resolved firm, so its key changes; the key it
     was stored under stays in `raw_job_key`.
     """
@@ -96,9 +104,9 @@ def merge_sources(postings, registry, aliases, order=("source_platform", "job_ke
         "*", F.coalesce("extra.employer_name", F.lit("")).alias("_employer"),
         text.strip(F.coalesce("extra.uen", F.lit(""))).alias("_uen"))
 
-    known = resolve_employers(
+    known = stage(resolve_employers(
         sweep.select(F.col("_employer").alias("employer_name"), F.col("_uen").alias("uen")),
-        registry, aliases)
+        registry, aliases), "employers")
     resolved = sweep.join(known.select(
         F.col("employer_name").alias("_employer"), F.col("uen").alias("_uen"),
         F.col("firm_id").alias("_firm"), "basis", "score"), ["_employer", "_uen"], "left")
@@ -106,7 +114,7 @@ def merge_sources(postings, registry, aliases, order=("source_platform", "job_ke
     candidates = resolved.filter(F.col("_firm").isNull()).select(*rows.columns)
     owned = resolved.filter(F.col("_firm").isNotNull()).select(
         *[F.col("_firm").alias(c) if c == "firm_id" else F.col(c) for c in rows.columns])
-    twinned = find_twins(owned, boards, order)
+    twinned = find_twins(owned, boards, order, stage=stage)
     folded = twinned.filter(F.col("twin_key").isNotNull())
     alone = twinned.filter(F.col("twin_key").isNull()).drop("twin_key").withColumn(
         "job_key", text.job_key("source_platform", "firm_id", "external_id"))

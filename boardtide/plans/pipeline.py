@@ -6,6 +6,7 @@ from boardtide import schema
 from boardtide.operators import packing, reports, select
 from boardtide.operators.curate import build_tables
 from boardtide.operators.lifecycle import compute_lifecycle
+from boardtide.session import table_stage
 from boardtide.sources import registry as dims, snapshots
 from boardtide.sources.payloads import normalise
 
@@ -24,7 +25,8 @@ def rebuild(spark, root, out, registry, aliases, overrides, **options):
     current = snapshots.as_postings(snapshots.read_newest(spark, root, latest))
     lifecycle = compute_lifecycle(*snapshots.read_history(spark, root))
     curated, candidates, _ = build_tables(
-        current, lifecycle, registry, aliases, overrides, latest, **options)
+        current, lifecycle, registry, aliases, overrides, latest, stage=table_stage(spark),
+        **options)
     curated.hint("rebalance").write.mode("overwrite").parquet(f"{out}/postings")
     candidates.write.mode("overwrite").parquet(f"{out}/candidates")
     return latest

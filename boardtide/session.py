@@ -1,6 +1,7 @@
 """Session helpers: settings the operators rely on, and size-checked broadcasting."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession, functions as F
 
@@ -44,3 +45,17 @@ def broadcast_if_small(df, max_rows=BROADCAST_ROWS):
     """
     few = df.select(F.lit(1).alias("one")).limit(max_rows + 1).count() <= max_rows
     return F.broadcast(df) if few else df
+
+
+def table_stage(spark):
+    """A `stage(df, name)` that writes `df` to the shared folder and reads it back.
+
+    The stored table survives the loss of executors, and branches that share it do not compute
+    it again.
+    """
+    base = f"{checkpoint_root(spark)}/stage-{uuid.uuid4().hex}"
+
+    def stage(df, name):
+        df.write.parquet(f"{base}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{base}/{name}")
+    return stage
