@@ -9,7 +9,7 @@ ways, and each leaves a trace to join on:
   (subsets are the case with nothing uncovered).
 * by small edits between the differing parts.  k insertions and deletions keep at least
   (|p|+|a|)/2 + 1 - 1.5k of the padded character pairs, so both titles must agree on one pair
-  among their rarest ones (prefix filtering).
+  among their rarest ones (prefix filtering over the distinct pairs).
 
 Rarity is only an order; any order gives the same result, rarer-first gives the fewest
 candidates.  All joins are equi-joins on (block, token) or (block, pair), which AQE can split
@@ -21,73 +21,65 @@ from pyspark.sql import functions as F, Window as W
 
 from boardtide.functions.similarity import token_set_ratio
 
-
-def _words(c):
-    return F.array_distinct(F.filter(F.split(c, r"(?U)[\s\x{1C}-\x{1F}]+"), lambda w: w != ""))
-
-
-def _described(df, block, text):
-    """Distinct titles per block with their token array and joined length."""
-    out = df.select(F.col(block).alias("block"), F.col(text).alias("title")).distinct()
-    out = out.withColumn("words", F.array_sort(_words(F.col("title"))))
-    return out.withColumn("len", F.length(F.array_join("words", " "))).filter(F.col("len") > 0)
-
-
-def _rarest_first(items, both, budget):
-    """Number the items of each title from its rarest on (rarity over both sides)."""
-    freq = both.groupBy("item").agg(F.count("*").alias("freq"))
-    w = W.partitionBy("block", "title").orderBy("freq", "item")
-    return items.join(freq, "item").withColumn("before", budget(w))
-
-
-def _tokens(titles):
-    return titles.select("block", "title", "len", F.explode("words").alias("item"))
-
-
-def _pairs_of(word):
-    """Padded character pairs of a word, numbered when they repeat."""
-    padded = F.concat(F.lit(" "), word, F.lit(" "))
-    return F.transform(F.sequence(F.lit(1), F.length(padded) - 1),
-                       lambda i: F.substring(padded, i, F.lit(2)))
-
-
-def _grams(titles):
-    grams = titles.select("block", "title", "len",
-                          F.explode(F.flatten(F.transform("words", _pairs_of))).alias("g"))
-    counted = grams.groupBy("block", "title", "len", "g").agg(F.count("*").alias("times"))
-    return counted.select("block", "title", "len", F.explode(F.sequence(
-        F.lit(1), F.col("times"))).alias("nth"), "g").select(
-        "block", "title", "len", F.concat("g", F.col("nth").cast("string")).alias("item"))
-
-
-def similar_titles(left, right, block, text, threshold):
-    """Distinct (block, title_left, title_right, score) with score >= threshold."""
-    lt, rt = _described(left, block, text), _described(right, block, text)
-    hit = lambda a, b: a.select("block", F.col("title").alias("tl"), "item").join(
-        b.select("block", F.col("title").alias("tr"), "item"), ["block", "item"]
-    ).select("block", "tl", "tr")
-
-    words_l, words_r = _tokens(lt), _tokens(rt)
-    words = words_l.select("item").unionByName(words_r.select("item"))
-    uncovered = 1 - threshold / (200.0 - threshold)
-    size_before = lambda w: F.coalesce(F.sum(F.length("item") + 1).over(
-        w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    signature = lambda items: _rarest_first(items, words, size_before).filter(
-        F.col("before") <= uncovered * F.col("len") + 1e-9)
-
-    grams_l, grams_r = _grams(lt), _grams(rt)
-    grams = grams_l.select("item").unionByName(grams_r.select("item"))
+KEYS = ["block", "kind", "item"]
+
+
+def _pairs(words):
+    """Distinct padded character pairs of all words."""
+    return F.array_distinct(F.flatten(F.transform(words, lambda w: F.transform(
+        F.sequence(F.lit(1), F.length(w) + 1),
+        lambda i: F.substring(F.concat(F.lit(" "), w, F.lit(" ")), i, F.lit(2))))))
+
+
+def _items(left, right, block, text):
+    """One row per side, title and item, where an item is a token ("t") or a pair ("p")."""
+    sides = left.select(F.lit(0).alias("side"), F.col(block).alias("block"), F.col(text).alias("title"))
+    sides = sides.unionByName(right.select(
+        F.lit(1).alias("side"), F.col(block).alias("block"), F.col(text).alias("title"))).distinct()
+    words = F.array_sort(F.array_distinct(F.filter(
+        F.split("title", r"(?U)[\s\x{1C}-\x{1F}]+"), lambda w: w != "")))
+    titles = sides.withColumn("words", words).withColumn(
+        "len", F.length(F.array_join("words", " "))).filter(F.size("words") > 0)
+    titles = titles.withColumn("grams", _pairs(F.col("words")))
+    row = lambda kind, item, size: F.struct(
+        F.lit(kind).alias("kind"), item.alias("item"), size.alias("size"))
+    return titles.select("side", "block", "title", "len", F.inline(F.concat(
+        F.transform("words", lambda w: row("t", w, F.length(w) + 1)),
+        F.transform("grams", lambda g: row("p", g, F.lit(1))))))
+
+
+def _ranked(items, threshold):
+    """Keep all tokens and the deciding pairs, with `rare` on those that must meet a partner."""
+    freq = items.groupBy("kind", "item").agg(F.count("*").alias("freq"))
+    order = W.partitionBy("side", "block", "title", "kind").orderBy("freq", "item")
+    before = F.coalesce(F.sum("size").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     edit = (100.0 - threshold) / 100.0
-    keep_share = (0.5 - 1.5 * edit) * 2 / (1 + edit)
-    rank = lambda w: F.row_number().over(w) - 1
-    # pairs kept by any partner: ceil(keep_share * len + 1); a title has len + 1 pairs
-    prefix = lambda items: _rarest_first(items, grams, rank).filter(
-        F.col("before") <= F.col("len") + 1 - F.greatest(
-            F.ceil(F.lit(keep_share) * F.col("len") + 1 - 1e-9), F.lit(1)))
-
-    candidates = (hit(signature(words_l), words_r).unionByName(hit(words_l, signature(words_r)))
-                  .unionByName(hit(prefix(grams_l), prefix(grams_r))).distinct())
-    return (candidates.withColumn("score", token_set_ratio("tl", "tr"))
-            .filter(F.col("score") >= threshold)
-            .select(F.col("block").alias(block), F.col("tl").alias("title_left"),
-                    F.col("tr").alias("title_right"), "score"))
+    # a partner keeps at least this share of a title's len + 1 pairs, plus one; a pair that
+    # occurs m times is one item and counts for m, so len + 1 - kept + 1 distinct items suffice
+    kept = F.ceil(F.lit((0.5 - 1.5 * edit) * 2 / (1 + edit)) * F.col("len") + 1 - 1e-9)
+    # the rest that shared tokens may leave uncovered
+    uncovered = F.lit(1 - threshold / (200.0 - threshold)) * F.col("len") + 1e-9
+    rare = F.when(F.col("kind") == "t", F.col("before") <= uncovered).otherwise(
+        F.col("before") <= F.col("len") + 1 - F.greatest(kept, F.lit(1)))
+    return (items.join(freq, ["kind", "item"]).withColumn("before", before)
+            .select("side", "block", "title", "kind", "item", rare.alias("rare"))
+            .filter((F.col("kind") == "t") | F.col("rare")))
+
+
+def similar_titles(left, right, block, text, threshold, stage=lambda df, name: df):
+    """Distinct (block, title_left, title_right, score) with score >= threshold.
+
+    `stage(df, name)` may store the ranked items, which several joins read.
+    """
+    ranked = stage(_ranked(_items(left, right, block, text), threshold), "title_items")
+    side = lambda n, name, keep: ranked.filter((F.col("side") == n) & keep).select(
+        *KEYS, F.col("title").alias(name))
+    rare = F.col("rare")
+    # common x common is the one combination that never needs to meet
+    met = side(0, "tl", rare).join(side(1, "tr", F.lit(True)), KEYS).select("block", "tl", "tr")
+    met = met.unionByName(
+        side(0, "tl", ~rare).join(side(1, "tr", rare), KEYS).select("block", "tl", "tr"))
+    scored = met.distinct().withColumn("score", token_set_ratio("tl", "tr"))
+    return scored.filter(F.col("score") >= threshold).select(
+        F.col("block").alias(block), F.col("tl").alias("title_left"),
+        F.col("tr").alias("title_right"), "score")

@@ -43,15 +43,16 @@ def find_twins(portal, boards, order, threshold=fixed.TITLE_MATCH_THRESHOLD,
     best = F.min(F.struct(*order, F.col("job_key").alias("twin_key"))).alias("best")
     by_day = boards.select("firm_id", low, "posted_date", "job_key", *[
         c for c in order if c != "job_key"]).groupBy("firm_id", "t", "posted_date").agg(best)
+    by_day = stage(by_day, "board_days")
     dated = by_day.select("firm_id", F.col("t").alias("title_right"), F.coalesce(
         F.col("posted_date").cast("string"), F.lit(UNDATED)).alias("bucket"), "best")
     ever = (by_day.groupBy("firm_id", F.col("t").alias("title_right"))
             .agg(F.min("best").alias("best"))
             .select("firm_id", "title_right", F.lit(ANY).alias("bucket"), "best"))
 
-    asked = portal.select("firm_id", low, "posted_date").distinct()
+    asked = stage(portal.select("firm_id", low, "posted_date").distinct(), "portal_days")
     pairs = similar_titles(asked.select("firm_id", "t"), by_day.select("firm_id", "t"),
-                           "firm_id", "t", threshold)
+                           "firm_id", "t", threshold, stage)
     days = F.transform(
         F.sequence(F.date_sub("posted_date", window), F.date_add("posted_date", window)),
         lambda d: d.cast("string"))

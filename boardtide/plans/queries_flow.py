@@ -11,6 +11,7 @@ from boardtide.operators import (
 from boardtide.plans.bindings import (
     BASE, EV, EV_SQL, ROWS, ROWS_SQL, WISHES_SQL, OrdersWithCustomers, ev_outcomes, query,
     subscriptions, table)
+from boardtide.session import table_stage
 from boardtide.sources import registry as dims, state
 
 # --- employer resolution --------------------------------------------------------------------
@@ -144,12 +145,12 @@ kept AS (SELECT b.board_key AS job_key, b.board_key AS raw_job_key, b.firm AS fi
 
 @query("merge_twins", MERGE_SQL + "SELECT raw_key AS job_key, twin_key FROM m WHERE twin_key IS NOT NULL")
 def merge_twins(spark, sf_dir):
-    return merge.merge_sources(*_merge_inputs(spark, sf_dir)).folded.select("job_key", "twin_key")
+    return merge.merge_sources(*_merge_inputs(spark, sf_dir), stage=table_stage(spark)).folded.select("job_key", "twin_key")
 
 
 @query("merge_kept", MERGE_SQL + "SELECT job_key, raw_job_key, firm_id, mcf_job_id, salary_min FROM kept")
 def merge_kept(spark, sf_dir):
-    kept = merge.merge_sources(*_merge_inputs(spark, sf_dir)).postings
+    kept = merge.merge_sources(*_merge_inputs(spark, sf_dir), stage=table_stage(spark)).postings
     return kept.select("job_key", "raw_job_key", "firm_id",
                        F.coalesce("extra.mcf_job_id", F.lit("")).alias("mcf_job_id"),
                        F.col("extra.salary_min").try_cast("double").alias("salary_min"))
@@ -159,17 +160,17 @@ def merge_kept(spark, sf_dir):
 SELECT 'merged', count(*) FROM t UNION ALL
 SELECT 'candidates', count(*) FROM o WHERE o_orderstatus = 'O' AND n_regionkey >= 4""")
 def pipeline_counters(spark, sf_dir):
-    return reports.pipeline_counters(merge.merge_sources(*_merge_inputs(spark, sf_dir)))
+    return reports.pipeline_counters(merge.merge_sources(*_merge_inputs(spark, sf_dir), stage=table_stage(spark)))
 
 
 @query("candidates_topn", MERGE_SQL + """SELECT employer, count(*) AS postings FROM o
 WHERE o_orderstatus = 'O' AND n_regionkey >= 4 GROUP BY 1""")
 def candidates_topn(spark, sf_dir):
-    merged = merge.merge_sources(*_merge_inputs(spark, sf_dir))
+    merged = merge.merge_sources(*_merge_inputs(spark, sf_dir), stage=table_stage(spark))
     return merge.summarise_candidates(merged.candidates, top=fixed.CANDIDATES_WRITTEN)
 
 
-@query("curated_table", MERGE_SQL + """SELECT job_key, firm_id, 'Nation_' || n_nationkey || ' Bank' AS firm_name,
+@query("curated_table", MERGE_SQL + """SELECT kept.job_key, firm_id, 'Nation_' || n_nationkey || ' Bank' AS firm_name,
   CASE WHEN n_regionkey = 1 THEN 'consulting' ELSE 'bank' END AS sector, n_regionkey + 1 AS tier, title,
   CASE WHEN portal THEN 'mcf' ELSE 'lever' END AS source_platform,
   portal OR c_acctbal > 0 AS is_singapore, d AS posted_date, li.fs AS first_seen, li.ls AS last_seen,
@@ -198,7 +199,8 @@ def curated_table(spark, sf_dir):
         F.when(F.col("o_orderstatus") == "F", "closed").otherwise("reposted").alias("status"))
     overrides = orders.filter("o_totalprice > 490000").select(
         key("mcf"), F.lit("legal").alias("job_family"))
-    table_, _, _ = curate.build_tables(rows, life, registry, aliases, overrides, dt.date(2001, 8, 1))
+    table_, _, _ = curate.build_tables(rows, life, registry, aliases, overrides, dt.date(2001, 8, 1),
+                                        stage=table_stage(spark))
     return table_.select(
         "job_key", "firm_id", "firm_name", "sector", "tier", "title", "source_platform", "is_singapore",
         "posted_date", "first_seen", "last_seen", "status", "job_family", "is_grad", "grad_basis",
