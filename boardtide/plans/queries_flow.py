@@ -170,8 +170,9 @@ def candidates_topn(spark, sf_dir):
     return merge.summarise_candidates(merged.candidates, top=fixed.CANDIDATES_WRITTEN)
 
 
-@query("curated_table", MERGE_SQL + """SELECT kept.job_key, firm_id, 'Nation_' || n_nationkey || ' Bank' AS firm_name,
-  CASE WHEN n_regionkey = 1 THEN 'consulting' ELSE 'bank' END AS sector, n_regionkey + 1 AS tier, title,
+@query("curated_table", MERGE_SQL + """SELECT kept.job_key, firm_id, CASE WHEN n_regionkey < 4 THEN 'Nation_' || n_nationkey
+    || ' Bank' ELSE firm_id END AS firm_name, CASE WHEN n_regionkey = 1 THEN 'consulting' WHEN n_regionkey < 4 THEN 'bank'
+    ELSE '' END AS sector, CASE WHEN n_regionkey < 4 THEN n_regionkey + 1 ELSE 0 END AS tier, title,
   CASE WHEN portal THEN 'mcf' ELSE 'lever' END AS source_platform,
   portal OR c_acctbal > 0 AS is_singapore, d AS posted_date, li.fs AS first_seen, li.ls AS last_seen,
   coalesce(li.status, 'open') AS status,
