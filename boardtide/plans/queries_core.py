@@ -46,7 +46,7 @@ def lifecycle_table(spark, sf_dir):
 
 
 @query("lifecycle_status", LIFECYCLE_SQL
-       + "SELECT status, count(*) AS postings, sum(times_seen) AS sightings FROM life GROUP BY 1")
+       + "SELECT status, count(*) AS postings, CAST(sum(times_seen) AS BIGINT) AS sightings FROM life GROUP BY 1")
 def lifecycle_status(spark, sf_dir):
     return (lifecycle_table(spark, sf_dir).groupBy("status")
             .agg(F.count("*").alias("postings"), F.sum("times_seen").alias("sightings")))

@@ -172,7 +172,7 @@ def candidates_topn(spark, sf_dir):
 
 @query("curated_table", MERGE_SQL + """SELECT kept.job_key, firm_id, CASE WHEN n_regionkey < 4 THEN 'Nation_' || n_nationkey
     || ' Bank' ELSE firm_id END AS firm_name, CASE WHEN n_regionkey = 1 THEN 'consulting' WHEN n_regionkey < 4 THEN 'bank'
-    ELSE '' END AS sector, CASE WHEN n_regionkey < 4 THEN n_regionkey + 1 ELSE 0 END AS tier, title,
+    ELSE '' END AS sector, CAST(CASE WHEN n_regionkey < 4 THEN n_regionkey + 1 ELSE 0 END AS BIGINT) AS tier, title,
   CASE WHEN portal THEN 'mcf' ELSE 'lever' END AS source_platform,
   portal OR c_acctbal > 0 AS is_singapore, d AS posted_date, li.fs AS first_seen, li.ls AS last_seen,
   coalesce(li.status, 'open') AS status,
@@ -279,7 +279,7 @@ def digest_messages(spark, sf_dir):
     return packing.render_digest(_matches(spark, sf_dir), "2001-08-01")
 
 
-@query("digest_totals", _MATCH + """SELECT chat_id, count(*) AS lines, true AS fits, 1 AS first_no
+@query("digest_totals", _MATCH + """SELECT chat_id, count(*) AS lines, true AS fits, CAST(1 AS BIGINT) AS first_no
 FROM matched GROUP BY 1""")
 def digest_totals(spark, sf_dir):
     """Every matching role is in exactly one message and no message is too long."""
