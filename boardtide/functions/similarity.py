@@ -68,7 +68,9 @@ def _batched(score):
             [None if x is None or y is None else score(x, y) for x, y in zip(a, b)],
             dtype="float64",
         )
-    return F.pandas_udf(run, DoubleType())
+    # declared non-deterministic so that a filter on the score is not pushed below the step that
+    # removes duplicate pairs, and the score is not computed again for every place that reads it
+    return F.pandas_udf(run, DoubleType()).asNondeterministic()
 
 
 ratio = _batched(_ratio)

@@ -63,11 +63,18 @@ def clean_text(c) -> Column:
 
 
 @F.pandas_udf(StringType())
-def unescape_html(values: pd.Series) -> pd.Series:
-    """Full HTML entity decoding, batched over Arrow (no built-in function covers it)."""
+def _unescape(values: pd.Series) -> pd.Series:
     return values.map(html.unescape, na_action="ignore")
 
 
+def unescape_html(c) -> Column:
+    """Full HTML entity decoding, batched over Arrow (no built-in function covers it).
+
+    Non-deterministic to the planner only, so that later filters do not run it a second time.
+    """
+    return _unescape.asNondeterministic()(_col(c))
+
+
 def tag_text(fragment) -> Column:
     """Visible text of an HTML fragment."""
     return strip(collapse(unescape_html(strip_tags(fragment))))

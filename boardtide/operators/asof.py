@@ -1,6 +1,6 @@
 """As-of selection on any table that carries a source and a date."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, Window as W
 
 
 def newest_per_source(df, cutoff=None, source="source", date="snapshot_date"):
@@ -15,13 +15,10 @@ def newest_per_source(df, cutoff=None, source="source", date="snapshot_date"):
 
 
 def first_wins(df, keys, order):
-    """One row per key: the first in `order` (a list of columns that ends in a unique one).
+    """One row per key: the first in `order` (columns that end in a unique one).
 
-    A minimum over a struct combines before the shuffle, so a hot key sends one row per task
-    instead of all of its copies.
+    Ranking with a limit of one keeps a single row per key and task before the shuffle, so a
+    hot key never ships its copies.
     """
-    rest = [c for c in df.columns if c not in keys]
-    ranked = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-                      F.struct(*rest).alias("_row"))
-    return (df.groupBy(*keys).agg(F.min(ranked).alias("_best"))
-            .select(*keys, "_best._row.*").select(*df.columns))
+    w = W.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).drop("_rank")

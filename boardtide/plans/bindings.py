@@ -23,6 +23,16 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df):
+    """Share a scan that has fewer splits than cores among all of them.
+
+    For inputs whose rows cost much more than their bytes; a large table has enough splits and
+    is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 class Binding:
     def __init__(self, origin, /, **exprs):
         self.origin, self.exprs = origin, exprs

@@ -9,7 +9,7 @@ from boardtide import fixed, schema
 from boardtide.functions import dates, names, rules, text, urls
 from boardtide.operators import asof, classify, lifecycle, reports
 from boardtide.plans.bindings import (
-    BODIES, EV, EV_SQL, PART, ev_outcomes, query, table)
+    BODIES, EV, EV_SQL, PART, ev_outcomes, query, spread, table)
 from boardtide.session import checkpoint_root
 from boardtide.sources import snapshots
 
@@ -212,7 +212,7 @@ ROLE_SQL = ("CASE WHEN NOT is_grad THEN 'Not graduate' WHEN is_internship THEN '
 
 
 def _graded(spark, sf_dir):
-    part = PART.frame(spark, sf_dir).withColumns({
+    part = spread(PART.frame(spark, sf_dir)).withColumns({
         "_levels": text.split_pipe("levels"), "_types": text.split_pipe("types")})
     return classify.grad_verdict(part, min_years="min_years", position_levels="_levels",
                                  employment_types="_types", experience_level="experience_level")
@@ -243,7 +243,7 @@ _CONF_SQL = ("CAST(CASE family_basis " + " ".join(
 @query("job_family", FAMILY_SQL + f"""SELECT p_partkey, title, job_family, {_GROUP_SQL} AS family_group,
   {_CONF_SQL} AS family_confidence, family_basis FROM fam""")
 def job_family(spark, sf_dir):
-    return classify.family_verdict(PART.frame(spark, sf_dir)).select(
+    return classify.family_verdict(spread(PART.frame(spark, sf_dir))).select(
         "p_partkey", "title", "job_family", "family_group", "family_confidence", "family_basis")
 
 
@@ -276,7 +276,7 @@ CONTEXT_SQL = "SELECT doc_id, CASE source " + " ".join(
 def find_in_context(spark, sf_dir):
     """Whole documents with a clause appended by source: years asked, graduates invited."""
     clause = rules.lookup({s: BODIES[i][1] for s, i in _BY_SOURCE.items()}, F.col("source"))
-    body = table(spark, sf_dir, "documents").select(
+    body = spread(table(spark, sf_dir, "documents")).select(
         "doc_id", text.clean_text(F.concat("text", F.lit(". "), clause)).alias("body"))
     return body.select(
         "doc_id", rules.demanded_years("body").alias("years"),
@@ -318,7 +318,7 @@ def _clean_sql(c):
   substr({_clean_sql('html')}, 1, {fixed.FAMILY_BODY_CHARS}) AS lead,
   substr(html, 1, {fixed.DESCRIPTION_CAP}) AS capped FROM pages""")
 def html_clean_text(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", "html", text.clean_text("html").alias("body"))
+    pages = spread(table(spark, sf_dir, "pages")).select("page_id", "html", text.clean_text("html").alias("body"))
     return pages.select("page_id", "body", F.left("body", F.lit(fixed.FAMILY_BODY_CHARS)).alias("lead"),
                         F.left("html", F.lit(fixed.DESCRIPTION_CAP)).alias("capped"))
 

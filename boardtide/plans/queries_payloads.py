@@ -7,7 +7,7 @@ expected postings from the base columns, never from the payload.
 from pyspark.sql import functions as F
 
 from boardtide import schema
-from boardtide.plans.bindings import query, table
+from boardtide.plans.bindings import query, spread, table
 from boardtide.sources.payloads import normalise
 
 KEY = "CAST(o_orderkey AS STRING)"
@@ -15,7 +15,7 @@ _READ = "o_totalprice >= 5000"
 
 
 def _orders(spark, sf_dir):
-    return table(spark, sf_dir, "orders").withColumns({
+    return spread(table(spark, sf_dir, "orders")).withColumns({
         "key": F.col("o_orderkey").cast("string"),
         "day": F.date_format("o_orderdate", "yyyy-MM-dd"),
         "town": F.when(F.col("o_orderstatus") == "F", "London").otherwise("Singapore"),

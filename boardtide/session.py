@@ -17,6 +17,9 @@ def build_session(master=None, shuffle_partitions=None, app="boardtide"):
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # rule matching and scoring cost far more than their bytes suggest, so small partitions
+        # are merged only down to the number of cores
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
     )

@@ -33,10 +33,8 @@ WORKABLE = (
 
 
 def _rows(landed, items, layout):
-    exploded = common.readable(landed).select(
-        "firm_id", "ats_token", "page", F.posexplode(items).alias("pos", "raw"))
-    return exploded.select("firm_id", "ats_token", "page", "pos",
-                           common.element(F.col("raw"), layout).alias("j"))
+    return common.readable(landed).select(
+        "firm_id", "ats_token", "page", common.elements(items, layout))
 
 
 def _jobs(landed, layout):

@@ -6,9 +6,13 @@ from boardtide import fixed, schema
 from boardtide.functions import text, urls
 
 
-def element(raw, layout):
-    """One payload row from its own JSON text, so a bad row cannot spoil its neighbours."""
-    return F.from_json(raw, layout)
+def elements(items, layout):
+    """pos, j: one parsed row per payload element, each from its own JSON text.
+
+    A bad element cannot spoil its neighbours.  Parsing happens inside the explode, where no
+    later filter can be pushed to: each element is parsed exactly once.
+    """
+    return F.posexplode(F.transform(items, lambda raw: F.from_json(raw, layout))).alias("pos", "j")
 
 
 def plain(row, *names):

@@ -112,11 +112,8 @@ def workday(landed, place=fixed.PLACE, budget=fixed.DETAIL_BUDGET):
     site = ["firm_id", "board_site"]
     lists = _lists(landed)
     items = F.from_json("payload", "jobPostings array<string>")["jobPostings"]
-    raw = common.readable(lists).select(
-        *site, "ats_host", "fetched_on", "page", F.posexplode(items).alias("pos", "raw"))
-    rows = _drop_failed(raw, lists, site).select(
-        *site, "ats_host", "fetched_on", "page", "pos",
-        common.element(F.col("raw"), WORKDAY).alias("j"))
+    rows = _drop_failed(common.readable(lists).select(
+        *site, "ats_host", "fetched_on", "page", common.elements(items, WORKDAY)), lists, site)
     j = F.col("j")
     listed = F.coalesce(j["locationsText"], F.lit(""))
     rows = rows.select(
@@ -297,10 +294,10 @@ def phenom(landed, place=fixed.PLACE, max_pages=fixed.MAX_JOB_PAGES):
     items = F.flatten(F.transform(blocks, lambda b: F.coalesce(
         F.when(text.strip(b).startswith("["), F.from_json(b, "array<string>"))
         .otherwise(F.array(b)), F.array().cast("array<string>"))))
-    block = F.try_element_at(F.filter(
-        items, lambda x: F.get_json_object(x, "$['@type']") == "JobPosting"), F.lit(1))
-    rows = pages.withColumn("block", block).filter(F.col("block").isNotNull()).withColumn(
-        "j", F.from_json("block", LD_POSTING))
+    block = F.slice(F.filter(
+        items, lambda x: F.get_json_object(x, "$['@type']") == "JobPosting"), 1, 1)
+    rows = pages.select("firm_id", "url", "page", F.col("pos").alias("place"),
+                        common.elements(block, LD_POSTING))
     j = F.col("j")
     spots = F.flatten(F.transform(
         F.coalesce(F.from_json(j["jobLocation"], LD_PLACES), F.array().cast(LD_PLACES)),
@@ -338,8 +335,7 @@ def portal(landed, place=None):
     """The government portal: one sweep over many search terms, first hit of a posting wins."""
     items = F.from_json("payload", "results array<string>")["results"]
     rows = common.readable(landed).select(
-        "page", F.col("url").alias("term"), F.posexplode(items).alias("pos", "raw"))
-    rows = rows.withColumn("j", common.element(F.col("raw"), PORTAL))
+        "page", F.col("url").alias("term"), common.elements(items, PORTAL))
     j, meta = F.col("j"), F.col("j")["metadata"]
     named = lambda array, field: F.transform(
         F.coalesce(j[array], F.array().cast(f"array<struct<{field}:string>>")),
