@@ -13,7 +13,7 @@ def denoise(name, strip_geography=False) -> Column:
     out = F.regexp_replace(F.lower(_col(name)), FLAGS + fixed.LEGAL_WORDS, " ")
     if strip_geography:
         out = F.regexp_replace(out, FLAGS + fixed.GEO_WORDS, " ")
-    return strip(F.regexp_replace(out, _JUNK, " "))
+    return F.trim(F.regexp_replace(out, _JUNK, " "))
 
 
 def compact(name, strip_geography=False) -> Column:

@@ -59,7 +59,7 @@ def strip_tags(c) -> Column:
 def clean_text(c) -> Column:
     """Flat lower-case text: tags to spaces, six entities in order, white space collapsed."""
     bare = replace_all(strip_tags(blank_to_empty(c)), fixed.CLEAN_ENTITIES)
-    return F.lower(strip(collapse(bare)))
+    return F.lower(F.trim(collapse(bare)))
 
 
 @F.pandas_udf(StringType())
@@ -77,7 +77,7 @@ def unescape_html(c) -> Column:
 
 def tag_text(fragment) -> Column:
     """Visible text of an HTML fragment."""
-    return strip(collapse(unescape_html(strip_tags(fragment))))
+    return F.trim(collapse(unescape_html(strip_tags(fragment))))
 
 
 def escape_markup(c) -> Column:
@@ -102,8 +102,9 @@ def split_pipe(c) -> Column:
 
 
 def key_part(c) -> Column:
-    lowered = F.lower(strip(c.cast("string") if isinstance(c, Column) else F.col(c).cast("string")))
-    return F.regexp_replace(F.regexp_replace(lowered, "[^a-z0-9]+", "-"), "^-+|-+$", "")
+    """Lower-case slug; outer white space turns into outer dashes, which are cut."""
+    lowered = F.lower(_col(c).cast("string"))
+    return F.btrim(F.regexp_replace(lowered, "[^a-z0-9]+", "-"), F.lit("-"))
 
 
 def job_key(platform, firm_id, external_id, on_blank="null") -> Column:
@@ -122,10 +123,7 @@ def job_key(platform, firm_id, external_id, on_blank="null") -> Column:
 
 def slug_chars(c) -> Column:
     """Each character that is not a letter or digit becomes one dash; outer dashes removed."""
-    lowered = F.lower(strip(c))
-    return F.regexp_replace(
-        F.regexp_replace(lowered, r"[^\p{L}\p{N}]", "-"), "^-+|-+$", ""
-    )
+    return F.btrim(F.regexp_replace(F.lower(_col(c)), r"[^\p{L}\p{N}]", "-"), F.lit("-"))
 
 
 def mentions_place(*cols, place=fixed.PLACE) -> Column:

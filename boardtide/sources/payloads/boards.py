@@ -56,7 +56,7 @@ def _project(rows, platform, required, here, **cols):
     }
     base.update(cols)
     flat = rows.select(*[c.alias(n) for n, c in base.items()])
-    return common.mark(flat, required).withColumn("here", here).drop("j")
+    return common.mark(flat, required, here).drop("j")
 
 
 def _here(place, *tests):

@@ -6,6 +6,9 @@ from boardtide import fixed, schema
 from boardtide.functions import text, urls
 
 
+TRIMMED = ("title", "firm_id", "external_id", "apply_url")
+
+
 def elements(items, layout):
     """pos, j: one parsed row per payload element, each from its own JSON text.
 
@@ -39,21 +42,21 @@ def posting_checks():
 def split_valid(rows):
     """(valid, quarantined): rows that meet the invariants, trimmed, and the others as they are."""
     ok = F.coalesce(posting_checks(), F.lit(False))
-    trimmed = rows.filter(ok)
-    for c in ("title", "firm_id", "external_id", "apply_url"):
-        trimmed = trimmed.withColumn(c, text.strip(c))
-    return trimmed, rows.filter(~ok)
+    return rows.filter(ok).withColumns({c: text.strip(c) for c in TRIMMED}), rows.filter(~ok)
 
 
-def mark(rows, required):
-    """Add `valid`: the payload's own required fields and the posting invariants both hold."""
-    return rows.withColumn("valid", F.coalesce(required & posting_checks(), F.lit(False)))
+def mark(rows, required, here):
+    """Add valid (required fields and storage invariants hold), here and job_key."""
+    return rows.withColumns({
+        "valid": F.coalesce(required & posting_checks(), F.lit(False)), "here": here,
+        "job_key": text.job_key("source_platform", "firm_id", "external_id"),
+    })
 
 
 def postings_of(rows):
-    """Valid rows that belong here, trimmed and keyed, in the posting layout plus order columns."""
-    kept, _ = split_valid(rows.filter(F.col("valid") & F.col("here")))
-    return kept.withColumn("job_key", text.job_key("source_platform", "firm_id", "external_id"))
+    """Valid rows that belong here, trimmed, in the posting layout plus order columns."""
+    kept = rows.filter(F.col("valid") & F.col("here"))
+    return kept.withColumns({c: text.strip(c) for c in TRIMMED})
 
 
 def stored(postings):

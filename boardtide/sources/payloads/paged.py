@@ -215,7 +215,7 @@ def successfactors(landed, place=fixed.PLACE):
         F.array(F.col("link"), text.strip_tags("title")),
         F.transform("bodies", text.strip_tags)), "\u0001")
     tiles = tiles.withColumn("texts", F.split(text.unescape_html(joined), "\u0001"))
-    tidy = lambda c: text.strip(text.collapse(c))
+    tidy = lambda c: F.trim(text.collapse(c))
 
     def unlabelled(c):
         # the label is there twice: once for screen readers, once visible
@@ -244,9 +244,9 @@ def successfactors(landed, place=fixed.PLACE):
         F.lit("observed").alias("posted_date_basis"), last("department").alias("department"),
         text.first_filled(last("shifttype"), last("jobtype")).alias("employment_type"),
         F.to_json(extra).alias("extra_json"))
-    rows = common.mark(rows, F.lit(True)).withColumn(
-        "here", F.lit(True) if place is None
-        else (F.col("kind") == "filtered") | text.has_place_code("location_raw"))
+    here = F.lit(True) if place is None else (
+        (F.col("kind") == "filtered") | text.has_place_code("location_raw"))
+    rows = common.mark(rows, F.lit(True), here)
     hits = (rows.filter(F.col("kind") == "filtered").groupBy("firm_id")
             .agg(F.count("*").alias("filtered_hits")))
     chosen = rows.join(hits, "firm_id", "left").filter(
