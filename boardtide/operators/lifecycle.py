@@ -36,9 +36,8 @@ def closable_firms(postings, outcomes):
     return direct.unionByName(present).distinct()
 
 
-def _last_views(postings, outcomes):
-    return (postings.select(*DAY).unionByName(outcomes.select(*DAY))
-            .groupBy("source").agg(F.max("snapshot_date").alias("last_view")))
+def _last_views(views):
+    return views.groupBy("source").agg(F.max("snapshot_date").alias("last_view"))
 
 
 def last_known_firm(postings):
@@ -48,8 +47,15 @@ def last_known_firm(postings):
             .select("source", "job_key", F.col("newest.firm_id").alias("firm_id")))
 
 
-def compute_lifecycle(postings, outcomes, keep=()):
-    """job_key, first_seen, last_seen, status, disappeared_on, times_seen (+ `keep` columns)."""
+def compute_lifecycle(postings, outcomes, keep=(), views=None):
+    """job_key, first_seen, last_seen, status, disappeared_on, times_seen (+ `keep` columns).
+
+    `views` lists the (source, snapshot_date) that were read.  A store knows them from its
+    directories; without it they are taken from both frames.  The joins carry no hint: both
+    right sides are aggregates whose size AQE knows before it picks the join.
+    """
+    if views is None:
+        views = postings.select(*DAY).unionByName(outcomes.select(*DAY))
     closable = (closable_firms(postings, outcomes)
                 .groupBy("source", "firm_id")
                 .agg(F.collect_set("snapshot_date").alias("closable_days")))
@@ -64,7 +70,7 @@ def compute_lifecycle(postings, outcomes, keep=()):
     inside = F.filter("closable_days",
                       lambda d: (d > F.col("first_seen")) & (d < F.col("last_seen")))
     facts = (keys.join(closable, ["source", "firm_id"], "left")
-             .join(F.broadcast(_last_views(postings, outcomes)), "source", "left")
+             .join(_last_views(views), "source", "left")
              .select("source", "firm_id", "job_key", "first_seen", "last_seen", "times_seen",
                      "last_view",
                      F.array_min(later).alias("next_closable"),
@@ -94,7 +100,7 @@ def advance_lifecycle(state, postings, outcomes, date):
     joined = (state.join(here, ["source", "job_key"], "full_outer")
               .withColumn("firm_id", F.coalesce("firm_now", "firm_id"))
               .join(shut, ["source", "firm_id"], "left")
-              .join(F.broadcast(viewed), "source", "left"))
+              .join(broadcast_if_small(viewed), "source", "left"))
     present = F.col("firm_now").isNotNull()
     gone = ~present & F.col("viewed").isNotNull() & F.col("shut").isNotNull()
     unread = ~present & F.col("viewed").isNotNull() & F.col("shut").isNull()

@@ -13,6 +13,7 @@ from boardtide import fixed
 from boardtide.functions import text
 from boardtide.operators.fuzzy_join import similar_titles
 from boardtide.operators.resolve import resolve_employers
+from boardtide.session import broadcast_if_small
 
 ANY, UNDATED = "any", "undated"
 
@@ -29,6 +30,14 @@ def _as_is(df, name):
     return df
 
 
+def _stored_side(df, name, stage):
+    """A lookup side: stored first where there is a store, and broadcast if its count is small.
+
+    Without a store the count would compute the side twice, so the planner is left to decide.
+    """
+    return df if stage is _as_is else broadcast_if_small(stage(df, name))
+
+
 def find_twins(portal, boards, order, threshold=fixed.TITLE_MATCH_THRESHOLD,
                window=fixed.MERGE_WINDOW_DAYS, stage=_as_is):
     """Add `twin_key`: the first board row of the same firm with a similar title and close date.
@@ -65,13 +74,13 @@ def find_twins(portal, boards, order, threshold=fixed.TITLE_MATCH_THRESHOLD,
              .groupBy("firm_id", "t", "posted_date").agg(F.min("best").alias("best"))
              .select(F.col("firm_id").alias("f"), "t", F.col("posted_date").alias("d"),
                      F.col("best.twin_key").alias("twin_key")))
-    twins = stage(twins, "twins")
+    twins = _stored_side(twins, "twins", stage)
     match = ((F.col("firm_id") == F.col("f")) & (F.lower("title") == F.col("t"))
              & F.col("posted_date").eqNullSafe(F.col("d")))
     return portal.join(twins, match, "left").drop("f", "t", "d")
 
 
-def enrich(boards, folded, order):
+def enrich(boards, folded, order, stage=_as_is):
     """Copy salary and portal ids of the last folded portal row onto its twin."""
     copied = F.struct(
         F.coalesce("extra.mcf_job_post_id", F.lit("")).alias("mcf_job_id"),
@@ -81,7 +90,7 @@ def enrich(boards, folded, order):
     newest = (folded.groupBy(F.col("twin_key").alias("job_key"))
               .agg(F.max(F.struct(*order, copied.alias("copied"))).alias("last"))
               .select("job_key", F.col("last.copied").alias("_copied")))
-    joined = boards.join(newest, "job_key", "left")
+    joined = boards.join(_stored_side(newest, "enrichment", stage), "job_key", "left")
     extra = F.col("extra")
     for name in ("mcf_job_id", "mcf_url", "salary_min", "salary_max", "salary_type"):
         extra = extra.withField(name, F.when(F.col("_copied").isNotNull(), F.col(
@@ -105,9 +114,9 @@ def merge_sources(postings, registry, aliases, order=("source_platform", "job_ke
         "*", F.coalesce("extra.employer_name", F.lit("")).alias("_employer"),
         text.strip(F.coalesce("extra.uen", F.lit(""))).alias("_uen"))
 
-    known = stage(resolve_employers(
+    known = _stored_side(resolve_employers(
         sweep.select(F.col("_employer").alias("employer_name"), F.col("_uen").alias("uen")),
-        registry, aliases), "employers")
+        registry, aliases), "employers", stage)
     resolved = sweep.join(known.select(
         F.col("employer_name").alias("_employer"), F.col("uen").alias("_uen"),
         F.col("firm_id").alias("_firm"), "basis", "score"), ["_employer", "_uen"], "left")
@@ -120,7 +129,7 @@ def merge_sources(postings, registry, aliases, order=("source_platform", "job_ke
     alone = twinned.filter(F.col("twin_key").isNull()).drop("twin_key").withColumn(
         "job_key", text.job_key("source_platform", "firm_id", "external_id"))
     return Merged(
-        postings=enrich(boards, folded, order).unionByName(alone),
+        postings=enrich(boards, folded, order, stage).unionByName(alone),
         candidates=candidates, folded=folded,
         resolutions=resolved.select("job_key", F.col("_firm").alias("firm_id"), "basis", "score"))
 

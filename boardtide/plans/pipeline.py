@@ -23,7 +23,8 @@ def rebuild(spark, root, out, registry, aliases, overrides, **options):
     if latest is None:
         raise RuntimeError("no snapshots on disk; ingest first")
     current = snapshots.as_postings(snapshots.read_newest(spark, root, latest))
-    lifecycle = compute_lifecycle(*snapshots.read_history(spark, root))
+    lifecycle = compute_lifecycle(*snapshots.read_history(spark, root),
+                                  views=snapshots.view_calendar(spark, root))
     curated, candidates, _ = build_tables(
         current, lifecycle, registry, aliases, overrides, latest, stage=table_stage(spark),
         **options)

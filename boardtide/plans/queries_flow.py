@@ -96,6 +96,9 @@ def _merge_inputs(spark, sf_dir):
     platform = F.when(on_board, "lever").otherwise("mcf")
     key = F.col("o_orderkey").cast("string")
     portal_only = lambda c: F.when(~on_board, c)
+    known = {"employer_name": portal_only(employer), "min_years": portal_only(F.lit(0)),
+             "salary_min": portal_only(F.col("o_totalprice")),
+             "mcf_job_post_id": portal_only(F.concat(F.lit("P"), key))}
     rows = orders.select(
         firm.alias("firm_id"), platform.alias("source_platform"), key.alias("external_id"),
         F.col("o_orderpriority").alias("title"),
@@ -105,10 +108,8 @@ def _merge_inputs(spark, sf_dir):
         F.lit("").alias("employment_type"),
         F.when(F.col("o_totalprice") >= 30000, F.col("o_orderdate").cast("date")).alias("posted_date"),
         F.lit("published").alias("posted_date_basis"),
-        F.from_json(text.to_json_extra(
-            employer_name=portal_only(employer), uen=F.lit(None).cast("string"),
-            min_years=portal_only(F.lit(0)), salary_min=portal_only(F.col("o_totalprice")),
-            mcf_job_post_id=portal_only(F.concat(F.lit("P"), key))), schema.EXTRA).alias("extra"))
+        F.struct(*[known.get(n, F.lit(None)).cast("string").alias(n)
+                   for n in schema.names(schema.EXTRA)]).alias("extra"))
     rows = rows.withColumn("job_key", text.job_key("source_platform", "firm_id", "external_id"))
     registry = table(spark, sf_dir, "nation").filter("n_regionkey < 4").select(
         F.concat(F.lit("nation-"), F.col("n_nationkey").cast("string")).alias("firm_id"),

@@ -114,6 +114,13 @@ def read_history(spark, root):
             _read(spark, root, "outcomes", schema.OUTCOME))
 
 
+def view_calendar(spark, root):
+    """(source, snapshot_date) of every partition of either dataset, from the listing alone."""
+    pairs = set(available_snapshots(spark, root)) | set(
+        available_snapshots(spark, root, table="outcomes"))
+    return spark.createDataFrame(sorted(pairs), PARTITION)
+
+
 def _only(df, pairs):
     wanted = F.lit(False)
     for platform, date in pairs:
