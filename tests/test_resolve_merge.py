@@ -148,3 +148,15 @@ def test_merge(spark, registry, aliases):
         "https://a/1", "p11", "https://m/11", "2")
     assert [tuple(r) for r in merge.summarise_candidates(m.candidates).collect()] == [("MORE YOGURT", 1)]
     assert m.resolutions.filter("basis = 'unmatched'").count() == 1
+
+
+def test_a_hot_group_of_copies(spark):
+    """One firm, one title, thousands of copies on both sides: every row finds the first twin."""
+    n, d = 3000, dt.date(2026, 8, 10)
+    boards = spark.range(n).select(
+        F.lit("f").alias("firm_id"), F.lit("Data Analyst").alias("title"), F.lit(d).alias("posted_date"),
+        F.format_string("k%05d", "id").alias("job_key"))
+    portal = spark.range(n).select(
+        F.lit("f").alias("firm_id"), F.lit("data analysts").alias("title"), F.lit(d).alias("posted_date"), "id")
+    out = merge.find_twins(portal, boards, ["job_key"])
+    assert out.count() == n and [r[0] for r in out.select("twin_key").distinct().collect()] == ["k00000"]
