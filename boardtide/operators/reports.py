@@ -67,7 +67,7 @@ def ingest_summary(outcomes):
                         F.count_if(~F.col("ok")).alias("failed"))
 
 
-def pipeline_counters(merged):
+def merge_counters(merged):
     """Rows kept, folded and left as candidates, each counted on its own narrow plan."""
     one = lambda df, what: df.agg(F.count("*").alias("n")).select(
         F.lit(what).alias("counter"), "n")

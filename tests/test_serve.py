@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from boardtide import fixed, schema
 from boardtide.operators import asof, packing, reports, select
-from boardtide.plans import pipeline
+from boardtide.plans import runs
 from boardtide.sources import registry as dims, snapshots, state
 
 HEAD = ("firm_id,firm_name,sector,tier,ats_platform,ats_token,ats_host,board_site,careers_url,"
@@ -231,25 +231,25 @@ def test_runs_end_to_end(spark, tmp_path):
         "salary": {"minimum": 4000}, "metadata": {"jobPostId": "P" + u, "jobDetailsUrl": "https://m/" + u,
                                                   "originalPostingDate": "2026-08-05"}}
     a, b = job(1, "Graduate Analyst", "2026-08-01"), job(2, "Associate", "2026-08-02")
-    pipeline.ingest(spark, root, gh([a, b]), "greenhouse", D)
-    pipeline.ingest(spark, root, gh([a]), "greenhouse", D + dt.timedelta(1))
-    pipeline.ingest(spark, root, gh([], ok=False), "greenhouse", D + dt.timedelta(2))
-    pipeline.ingest(spark, root, mcf([portal("u1", "Graduate Analysts", "ACME BANK PTE LTD"),
+    runs.ingest(spark, root, gh([a, b]), "greenhouse", D)
+    runs.ingest(spark, root, gh([a]), "greenhouse", D + dt.timedelta(1))
+    runs.ingest(spark, root, gh([], ok=False), "greenhouse", D + dt.timedelta(2))
+    runs.ingest(spark, root, mcf([portal("u1", "Graduate Analysts", "ACME BANK PTE LTD"),
                                       portal("u2", "Legal Trainee", "ACME BANK SINGAPORE PTE LTD"),
                                       portal("u3", "Cook", "SMALL CAFE")]), "mcf", D)
     # the newest greenhouse partition is the failed read: it has no rows, and closes nothing
     ov = spark.createDataFrame([], "job_key string, job_family string")
     al = dims.load_aliases(spark, str(tmp_path / "none.csv"))
-    assert pipeline.rebuild(spark, root, out, reg, al, ov) == D + dt.timedelta(2)
-    rows = {r.job_key: r for r in pipeline.read_curated(spark, out).collect()}
+    assert runs.rebuild(spark, root, out, reg, al, ov) == D + dt.timedelta(2)
+    rows = {r.job_key: r for r in runs.read_curated(spark, out).collect()}
     assert set(rows) == {"mcf:acme:u1", "mcf:acme:u2"}
     from boardtide.operators.lifecycle import compute_lifecycle
     life = {r.job_key: r for r in compute_lifecycle(*snapshots.read_history(spark, root)).collect()}
     assert life["greenhouse:acme:1"].status == "unknown" and life["greenhouse:acme:2"].status == "closed"
     # a readable board again: the portal row folds into its twin
-    pipeline.ingest(spark, root, gh([a]), "greenhouse", D + dt.timedelta(2))
-    pipeline.rebuild(spark, root, out, reg, al, ov)
-    df = pipeline.read_curated(spark, out)
+    runs.ingest(spark, root, gh([a]), "greenhouse", D + dt.timedelta(2))
+    runs.rebuild(spark, root, out, reg, al, ov)
+    df = runs.read_curated(spark, out)
     assert df.schema == schema.CURATED
     rows = {r.job_key: r for r in df.collect()}
     one = rows["greenhouse:acme:1"]
@@ -261,9 +261,9 @@ def test_runs_end_to_end(spark, tmp_path):
     cand = spark.read.parquet(out + "/candidates")
     assert [tuple(r) for r in cand.collect()] == [("SMALL CAFE", 1)]
     subs_df = subs(spark, ("1", list(fixed.SELECTABLE_ROLE_TYPES), ["Strategy & Consulting", "Legal"]))
-    messages, sent = pipeline.serve(df, subs_df, state.read_sent(spark, str(tmp_path / "s0")), D)
+    messages, sent = runs.serve(df, subs_df, state.read_sent(spark, str(tmp_path / "s0")), D)
     assert messages.count() == 1 and sent.count() == 2
-    again, _ = pipeline.serve(df, subs_df, sent, D)
+    again, _ = runs.serve(df, subs_df, sent, D)
     assert again.count() == 0
-    assert set(pipeline.health(snapshots.read_history(spark, root)[1], df, cand)) == {
+    assert set(runs.health(snapshots.read_history(spark, root)[1], df, cand)) == {
         "platforms", "failures", "statuses", "candidates"}
