@@ -296,6 +296,17 @@ def digest_totals(spark, sf_dir):
         (F.max(F.length("message")) <= 4096).alias("fits"), F.min("message_no").alias("first_no"))
 
 
+@query("reply_totals", _MATCH + """SELECT chat_id, count(*) AS lines, true AS fits, CAST(1 AS BIGINT) AS headings
+FROM matched GROUP BY 1""")
+def reply_totals(spark, sf_dir):
+    """Plain replies: every row once, one heading per reader, no message too long."""
+    sent = packing.render_reply(_matches(spark, sf_dir), "<b>Newest</b>")
+    count = lambda what: F.sum(F.regexp_count("message", F.lit(what))).cast("bigint")
+    return sent.groupBy("chat_id").agg(
+        count("<a href=").alias("lines"), (F.max(F.length("message")) <= 4096).alias("fits"),
+        count("<b>Newest</b>").alias("headings"))
+
+
 @query("dashboard_view", ROWS_SQL + """SELECT job_key, posted_date, first_seen,
   CASE WHEN first_seen >= DATE '2001-07-29' THEN '🆕' ELSE '' END AS "new" FROM cur
 WHERE is_grad AND NOT is_internship AND is_singapore AND status IN ('open', 'unknown')

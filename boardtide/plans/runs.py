@@ -9,6 +9,8 @@ from boardtide.operators.lifecycle import compute_lifecycle
 from boardtide.session import table_stage
 from boardtide.sources import registry as dims, snapshots
 from boardtide.sources.payloads import normalise
+from boardtide.sources.payloads.common import require_valid
+from boardtide.sources.state import active_subscriptions
 
 
 def ingest(spark, root, landed, platform, date, **options):
@@ -22,14 +24,16 @@ def rebuild(spark, root, out, registry, aliases, overrides, **options):
     latest = snapshots.latest_snapshot_date(spark, root)
     if latest is None:
         raise RuntimeError("no snapshots on disk; ingest first")
-    current = snapshots.as_postings(snapshots.read_newest(spark, root, latest))
+    stage = table_stage(spark)
+    current = require_valid(snapshots.as_postings(snapshots.read_newest(spark, root, latest)))
     lifecycle = compute_lifecycle(*snapshots.read_history(spark, root),
                                   views=snapshots.view_calendar(spark, root))
     curated, candidates, _ = build_tables(
-        current, lifecycle, registry, aliases, overrides, latest, stage=table_stage(spark),
+        current, lifecycle, registry, aliases, overrides, latest, stage=stage,
         **options)
     curated.hint("rebalance").write.mode("overwrite").parquet(f"{out}/postings")
     candidates.write.mode("overwrite").parquet(f"{out}/candidates")
+    snapshots.delete_folder(spark, stage.folder)
     return latest
 
 
@@ -40,16 +44,13 @@ def rebuild_from_files(spark, root, out, registry_csv, aliases_csv, overrides_cs
 
 
 def read_curated(spark, out):
-    fs_ok = snapshots._fs(spark, f"{out}/postings")
-    if not fs_ok[0].exists(fs_ok[1]):
+    if not snapshots.folder_exists(spark, f"{out}/postings"):
         return spark.createDataFrame([], schema.CURATED)
     return spark.read.schema(schema.CURATED).parquet(f"{out}/postings")
 
 
 def serve(curated, subscriptions, sent, snapshot_date):
     """(messages, new sent state) for all active subscribers."""
-    from boardtide.sources.state import active_subscriptions
-
     matches = select.match_subscribers(select.notifiable(curated),
                                        active_subscriptions(subscriptions))
     due = select.unsent(matches, sent)

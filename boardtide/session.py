@@ -61,4 +61,6 @@ def table_stage(spark):
     def stage(df, name):
         df.write.parquet(f"{base}/{name}")
         return spark.read.schema(df.schema).parquet(f"{base}/{name}")
+
+    stage.folder = base
     return stage

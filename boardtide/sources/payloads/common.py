@@ -45,6 +45,14 @@ def split_valid(rows):
     return rows.filter(ok).withColumns({c: text.strip(c) for c in TRIMMED}), rows.filter(~ok)
 
 
+def require_valid(rows):
+    """Stored rows that break an invariant stop the run and name the first offender."""
+    ok = F.coalesce(posting_checks(), F.lit(False))
+    complaint = F.raise_error(F.concat(
+        F.lit("stored posting breaks the invariants: "), F.coalesce("job_key", F.lit("no key"))))
+    return rows.filter(F.when(ok, True).otherwise(complaint.cast("boolean")))
+
+
 def mark(rows, required, here):
     """Add valid (required fields and storage invariants hold), here and job_key."""
     return rows.withColumns({

@@ -30,7 +30,12 @@ def _fs(spark, path):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def _delete(spark, path):
+def folder_exists(spark, path):
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def delete_folder(spark, path):
     fs, p = _fs(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
@@ -70,7 +75,7 @@ def write_snapshot(spark, root, platform, date, postings, outcomes):
     without outcomes, which the lifecycle reads as "nothing known", never as closures.  Writing
     straight into the partition directory also clears it when there are no postings.
     """
-    _delete(spark, _partition_path(root, "outcomes", platform, date))
+    delete_folder(spark, _partition_path(root, "outcomes", platform, date))
     schema.conform(postings, schema.POSTING).write.mode("overwrite").parquet(
         _partition_path(root, "postings", platform, date))
     schema.conform(outcomes, schema.OUTCOME).write.mode("overwrite").parquet(
@@ -95,15 +100,14 @@ def write_snapshots(spark, root, postings, outcomes):
     seen = outcomes.select(*parts).distinct().join(
         postings.select(*parts).distinct(), parts, "left_anti")
     for row in seen.toLocalIterator():
-        _delete(spark, _partition_path(root, "postings", row[0], row[1]))
+        delete_folder(spark, _partition_path(root, "postings", row[0], row[1]))
     write(postings, schema.POSTING, "postings")
     write(outcomes, schema.OUTCOME, "outcomes")
 
 
 def _read(spark, root, table, layout):
     layout = _with_partition(layout)
-    fs, p = _fs(spark, f"{root}/{table}")
-    if not fs.exists(p):
+    if not folder_exists(spark, f"{root}/{table}"):
         return spark.createDataFrame([], layout)
     return spark.read.schema(layout).parquet(f"{root}/{table}")
 

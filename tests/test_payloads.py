@@ -250,3 +250,20 @@ def test_portal(spark):
 def test_unparsable_payload_gives_no_rows(spark, platform):
     p, o = run(spark, platform, [{"payload": "<html>not json</html>"}])
     assert p == {} and next(iter(o.values())).row_count == 0
+
+
+def test_stored_rows_must_keep_the_invariants(spark):
+    from boardtide.sources.payloads.common import require_valid, split_valid
+
+    rows = spark.createDataFrame(
+        [("k1", "f", "lever", "1", " T ", " https://x/1", "published"), ("k2", "f", "lever", "2", " ", "https://x/2", None),
+         ("k3", "f", "nowhere", "3", "T", "https://x/3", None), ("k4", "f", "lever", "#", "T", "https://x/4", None),
+         ("k5", "f", "lever", "5", "T", "/x", None), ("k6", "f", "lever", "6", "T", "https://x/6", "guessed")],
+        "job_key string, firm_id string, source_platform string, external_id string, title string, "
+        "apply_url string, posted_date_basis string")
+    good, bad = split_valid(rows)
+    assert [(r.job_key, r.title, r.apply_url) for r in good.collect()] == [("k1", "T", "https://x/1")]
+    assert bad.count() == 5
+    assert require_valid(good).count() == 1
+    with pytest.raises(Exception, match="breaks the invariants: k2"):
+        require_valid(rows).collect()
