@@ -17,9 +17,10 @@ def iso_date(c) -> Column:
 
 
 def epoch_millis_date(c) -> Column:
-    """UTC date of milliseconds since the epoch; zero and null give null."""
+    """UTC date of milliseconds since the epoch, whatever the session's zone; zero gives null."""
     millis = _col(c).cast("bigint")
-    return F.when(millis != 0, F.timestamp_millis(millis).cast("date"))
+    days = F.floor(millis / F.lit(86_400_000)).try_cast("int")
+    return F.when(millis != 0, F.date_from_unix_date(days))
 
 
 def relative_date(text, today) -> Column:

@@ -385,7 +385,7 @@ def posted_dates(spark, sf_dir):
     relative = dates.relative_date(said, today)
     return table(spark, sf_dir, "orders").select(
         "o_orderkey", dates.iso_date(iso).alias("iso_day"),
-        dates.epoch_millis_date(F.unix_millis(F.col("o_orderdate").cast("timestamp"))).alias("epoch_day"),
+        dates.epoch_millis_date(F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint") * 86_400_000 + 86_399_999).alias("epoch_day"),
         relative.alias("relative_day"), dates.basis_when(relative).alias("basis"),
         dates.shown_date(F.when(F.col("o_totalprice") >= 30000, F.col("o_orderdate").cast("date")),
                          F.lit(None).cast("date")).alias("shown"))

@@ -92,7 +92,7 @@ def read_outcomes(spark, sf_dir):
   o_orderstatus AS employment_type FROM orders WHERE o_orderstatus <> 'F'""")
 def normalise_lever(spark, sf_dir):
     o = _orders(spark, sf_dir)
-    millis = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
+    millis = F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint") * 86_400_000
     job = F.struct(
         F.col("key").alias("id"), F.col("o_orderpriority").alias("text"), F.lit("").alias("hostedUrl"),
         F.col("link").alias("applyUrl"), millis.alias("createdAt"),
