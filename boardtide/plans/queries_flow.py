@@ -9,7 +9,7 @@ from boardtide.functions import similarity, text
 from boardtide.operators import (
     boards, curate, fuzzy_join, merge, packing, reports, resolve, robots, select)
 from boardtide.plans.bindings import (
-    BASE, EV, EV_SQL, ROWS, ROWS_SQL, WISHES_SQL, OrdersWithCustomers, ev_outcomes, query,
+    BASE, EV, EV_SQL, ROWS, ROWS_SQL, WISHES_SQL, OrdersWithCustomers, ev_outcomes, query, spread,
     subscriptions, table)
 from boardtide.session import table_stage
 from boardtide.sources import registry as dims, state
@@ -94,7 +94,7 @@ class OrdersOfNations:
 
 def _merge_inputs(spark, sf_dir):
     """Filled orders are a firm's own board, open ones the portal; firms are nations' banks."""
-    orders = OrdersOfNations.frame(spark, sf_dir).filter("o_orderstatus <> 'P'")
+    orders = spread(OrdersOfNations.frame(spark, sf_dir).filter("o_orderstatus <> 'P'"))
     on_board = F.col("o_orderstatus") == "F"
     employer = F.expr(_EMPLOYER)
     firm = F.when(on_board, F.concat(F.lit("nation-"), F.col("n_nationkey").cast("string"))) \
