@@ -46,7 +46,7 @@ def split_valid(rows):
 
 
 def require_valid(rows):
-    """Stored rows that break an invariant stop the run and name the first offender."""
+    """A stored row that breaks an invariant stops the run, which names it."""
     ok = F.coalesce(posting_checks(), F.lit(False))
     complaint = F.raise_error(F.concat(
         F.lit("stored posting breaks the invariants: "), F.coalesce("job_key", F.lit("no key"))))
