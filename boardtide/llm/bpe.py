@@ -21,52 +21,39 @@ _MASK = (1 << 64) - 1
 
 
 class PerfectHash:
-    """Minimal perfect hash of byte strings to 0..n-1 by hash and displace.
+    """Minimal perfect hash of distinct byte strings to 0..n-1, by levels.
 
-    Keys fall into buckets by one hash.  Buckets are placed from the largest on: a bucket takes
-    the first displacement that sends all its keys to free slots; a single key takes a free slot
-    directly.  A stored copy of the key in its slot tells members from strangers.
+    A key that is alone in its slot of a level stays there; the others go on to the next level,
+    which has another seed.  The taken slots of all levels, counted through, are the hash values.
+    A stored copy of the key tells members from strangers.
     """
 
-    def __init__(self, keys):
-        n = self.n = max(1, len(keys))
-        self.buckets = max(1, n // 4)
-        groups = [[] for _ in range(self.buckets)]
-        for i, k in enumerate(keys):
-            groups[xxhash.xxh64_intdigest(k) % self.buckets].append((i, k))
-        self.shift = array("q", [0]) * self.buckets
-        self.slots = [None] * n
-        self.values = array("l", [-1]) * n
-        free = n - 1
-        for b in sorted(range(self.buckets), key=lambda b: (-len(groups[b]), b)):
-            group = groups[b]
-            if len(group) > 1:
-                d = 1
-                while True:
-                    places = [self._slot(xxhash.xxh64_intdigest(k), d) for _, k in group]
-                    if len(set(places)) == len(group) and all(
-                            self.slots[p] is None for p in places):
-                        break
-                    d += 1
-                self.shift[b] = d
-            elif group:
-                while self.slots[free] is not None:
-                    free -= 1
-                places, self.shift[b] = [free], -1 - free
-            else:
-                continue
-            for p, (i, k) in zip(places, group, strict=True):
-                self.slots[p], self.values[p] = k, i
-
-    def _slot(self, x, d):
-        return ((x >> 7) + d * ((x * 0x9E3779B97F4A7C15 & _MASK) >> 33 | 1)) % self.n
+    def __init__(self, keys, room=2):
+        self.levels, self.keys, self.values = [], [], array("l")
+        left = list(enumerate(keys))
+        while left:
+            size = room * len(left) + 1
+            taken = array("l", [-1]) * size            # -1 free, -2 contested, else one key's place
+            places = [xxhash.xxh3_64_intdigest(k, len(self.levels)) % size for _, k in left]
+            for i, p in enumerate(places):
+                taken[p] = i if taken[p] == -1 else -2
+            for p, i in enumerate(taken):
+                if i >= 0:
+                    taken[p] = len(self.keys)
+                    self.values.append(left[i][0])
+                    self.keys.append(left[i][1])
+            self.levels.append(taken)
+            left = [item for item, p in zip(left, places, strict=True) if taken[p] == -2]
 
     def get(self, key):
         """The key's number, or -1 if it is no member."""
-        x = xxhash.xxh64_intdigest(key)
-        d = self.shift[x % self.buckets]
-        p = -1 - d if d < 0 else self._slot(x, d)
-        return self.values[p] if self.slots[p] == key else -1
+        for seed, taken in enumerate(self.levels):
+            at = taken[xxhash.xxh3_64_intdigest(key, seed) % len(taken)]
+            if at >= 0:
+                return self.values[at] if self.keys[at] == key else -1
+            if at == -1:
+                return -1
+        return -1
 
 
 def load_ranks(path):
