@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from boardtide.llm import block_naming, bpe, packing, topk
+from boardtide.llm import block_naming, bpe, packing, pii, prob_minhash, topk
 from boardtide.llm.common import table
 
 QUERIES, CHECKS = {}, {}
@@ -60,3 +60,18 @@ def op6(spark, sf_dir):
 def op9(spark, sf_dir):
     return block_naming.exact_groups(spark, table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op2_near_dedup")
+def op2(spark, sf_dir):
+    return prob_minhash.near_groups(spark, table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "group_size", "kept")
+
+
+@query("op7_personal_data")
+def op7(spark, sf_dir):
+    found = pii.find_spans(spark, table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *[F.size(k).cast("bigint").alias(f"n_{k}") for k in pii.BASE],
+        F.sha2(pii.span_text(F.filter("all", lambda s: s["base"])), 256).alias("base_sha256"),
+        pii.span_text(F.col("all")).alias("spans"))
