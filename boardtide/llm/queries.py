@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from boardtide.llm import block_naming, bpe, packing, pii, prob_minhash, topk
+from boardtide.llm import block_naming, bpe, crf, packing, pii, prob_minhash, topk
 from boardtide.llm.common import table
 
 QUERIES, CHECKS = {}, {}
@@ -75,3 +75,12 @@ def op7(spark, sf_dir):
         "doc_id", *[F.size(k).cast("bigint").alias(f"n_{k}") for k in pii.BASE],
         F.sha2(pii.span_text(F.filter("all", lambda s: s["base"])), 256).alias("base_sha256"),
         pii.span_text(F.col("all")).alias("spans"))
+
+
+@query("op4_line_quality")
+def op4(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    field = crf.train(docs, table(spark, sf_dir, "labels"))
+    return crf.scores(spark, docs, field).select(
+        "doc_id", crf.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= crf.THRESHOLD).cast("int").alias("predicted"))
