@@ -3,7 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from boardtide.llm import block_naming, bpe, crf, packing, pii, prob_minhash, topk
+from boardtide.llm import (
+    block_naming, bpe, compact_windows, crf, cross_entropy, mincut, packing, pii, prob_minhash, topk)
 from boardtide.llm.common import table
 
 QUERIES, CHECKS = {}, {}
@@ -84,3 +85,20 @@ def op4(spark, sf_dir):
     return crf.scores(spark, docs, field).select(
         "doc_id", crf.held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= crf.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op1_main_text")
+def op1(spark, sf_dir):
+    return mincut.extract(spark, table(spark, sf_dir, "pages"))
+
+
+@query("op8_repeated_passages")
+def op8(spark, sf_dir):
+    return compact_windows.repeats(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op10_lm_scores")
+def op10(spark, sf_dir):
+    docs = cross_entropy.labelled_target(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return cross_entropy.score(spark, docs, F.col("__target"))
