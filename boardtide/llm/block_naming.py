@@ -12,7 +12,7 @@ result depends on the key being free of collisions.
 
 from pyspark.sql import functions as F
 
-from boardtide.llm.common import Stage, with_row
+from boardtide.llm.common import Stage, semi_by_row, with_row
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLOCK = 4096
@@ -106,5 +106,4 @@ def exact_groups(spark, docs, size=BLOCK, key=F.xxhash64, stage=None):
 
 def drop_copies(spark, docs, size=BLOCK):
     """`docs` (a stored table) without exact copies, all columns kept."""
-    kept = exact_groups(spark, docs, size).filter("kept").select(F.col("row").alias("__row"))
-    return with_row(docs, "__row").join(kept, "__row", "left_semi").drop("__row")
+    return semi_by_row(docs, exact_groups(spark, docs, size).filter("kept"))

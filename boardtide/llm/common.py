@@ -39,6 +39,21 @@ def with_row(df, name="row"):
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def free_name(df, name):
+    """`name`, lengthened until no column of `df` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def semi_by_row(docs, kept):
+    """The rows of `docs` (a stored table) whose numbers are in the column `row` of `kept`."""
+    row = free_name(docs, "__row")
+    return with_row(docs, row).join(
+        kept.select(F.col("row").alias(row)), row, "left_semi").select(*docs.columns)
+
+
 def map_batches(df, fn, schema, chunk=512):
     """`fn(dict of lists) -> dict of lists` over slices of Arrow batches of at most `chunk` rows.
 

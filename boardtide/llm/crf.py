@@ -12,7 +12,7 @@ from itertools import pairwise
 import numpy as np
 from pyspark.sql import functions as F
 
-from boardtide.llm.common import map_batches, with_row
+from boardtide.llm.common import map_batches, semi_by_row, with_row
 
 #: Labelled rows the field is fitted on at most: those with the smallest hash of their id.
 FIT_ROWS = 3_000
@@ -175,6 +175,4 @@ def scores(spark, docs, field):
 
 def keep_good(spark, docs, labels, threshold=THRESHOLD):
     """`docs` (a stored table) without the documents that score below `threshold`."""
-    kept = scores(spark, docs, train(docs, labels)).filter(F.col("score") >= threshold)
-    return with_row(docs, "__row").join(
-        kept.select(F.col("row").alias("__row")), "__row", "left_semi").drop("__row")
+    return semi_by_row(docs, scores(spark, docs, train(docs, labels)).filter(F.col("score") >= threshold))

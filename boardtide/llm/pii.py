@@ -11,7 +11,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from boardtide.llm.common import Stage, with_row
+from boardtide.llm.common import Stage, free_name, with_row
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 _LOCAL = "A-Za-z0-9._%+-"
@@ -224,9 +224,10 @@ def span_text(spans):
 def redact(spark, docs):
     """`docs` (a stored table) with every span in `text` replaced by its kind in brackets, and
     `n_chars`, where there is one, brought up to date.  A null text stays null."""
-    spans = find_spans(spark, docs).select(F.col("row").alias("__row"), F.array_sort(F.transform(
+    row, held = free_name(docs, "__row"), free_name(docs, "__spans")
+    spans = find_spans(spark, docs).select(F.col("row").alias(row), F.array_sort(F.transform(
         "all", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
-                                  s["kind"].alias("kind")))).alias("__spans")).filter(F.size("__spans") > 0)
+                                  s["kind"].alias("kind")))).alias(held)).filter(F.size(held) > 0)
     text = F.col("text")
 
     def cut(acc, s):
@@ -238,11 +239,11 @@ def redact(spark, docs):
                                     F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))).alias("out"))
 
     clean = F.aggregate(
-        "__spans", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), cut,
+        held, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), cut,
         lambda acc: F.concat(F.array_join(acc["out"], ""), text.substr(acc["at"] + 1, F.length(text))))
-    out = with_row(docs, "__row").join(spans, "__row", "left").withColumn(
-        "text", F.when(F.col("__spans").isNull(), text).otherwise(clean))
+    out = with_row(docs, row).join(spans, row, "left").withColumn(
+        "text", F.when(F.col(held).isNull(), text).otherwise(clean))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(
+        out = out.withColumn("n_chars", F.when(F.col(held).isNull(), F.col("n_chars")).otherwise(
             F.length("text").cast(dict(docs.dtypes)["n_chars"])))
     return out.select(*docs.columns)

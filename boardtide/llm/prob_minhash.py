@@ -11,7 +11,7 @@ import hashlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from boardtide.llm.common import Stage, map_batches, with_row
+from boardtide.llm.common import Stage, map_batches, semi_by_row, with_row
 from boardtide.llm.components import components
 from boardtide.llm.shingles import mix, shingles, words_of
 
@@ -124,5 +124,4 @@ def near_groups(spark, docs, size=5, similar=SIMILAR, stage=None):
 
 def drop_near(spark, docs):
     """`docs` (a stored table) with one document of each near-duplicate class."""
-    kept = near_groups(spark, docs).filter("kept").select(F.col("row").alias("__row"))
-    return with_row(docs, "__row").join(kept, "__row", "left_semi").drop("__row")
+    return semi_by_row(docs, near_groups(spark, docs).filter("kept"))
