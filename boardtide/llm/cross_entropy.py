@@ -17,12 +17,12 @@ START = 0
 
 
 def word_pairs(docs):
-    """row, a, b: 64-bit word keys, a the word before (START at the beginning of a text)."""
+    """row, target, a, b: 64-bit word keys, a the word before (START at the beginning of a text)."""
     words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"\s+"), lambda w: w != "")
-    keys = docs.select("row", F.transform(words, lambda w: F.xxhash64(w)).alias("k"))
-    return keys.select("row", F.explode(F.transform("k", lambda b, i: F.struct(
+    keys = docs.select("row", "target", F.transform(words, lambda w: F.xxhash64(w)).alias("k"))
+    return keys.select("row", "target", F.explode(F.transform("k", lambda b, i: F.struct(
         F.when(i == 0, F.lit(START).cast("bigint")).otherwise(F.get("k", i - 1)).alias("a"),
-        b.alias("b")))).alias("p")).select("row", "p.a", "p.b")
+        b.alias("b")))).alias("p")).select("row", "target", "p.a", "p.b")
 
 
 def score(spark, docs, is_target, stage=None):
@@ -35,11 +35,10 @@ def score(spark, docs, is_target, stage=None):
     stage = stage or Stage(spark, "lm")
     rows = stage.keep(with_row(docs).select(
         "row", "doc_id", F.coalesce(is_target, F.lit(False)).alias("target"), "text"), "rows")
-    each = word_pairs(rows).groupBy("row", "a", "b").agg(F.count("*").alias("n"))
-    pairs = stage.keep(each.join(rows.select("row", "target"), "row"), "pairs")
-    target = F.when(F.col("target"), F.col("n")).otherwise(0)
+    # the pairs are cut from the texts twice, which is less to move than pairs counted by document
+    pairs = word_pairs(rows)
     grams = stage.keep(pairs.groupBy("a", "b").agg(
-        F.sum("n").alias("n"), F.sum(target).alias("t")), "grams")
+        F.count("*").alias("n"), F.sum(F.col("target").cast("bigint")).alias("t")), "grams")
     ones = stage.keep(grams.groupBy(F.col("b").alias("w")).agg(
         F.sum("n").alias("n"), F.sum("t").alias("t")), "ones")
     total = ones.agg(F.sum("n"), F.sum("t"), F.count("*")).first()
@@ -55,9 +54,8 @@ def score(spark, docs, is_target, stage=None):
               .select("a", "b", loss(F.col("n"), F.col("an"), F.col("bn"), n_all).alias("back"),
                       loss(F.col("t"), F.col("at"), F.col("bt"), t_all).alias("goal")))
     priced = stage.keep(priced, "priced")
-    sums = pairs.join(priced, ["a", "b"]).groupBy("row").agg(
-        F.sum("n").alias("n_words"), F.sum(F.col("n") * F.col("goal")).alias("goal"),
-        F.sum(F.col("n") * F.col("back")).alias("back"))
+    sums = pairs.drop("target").join(priced, ["a", "b"]).groupBy("row").agg(
+        F.count("*").alias("n_words"), F.sum("goal").alias("goal"), F.sum("back").alias("back"))
     return rows.select("row", "doc_id").join(sums, "row", "left").select(
         "doc_id", F.coalesce("n_words", F.lit(0)).alias("n_words"),
         (F.col("goal") / F.col("n_words")).alias("target_loss"),
