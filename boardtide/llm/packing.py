@@ -6,6 +6,7 @@ partitions whose number grows with the input; each partition packs its own piece
 and holds one counter per gap and the numbers of its open sequences only.
 """
 
+import re
 import zlib
 
 import numpy as np
@@ -17,10 +18,11 @@ from boardtide.llm.common import Stage, map_batches, with_row
 SIZE = 2048
 #: Pieces per partition.  More waste less (each partition leaves a few open sequences).
 SHARE = 20_000
-_TOKENIZERS = {}
+_TOKENIZERS, _CHUNKS = {}, {}
+_CHUNK = re.compile(r"[^ \t\n\r]+")
 
 
-def _tokenizer(data, tag):
+def tokenizer(data, tag):
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -31,6 +33,21 @@ def _tokenizer(data, tag):
     return _TOKENIZERS[tag]
 
 
+def token_bytes(tok, texts, known, limit=500_000):
+    """The ids of each text as little-endian 32-bit integers.
+
+    No token spans white space, so a text has the ids of its chunks between blanks, one after the
+    other.  `known` remembers those of chunks already met; it is emptied beyond `limit`.
+    """
+    if len(known) > limit:
+        known.clear()
+    cut = [_CHUNK.findall(t or "") for t in texts]
+    new = list(set().union(*cut).difference(known))
+    for chunk, found in zip(new, tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
+        known[chunk] = np.array(found.ids, "<u4").tobytes()
+    return [b"".join(map(known.__getitem__, chunks)) for chunks in cut]
+
+
 def tokenise(spark, docs, vocabulary, end_id=0, size=SIZE, with_ids=False):
     """Pieces of at most `size` ids: doc_id, row, piece, start, length, ids_crc32 (and ids).
 
@@ -39,14 +56,16 @@ def tokenise(spark, docs, vocabulary, end_id=0, size=SIZE, with_ids=False):
     with open(vocabulary, encoding="utf-8") as f:
         shared = spark.sparkContext.broadcast(f.read())
     kind = dict(docs.dtypes)["doc_id"]
+    end = np.array([end_id], "<u4").tobytes()
 
     def run(batch):
-        tok = _tokenizer(shared.value, vocabulary)
+        tok = tokenizer(shared.value, vocabulary)
         out = {k: [] for k in ("doc_id", "row", "piece", "start", "length", "ids_crc32")}
         if with_ids:
             out["ids"] = []
-        for doc, row, text in zip(batch["doc_id"], batch["row"], batch["text"], strict=True):
-            ids = np.array(tok.encode(text or "", add_special_tokens=False).ids + [end_id], "<u4")
+        found = token_bytes(tok, batch["text"], _CHUNKS.setdefault(vocabulary, {}))
+        for doc, row, ids in zip(batch["doc_id"], batch["row"], found, strict=True):
+            ids = np.frombuffer(ids + end, "<u4")
             for i, at in enumerate(range(0, len(ids), size)):
                 cut = ids[at:at + size]
                 found = (doc, row, i, at, len(cut), zlib.crc32(cut.tobytes()))

@@ -149,3 +149,16 @@ def test_reliabilities_tell_good_labelers():
     w = pii.span_classifier(counts, post)
     assert w[0] < 0 < sum(w)
     assert pii.expectation_maximisation({}) == {} and len(pii.span_classifier({}, {})) == 5
+
+
+def test_chunks_have_the_ids_of_the_text():
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["", " ", "\u0391\u03a3 \u03a3. \u039f\u0394\u039f\u03a3,x", "a\u00a0b\u2003c \x1cq\x1dz", "e\u0301 \u0308x", "\u0130stanbul",
+             "it's don't 12,345\t\ty\r\nz", "\x85a\x0bb\x0cc", "\ufb01 \u2460 \uff12", "\u1100\u1161 \u11a8", "x\u0000y \U0001f600!?"] * 2
+    known = {}
+    for size in (500_000, 3):
+        got = packing.token_bytes(tok, texts, known, size)
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [
+            tok.encode(t, add_special_tokens=False).ids for t in texts]
