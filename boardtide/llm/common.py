@@ -20,8 +20,8 @@ class Stage:
         self.spark = spark
         self.base = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
 
-    def keep(self, df, name):
-        df.write.parquet(f"{self.base}/{name}")
+    def keep(self, df, name, codec="snappy"):
+        df.write.option("compression", codec).parquet(f"{self.base}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.base}/{name}")
 
     def drop(self, name):

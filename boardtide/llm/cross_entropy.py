@@ -1,66 +1,90 @@
-"""Cross-entropy difference of two n-gram models over one vocabulary.  DataFrame functions only.
+"""Cross-entropy difference of two n-gram models over one vocabulary.
 
-Both models are word bigrams backed off to unigrams by Dirichlet smoothing and to the uniform
-distribution over the vocabulary of all documents:
+The vocabulary is that of a public tokenizer.  Both models are bigrams of its ids, backed off to
+unigrams by Dirichlet smoothing and to the uniform distribution over the vocabulary:
     p(b | a) = (c(a b) + MASS * p(b)) / (c(a) + MASS),   p(b) = (c(b) + 1) / (N + V)
 The background counts every document, the target those documents `is_target` marks.  A document's
-score is the mean over its words of the target's loss minus the background's: lower is more like
+score is the mean over its ids of the target's loss minus the background's: lower is more like
 the target.
 """
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from boardtide.llm.common import Stage, with_row
+from boardtide.llm.common import Stage, map_batches, with_row
+from boardtide.llm.packing import token_bytes, tokenizer
 
 MASS = 20.0
-START = 0
+_CHUNKS = {}
 
 
-def word_pairs(docs):
-    """row, target, a, b: 64-bit word keys, a the word before (START at the beginning of a text)."""
-    words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"\s+"), lambda w: w != "")
-    keys = docs.select("row", "target", F.transform(words, lambda w: F.xxhash64(w)).alias("k"))
-    return keys.select("row", "target", F.explode(F.transform("k", lambda b, i: F.struct(
-        F.when(i == 0, F.lit(START).cast("bigint")).otherwise(F.get("k", i - 1)).alias("a"),
-        b.alias("b")))).alias("p")).select("row", "target", "p.a", "p.b")
+def pairs_of(ids, start):
+    """(keys, counts) of the pairs of neighbouring ids; `start` stands before the first one."""
+    before = np.concatenate([np.array([start], np.int64), ids[:-1]])[:len(ids)]
+    return np.unique(before * (start + 1) + ids, return_counts=True)
 
 
-def score(spark, docs, is_target, stage=None):
-    """doc_id, n_words, target_loss, background_loss, score; natural logarithms per word.
+def count_pairs(spark, docs, vocabulary):
+    """(row, doc_id, target, n_tokens, pairs) of each document, and the size of the vocabulary."""
+    with open(vocabulary, encoding="utf-8") as f:
+        data = f.read()
+    start = tokenizer(data, vocabulary).get_vocab_size()
+    shared = spark.sparkContext.broadcast(data)
 
-    `docs` is a stored table; `is_target` is a boolean column over it (null: no).  A text without
-    words has no losses (null) and a score of 0.  Without target documents the target model is
-    uniform.  Repeated rows count as often as they occur.
+    def run(batch):
+        found = token_bytes(tokenizer(shared.value, vocabulary), batch["text"],
+                            _CHUNKS.setdefault(vocabulary, {}))
+        out = {k: batch[k] for k in ("row", "doc_id", "target")} | {"n_tokens": [], "keys": [], "ns": []}
+        for ids in found:
+            keys, ns = pairs_of(np.frombuffer(ids, "<u4").astype(np.int64), start)
+            out["n_tokens"].append(int(ns.sum()))
+            out["keys"].append(keys)
+            out["ns"].append(ns)
+        return out
+
+    kind = dict(docs.dtypes)["doc_id"]
+    return map_batches(
+        docs.select("row", "doc_id", "target", "text"), run,
+        f"row bigint, doc_id {kind}, target boolean, n_tokens bigint, keys array<bigint>, "
+        "ns array<bigint>", 128), start
+
+
+def score(spark, docs, is_target, vocabulary, stage=None):
+    """doc_id, n_tokens, target_loss, background_loss, score; natural logarithms per id.
+
+    `is_target` is a boolean column over `docs` (null: no).  A text without ids has no losses
+    (null) and a score of 0.  Without target documents the target model is uniform.  Repeated rows
+    count as often as they occur.
+
+    A document's pairs are counted before they move.  Sums by id have a row per entry of the
+    vocabulary at most, which bounds what is broadcast.
     """
     stage = stage or Stage(spark, "lm")
-    rows = stage.keep(with_row(docs).select(
-        "row", "doc_id", F.coalesce(is_target, F.lit(False)).alias("target"), "text"), "rows")
-    # the pairs are cut from the texts twice, which is less to move than pairs counted by document
-    pairs = word_pairs(rows)
-    grams = stage.keep(pairs.groupBy("a", "b").agg(
-        F.count("*").alias("n"), F.sum(F.col("target").cast("bigint")).alias("t")), "grams")
-    ones = stage.keep(grams.groupBy(F.col("b").alias("w")).agg(
-        F.sum("n").alias("n"), F.sum("t").alias("t")), "ones")
-    total = ones.agg(F.sum("n"), F.sum("t"), F.count("*")).first()
-    n_all, t_all, size = total[0] or 0, total[1] or 0, total[2] or 1
-    before = grams.groupBy("a").agg(F.sum("n").alias("an"), F.sum("t").alias("at"))
+    counted, start = count_pairs(spark, with_row(docs).select(
+        "row", "doc_id", F.coalesce(is_target, F.lit(False)).alias("target"), "text"), vocabulary)
+    rows = stage.keep(counted, "rows", "zstd")
+    pairs = rows.select("row", "target", F.explode(F.arrays_zip("keys", "ns")).alias("p")).select(
+        "row", "target", F.col("p.keys").alias("key"), F.col("p.ns").alias("n"))
+    grams = stage.keep(pairs.groupBy("key").agg(
+        F.sum("n").alias("n"), F.sum(F.when(F.col("target"), F.col("n")).otherwise(0)).alias("t")), "grams")
+    grams = grams.select("*", F.expr(f"key div {start + 1}").alias("a"), (F.col("key") % (start + 1)).alias("b"))
+    total = grams.agg(F.sum("n"), F.sum("t")).first()
+    sums = lambda by, *names: F.broadcast(grams.groupBy(by).agg(
+        F.sum("n").alias(names[0]), F.sum("t").alias(names[1])))
 
     def loss(pair, first, one, mass):
-        base = (one + 1.0) / F.lit(float(mass + size))
+        base = (one + 1.0) / F.lit(float((mass or 0) + start))
         return -F.log((pair + MASS * base) / (first + MASS))
 
-    priced = (grams.join(before, "a")
-              .join(ones.select(F.col("w").alias("b"), F.col("n").alias("bn"), F.col("t").alias("bt")), "b")
-              .select("a", "b", loss(F.col("n"), F.col("an"), F.col("bn"), n_all).alias("back"),
-                      loss(F.col("t"), F.col("at"), F.col("bt"), t_all).alias("goal")))
-    priced = stage.keep(priced, "priced")
-    sums = pairs.drop("target").join(priced, ["a", "b"]).groupBy("row").agg(
-        F.count("*").alias("n_words"), F.sum("goal").alias("goal"), F.sum("back").alias("back"))
-    return rows.select("row", "doc_id").join(sums, "row", "left").select(
-        "doc_id", F.coalesce("n_words", F.lit(0)).alias("n_words"),
-        (F.col("goal") / F.col("n_words")).alias("target_loss"),
-        (F.col("back") / F.col("n_words")).alias("background_loss"),
-        F.coalesce((F.col("goal") - F.col("back")) / F.col("n_words"), F.lit(0.0)).alias("score"))
+    priced = stage.keep(grams.join(sums("a", "an", "at"), "a").join(sums("b", "bn", "bt"), "b").select(
+        "key", loss(F.col("n"), F.col("an"), F.col("bn"), total[0]).alias("back"),
+        loss(F.col("t"), F.col("at"), F.col("bt"), total[1]).alias("goal")), "priced")
+    found = pairs.drop("target").join(priced.hint("shuffle_hash"), "key").groupBy("row").agg(
+        F.sum(F.col("n") * F.col("goal")).alias("goal"), F.sum(F.col("n") * F.col("back")).alias("back"))
+    return rows.select("row", "doc_id", "n_tokens").join(found, "row", "left").select(
+        "doc_id", "n_tokens", (F.col("goal") / F.col("n_tokens")).alias("target_loss"),
+        (F.col("back") / F.col("n_tokens")).alias("background_loss"),
+        F.coalesce((F.col("goal") - F.col("back")) / F.col("n_tokens"), F.lit(0.0)).alias("score"))
 
 
 def labelled_target(docs, labels):

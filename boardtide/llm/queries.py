@@ -101,4 +101,5 @@ def op8(spark, sf_dir):
 def op10(spark, sf_dir):
     docs = cross_entropy.labelled_target(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return cross_entropy.score(spark, docs, F.col("__target"))
+    return cross_entropy.score(
+        spark, docs, F.col("__target"), public_tokenizers.path("word_bpe_49k.json"))

@@ -56,7 +56,7 @@ def test_empty_tables(spark, empty):
     assert crf.keep_good(spark, empty, labels).count() == 0
     assert compact_windows.repeats(spark, empty).count() == 0
     assert cross_entropy.score(
-        spark, cross_entropy.labelled_target(empty, labels), F.col("__target")).count() == 0
+        spark, cross_entropy.labelled_target(empty, labels), F.col("__target"), VOCABULARY).count() == 0
     assert mincut.extract(spark, empty.select(
         F.col("doc_id").alias("page_id"), F.col("lang").alias("url"), F.col("text").alias("html"))).count() == 0
     assert bpe.encode_documents(spark, empty, public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -183,9 +183,11 @@ def test_passages(spark, docs):
 
 def test_cross_entropy(spark, docs):
     some = docs.filter("doc_id < 13")
-    rows = [(r.doc_id, (r.text or "").lower().split()) for r in some.select("doc_id", "text").collect()]
+    tok = Tokenizer.from_file(VOCABULARY)
+    rows = [(r.doc_id, tok.encode(r.text or "", add_special_tokens=False).ids)
+            for r in some.select("doc_id", "text").collect()]
     target = {3, 9}
-    size = len({w for _, t in rows for w in t})
+    size = tok.get_vocab_size()
 
     def model(texts):
         one = Counter(w for t in texts for w in t)
@@ -196,9 +198,9 @@ def test_cross_entropy(spark, docs):
 
     back, goal = model([t for _, t in rows]), model([t for d, t in rows if d in target])
     mean = lambda m, t: sum(m(a, b) for a, b in zip([None, *t], t)) / len(t)
-    for r in cross_entropy.score(spark, some, F.col("doc_id").isin(*target)).collect():
+    for r in cross_entropy.score(spark, some, F.col("doc_id").isin(*target), VOCABULARY).collect():
         t = dict(rows)[r.doc_id]
-        assert r.n_words == len(t)
+        assert r.n_tokens == len(t)
         assert abs(r.score - (mean(goal, t) - mean(back, t) if t else 0)) < 1e-9
 
 
