@@ -12,6 +12,7 @@ from boardtide.sources.payloads import normalise
 
 KEY = "CAST(o_orderkey AS STRING)"
 _READ = "o_totalprice >= 5000"
+_WHOLE = "o_totalprice < 490000"
 
 
 def _orders(spark, sf_dir):
@@ -63,6 +64,8 @@ def _greenhouse_landed(spark, sf_dir):
     both = _board(job(F.col("o_orderkey"), F.concat(F.lit(" Role "), "o_orderpriority")),
                   job(-F.col("o_orderkey") - 1, F.lit(None).cast("string")))
     ok = F.expr(_READ)
+    # the largest answers break off
+    both = F.when(F.expr(_WHOLE), both).otherwise(F.left(both, F.lit(60)))
     return _land(o, F.when(ok, both), ok=ok, error=F.when(~ok, F.repeat(F.lit("Timeout "), 40)))
 
 
@@ -71,17 +74,18 @@ def _greenhouse_landed(spark, sf_dir):
   'Singapore; Hub' AS location_raw, '<p>R&amp;D é' || o_orderkey || '</p>' AS description_text,
   CASE WHEN o_orderpriority < '5' THEN CAST(o_orderdate AS DATE) END AS posted_date,
   CASE WHEN o_orderpriority < '3' THEN 'published' WHEN o_orderpriority < '5' THEN 'updated' END
-    AS posted_date_basis, 'Desk' AS department FROM orders WHERE o_orderstatus <> 'F' AND {_READ}""")
+    AS posted_date_basis, 'Desk' AS department FROM orders WHERE o_orderstatus <> 'F'
+    AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE NOT ({_READ} AND {_WHOLE}))""")
 def normalise_greenhouse(spark, sf_dir):
     return normalise("greenhouse", _greenhouse_landed(spark, sf_dir))[0].select(
         "job_key", "title", "apply_url", "location_raw", "description_text", "posted_date",
         "posted_date_basis", "department")
 
 
-@query("read_outcomes", f"""SELECT 'c' || o_custkey AS firm_id, 'greenhouse' AS platform, bool_and({_READ}) AS ok,
-  CASE WHEN bool_and({_READ}) THEN count(*) FILTER (WHERE o_orderstatus <> 'F') ELSE 0 END AS row_count,
-  CASE WHEN bool_and({_READ}) THEN count(*) || ' rows failed validation'
-    ELSE substr(repeat('Timeout ', 40), 1, 200) END AS error FROM orders GROUP BY o_custkey""")
+@query("read_outcomes", f"""SELECT 'c' || o_custkey AS firm_id, 'greenhouse' AS platform, bool_and({_READ} AND {_WHOLE}) AS ok,
+  CASE WHEN bool_and({_READ} AND {_WHOLE}) THEN count(*) FILTER (WHERE o_orderstatus <> 'F') ELSE 0 END AS row_count,
+  CASE WHEN bool_and({_READ} AND {_WHOLE}) THEN count(*) || ' rows failed validation'
+    WHEN bool_and({_WHOLE}) THEN repeat('Timeout ', 40) ELSE 'payload is not readable' END AS error FROM orders GROUP BY o_custkey""")
 def read_outcomes(spark, sf_dir):
     return normalise("greenhouse", _greenhouse_landed(spark, sf_dir))[1]
 
@@ -183,7 +187,7 @@ def _workday_landed(spark, sf_dir):
 
 _WORKDAY_SQL = """WITH l AS (SELECT *, o_orderpriority = '5-LOW' AS multi, o_orderpriority = '1-URGENT' AS nice,
   CASE WHEN o_totalprice > 250000 THEN 'Main' ELSE 'Campus' END AS site FROM orders),
-w AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, site ORDER BY NOT multi, NOT nice, o_orderkey) <= 2 AS used
+w AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, site ORDER BY o_orderkey) > 0 AS used
   FROM l WHERE multi OR o_orderstatus <> 'F'),
 k AS (SELECT * FROM w WHERE NOT multi OR (used AND o_orderstatus <> 'F'))
 """
@@ -194,7 +198,7 @@ k AS (SELECT * FROM w WHERE NOT multi OR (used AND o_orderstatus <> 'F'))
     AS location_raw, CASE WHEN used THEN 'body' ELSE '' END AS description_text, DATE '2026-08-05' AS posted_date,
   'https://h.example.com/en-US/' || site || '/job/X/R-' || o_orderkey AS apply_url FROM k""")
 def normalise_workday(spark, sf_dir):
-    return normalise("workday", _workday_landed(spark, sf_dir), budget=2)[0].select(
+    return normalise("workday", _workday_landed(spark, sf_dir))[0].select(
         "job_key", "location_raw", "description_text", "posted_date", "apply_url")
 
 
@@ -210,7 +214,7 @@ f AS (SELECT o_custkey, count(*) AS sites, coalesce(string_agg(site || ': ' || o
 SELECT 'c' || f.o_custkey AS firm_id, 'workday' AS platform, true AS ok, (SELECT count(*) FROM k
   WHERE k.o_custkey = f.o_custkey) AS row_count, CASE WHEN sites > 1 THEN named ELSE plain END AS error FROM f""")
 def workday_outcomes(spark, sf_dir):
-    return normalise("workday", _workday_landed(spark, sf_dir), budget=2)[1]
+    return normalise("workday", _workday_landed(spark, sf_dir))[1]
 
 
 @query("normalise_successfactors", """SELECT 'successfactors:c' || o_custkey || ':' || o_orderkey AS job_key,
@@ -234,10 +238,10 @@ def normalise_successfactors(spark, sf_dir):
 @query("normalise_phenom", """SELECT 'phenom:c' || o_custkey || ':' || o_orderkey AS job_key,
   o_orderpriority AS title, CASE o_orderstatus WHEN 'O' THEN 'Town, Region' ELSE 'Singapore' END AS location_raw,
   ' Hi ' AS description_text, CAST(o_orderdate AS DATE) AS posted_date,
-  CASE o_orderstatus WHEN 'O' THEN 'FULL; PART' ELSE 'FULL' END AS employment_type FROM (SELECT *, row_number() OVER
-  (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders WHERE o_orderstatus <> 'F') WHERE rn <= 4""")
+  CASE o_orderstatus WHEN 'O' THEN 'FULL; PART' ELSE 'FULL' END AS employment_type FROM orders
+WHERE o_orderstatus <> 'F'""")
 def normalise_phenom(spark, sf_dir):
-    """Sitemap lines, narrowed by slug and capped per site, joined to the job pages."""
+    """Sitemap lines, narrowed by slug, joined to the job pages."""
     o = _orders(spark, sf_dir)
     url = F.concat(F.lit("https://h.example.com/g/en/job/"), F.col("key"), F.lit("/Role-"), F.col("town"))
     loc = F.concat(F.lit("<url><loc> "), url, F.lit(" </loc></url><url><loc>https://h.example.com/about</loc></url>"))
@@ -253,7 +257,7 @@ def normalise_phenom(spark, sf_dir):
     page = F.concat(F.lit('<script type="application/ld+json">{oops</script>'
                           '<script data-x="1" type="application/ld+json">'), body, F.lit("</script>"))
     landed = _land(o, loc, kind=F.lit("sitemap")).unionByName(_land(o, page, kind=F.lit("page"), url=url))
-    return normalise("phenom", landed, max_pages=4)[0].select(
+    return normalise("phenom", landed)[0].select(
         "job_key", "title", "location_raw", "description_text", "posted_date", "employment_type")
 
 

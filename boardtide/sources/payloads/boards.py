@@ -32,13 +32,13 @@ WORKABLE = (
 )
 
 
-def _rows(landed, items, layout):
-    return common.readable(landed).select(
-        "firm_id", "ats_token", "page", common.elements(items, layout))
+def _rows(judged, layout):
+    return common.drop_failed(common.readable(judged).select(
+        "firm_id", "ats_token", "page", common.elements("items", layout)), judged, ["firm_id"])
 
 
-def _jobs(landed, layout):
-    return _rows(landed, F.from_json("payload", "jobs array<string>")["jobs"], layout)
+def _jobs(landed):
+    return common.judged(landed, F.from_json("payload", "jobs array<string>")["jobs"])
 
 
 def _names(array):
@@ -67,7 +67,8 @@ def _here(place, *tests):
 
 def greenhouse(landed, place=fixed.PLACE):
     j = F.col("j")
-    rows = _jobs(landed, GREENHOUSE)
+    landed = _jobs(landed)
+    rows = _rows(landed, GREENHOUSE)
     published, updated = dates.iso_date(j["first_published"]), dates.iso_date(j["updated_at"])
     places = F.concat(F.array(F.coalesce(j["location"]["name"], F.lit(""))), _names(j["offices"]))
     required = (j["id"].isNotNull() & j["title"].isNotNull() & j["absolute_url"].isNotNull()
@@ -91,7 +92,8 @@ def greenhouse(landed, place=fixed.PLACE):
 
 def lever(landed, place=fixed.PLACE):
     j = F.col("j")
-    rows = _rows(landed, F.from_json("payload", "array<string>"), LEVER)
+    landed = common.judged(landed, F.from_json("payload", "array<string>"))
+    rows = _rows(landed, LEVER)
     posted = dates.epoch_millis_date(j["createdAt"])
     cat = lambda n: F.coalesce(j["categories"][n], F.lit(""))
     sections = F.transform(
@@ -115,7 +117,8 @@ def lever(landed, place=fixed.PLACE):
 def ashby(landed, place=fixed.PLACE):
     j = F.col("j")
     # drafts and private links are not openings: they are neither rows nor failures
-    rows = _jobs(landed, ASHBY).filter(F.coalesce(j["isListed"], F.lit(True)))
+    landed = _jobs(landed)
+    rows = _rows(landed, ASHBY).filter(F.coalesce(j["isListed"], F.lit(True)))
     posted = dates.iso_date(j["publishedAt"])
     more = F.transform(
         F.coalesce(j["secondaryLocations"], F.array().cast("array<struct<location:string>>")),
@@ -136,7 +139,8 @@ def ashby(landed, place=fixed.PLACE):
 
 def workable(landed, place=fixed.PLACE):
     j = F.col("j")
-    rows = _jobs(landed, WORKABLE)
+    landed = _jobs(landed)
+    rows = _rows(landed, WORKABLE)
     first, second = dates.iso_date(j["published_on"]), dates.iso_date(j["created_at"])
     posted = F.coalesce(first, second)
     required = (j["title"].isNotNull() & j["shortcode"].isNotNull()

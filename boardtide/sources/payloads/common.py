@@ -6,6 +6,7 @@ from boardtide import fixed, schema
 from boardtide.functions import text, urls
 
 
+UNREADABLE = "payload is not readable"
 TRIMMED = ("title", "firm_id", "external_id", "apply_url")
 
 
@@ -18,6 +19,22 @@ def elements(items, layout):
     return F.posexplode(F.transform(items, lambda raw: F.from_json(raw, layout))).alias("pos", "j")
 
 
+def judged(landed, items):
+    """`landed` with its parsed `items`.  A response without them is a failed read, whatever its
+    status was: an error page must not look like an empty board."""
+    ok = F.coalesce("ok", F.lit(False))
+    parsed = landed.withColumn("items", F.when(ok, items))
+    broken = ok & F.col("items").isNull()
+    return parsed.withColumns({
+        "ok": ok & ~broken, "error": F.when(broken, UNREADABLE).otherwise(F.col("error"))})
+
+
+def drop_failed(rows, landed, group):
+    """A firm (or site) with a failed read yields nothing at all."""
+    failed = landed.filter(~F.coalesce("ok", F.lit(False))).select(*group).distinct()
+    return rows.join(failed, list(group), "left_anti")
+
+
 def plain(row, *names):
     """Plain-string fields of a payload row: JSON null and absent both read as empty."""
     return [F.coalesce(row[n], F.lit("")).alias(n) for n in names]
@@ -88,7 +105,7 @@ def outcomes_of(landed, rows, platform, group=("firm_id",)):
         *group, F.lit(platform).alias("platform"), "ok",
         F.when(F.col("ok"), F.col("n")).otherwise(0).cast("bigint").alias("row_count"),
         F.when(F.col("ok"), invalid_note(F.col("bad")))
-        .otherwise(F.left("why", F.lit(fixed.ERROR_CHARS))).alias("error"))
+        .otherwise(F.col("why")).alias("error"))
 
 
 def readable(landed):

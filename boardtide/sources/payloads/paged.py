@@ -55,12 +55,6 @@ def _lists(landed, kind="list"):
     return landed.filter(F.col("kind") == kind)
 
 
-def _drop_failed(rows, lists, group):
-    """A firm (or site) with an unreadable list page yields nothing at all."""
-    failed = lists.filter(~F.coalesce("ok", F.lit(False))).select(*group).distinct()
-    return rows.join(failed, list(group), "left_anti")
-
-
 def _details(landed, kind, *columns):
     """One readable detail per (firm, url); the latest page wins when one was read twice."""
     keys = ["firm_id", *columns, "url"]
@@ -69,9 +63,8 @@ def _details(landed, kind, *columns):
 
 
 def smartrecruiters(landed, place=fixed.PLACE, codes=fixed.PLACE_CODES):
-    lists = _lists(landed)
-    items = F.from_json("payload", "content array<string>")["content"]
-    rows = _drop_failed(_rows(lists, items, SMARTRECRUITERS), lists, ["firm_id"])
+    lists = common.judged(_lists(landed), F.from_json("payload", "content array<string>")["content"])
+    rows = _rows(lists, SMARTRECRUITERS)
     details = _details(landed, "detail").select(
         "firm_id", F.col("url").alias("_id"), "detail")
     joined = (rows.withColumn("_id", F.col("j")["id"])
@@ -102,18 +95,18 @@ def smartrecruiters(landed, place=fixed.PLACE, codes=fixed.PLACE_CODES):
     return out, common.outcomes_of(lists, out, "smartrecruiters")
 
 
-def workday(landed, place=fixed.PLACE, budget=fixed.DETAIL_BUDGET):
-    """Several sites per tenant; details are used for the first `budget` rows of a site.
+def workday(landed, place=fixed.PLACE, budget=None):
+    """Several sites per tenant; every landed detail is used.
 
-    A row that only says "3 Locations" is judged by its detail: elsewhere means dropped, and
-    beyond the budget it cannot be judged and is dropped too.  Other rows beyond the budget are
-    kept on their title alone.
+    A row that only says "3 Locations" is judged by its detail: elsewhere means dropped.  With a
+    `budget`, details count for the first so many rows of a site: beyond it a row of several
+    locations cannot be judged and is dropped, others are kept on their title alone.
     """
     site = ["firm_id", "board_site"]
-    lists = _lists(landed)
-    items = F.from_json("payload", "jobPostings array<string>")["jobPostings"]
-    rows = _drop_failed(common.readable(lists).select(
-        *site, "ats_host", "fetched_on", "page", common.elements(items, WORKDAY)), lists, site)
+    lists = common.judged(
+        _lists(landed), F.from_json("payload", "jobPostings array<string>")["jobPostings"])
+    rows = common.drop_failed(common.readable(lists).select(
+        *site, "ats_host", "fetched_on", "page", common.elements("items", WORKDAY)), lists, site)
     j = F.col("j")
     listed = F.coalesce(j["locationsText"], F.lit(""))
     rows = rows.select(
@@ -124,7 +117,7 @@ def workday(landed, place=fixed.PLACE, budget=fixed.DETAIL_BUDGET):
     wanted = rows.filter("well_formed").filter(
         F.lit(True) if place is None
         else F.col("multi") | text.mentions_place("listed", place=place))
-    ranked = split_budget(
+    ranked = wanted.withColumn("in_budget", F.lit(True)) if budget is None else split_budget(
         wanted.withColumn("single", F.when(F.col("multi"), 0).otherwise(1)),
         site, ["single", "dull", "page", "pos"], budget)
 
@@ -171,8 +164,7 @@ def _workday_outcomes(lists, rows, ranked, keyed):
     site = ["firm_id", "board_site"]
     reads = lists.groupBy(*site).agg(
         F.bool_and(F.coalesce("ok", F.lit(False))).alias("ok"), F.min("page").alias("first"),
-        F.max(F.when(~F.coalesce("ok", F.lit(False)), F.left("error", F.lit(fixed.ERROR_CHARS))))
-        .alias("why"))
+        F.max(F.when(~F.coalesce("ok", F.lit(False)), F.col("error"))).alias("why"))
     bad = rows.groupBy(*site).agg(F.count_if(~F.col("well_formed")).alias("bad"))
     over = ranked.groupBy(*site).agg(F.count_if(~F.col("in_budget")).alias("over"))
     notes = F.array(
@@ -193,12 +185,13 @@ def _workday_outcomes(lists, rows, ranked, keyed):
     return firms.join(count, "firm_id", "left").select(
         "firm_id", F.lit("workday").alias("platform"), "ok",
         F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"),
-        F.when(F.size("sites") > 1, F.left(F.array_join(named, "; "), F.lit(fixed.ERROR_CHARS)))
+        F.when(F.size("sites") > 1, F.array_join(named, "; "))
         .otherwise(F.col("sites")[0]["note"]).alias("error"))
 
 
 def successfactors(landed, place=fixed.PLACE):
     """HTML tiles.  A search filtered by place is trusted; without hits the full sweep is used."""
+    landed = common.judged(landed, F.when(text.strip("payload") != "", F.lit(True)))
     pages = common.readable(landed).select(
         "firm_id", F.concat(F.lit("https://"), "ats_host").alias("base"), "kind", "page",
         F.posexplode(F.split("payload", fixed.TILE_MARKER)).alias("pos", "chunk"))
@@ -278,16 +271,21 @@ def _sweep_outcomes(landed, keyed, platform):
             F.col("note")))).alias("error"))
 
 
-def phenom(landed, place=fixed.PLACE, max_pages=fixed.MAX_JOB_PAGES):
-    """Sitemap URLs narrowed by slug, then the JobPosting block of each landed page."""
-    maps = landed.filter(F.col("kind") == "sitemap")
+def phenom(landed, place=fixed.PLACE, max_pages=None):
+    """Sitemap URLs narrowed by slug, then the JobPosting block of each landed page.
+
+    With `max_pages`, only the first so many pages of a firm are used.
+    """
+    maps = common.judged(landed.filter(F.col("kind") == "sitemap"), F.when(
+        F.col("payload").rlike(r"(?i)<(urlset|sitemapindex|url|loc)\b"), F.lit(True)))
     found = common.readable(maps).select("firm_id", "page", F.posexplode(F.regexp_extract_all(
         "payload", F.lit("(?s)" + fixed.SITEMAP_LOC), F.lit(1))).alias("pos", "url"))
     found = found.filter(urls.is_job_page("url"))
     if place is not None:
         found = found.filter(text.mentions_place("url", place=place))
-    listed = top_per_group(first_wins(found, ["firm_id", "url"], ["page", "pos"]),
-                           ["firm_id"], ["page", "pos"], max_pages)
+    listed = first_wins(found, ["firm_id", "url"], ["page", "pos"])
+    if max_pages is not None:
+        listed = top_per_group(listed, ["firm_id"], ["page", "pos"], max_pages)
     pages = listed.join(_details(landed, "page"), ["firm_id", "url"])
 
     blocks = F.regexp_extract_all("detail", F.lit("(?si)" + fixed.LD_JSON_BLOCK), F.lit(1))
@@ -319,23 +317,27 @@ def phenom(landed, place=fixed.PLACE, max_pages=fixed.MAX_JOB_PAGES):
 
 
 def _site_outcomes(maps, out):
+    """A firm stands once its first sitemap was read; the errors of the others become its note."""
     ok = F.coalesce("ok", F.lit(False))
+    # a firm has a handful of sitemaps, so this list is short whatever the number of postings
+    errors = F.transform(F.array_sort(F.collect_list(F.when(
+        ~ok, F.struct("page", F.coalesce("error", F.lit("")).alias("error"))))), lambda e: e["error"])
     reads = maps.groupBy("firm_id").agg(
         F.min_by(ok, "page").alias("ok"), F.min_by("error", "page").alias("why"),
-        F.max(F.when(~ok, F.col("error"))).alias("note"))
+        F.array_join(errors, "; ").alias("note"))
     count = out.groupBy("firm_id").agg(F.count_if("valid").alias("n"))
     return reads.join(count, "firm_id", "left").select(
         "firm_id", F.lit("phenom").alias("platform"), "ok",
         F.coalesce("n", F.lit(0)).cast("bigint").alias("row_count"),
-        F.left(F.coalesce(F.when(F.col("ok"), F.col("note")).otherwise(F.col("why")), F.lit("")),
-               F.lit(fixed.ERROR_CHARS)).alias("error"))
+        F.coalesce(F.when(F.col("ok"), F.col("note")).otherwise(F.col("why")), F.lit(""))
+        .alias("error"))
 
 
 def portal(landed, place=None):
     """The government portal: one sweep over many search terms, first hit of a posting wins."""
-    items = F.from_json("payload", "results array<string>")["results"]
+    landed = common.judged(landed, F.from_json("payload", "results array<string>")["results"])
     rows = common.readable(landed).select(
-        "page", F.col("url").alias("term"), common.elements(items, PORTAL))
+        "page", F.col("url").alias("term"), common.elements("items", PORTAL))
     j, meta = F.col("j"), F.col("j")["metadata"]
     named = lambda array, field: F.transform(
         F.coalesce(j[array], F.array().cast(f"array<struct<{field}:string>>")),

@@ -54,7 +54,7 @@ def test_greenhouse(spark):
     assert json.loads(one.extra_json)["requisition_id"] == ""
     assert (p["2"].posted_date, p["2"].posted_date_basis) == (dt.date(2026, 8, 1), "updated")
     assert (o["f"].ok, o["f"].row_count, o["f"].error) == (True, 2, "3 rows failed validation")
-    assert (o["g"].ok, o["g"].row_count, len(o["g"].error)) == (False, 0, 200)
+    assert (o["g"].ok, o["g"].row_count, len(o["g"].error)) == (False, 0, 400)
     assert (o["h"].ok, o["h"].row_count, o["h"].error) == (True, 0, "")
     everywhere, _ = run(spark, "greenhouse", [{"payload": {"jobs": jobs}}], place=None)
     assert set(everywhere) == {"1", "2", "3"}
@@ -247,9 +247,21 @@ def test_portal(spark):
 
 
 @pytest.mark.parametrize("platform", ["greenhouse", "lever", "smartrecruiters", "workday", "mcf"])
-def test_unparsable_payload_gives_no_rows(spark, platform):
-    p, o = run(spark, platform, [{"payload": "<html>not json</html>"}])
-    assert p == {} and next(iter(o.values())).row_count == 0
+def test_unparsable_payload_is_a_failed_read(spark, platform):
+    for bad in ("<html>not json</html>", '{"jobs": [{"id": 1, "tit', "{}", "", None):
+        p, o = run(spark, platform, [{"payload": bad, "url": "t"}])
+        out = next(iter(o.values()))
+        assert p == {} and (out.ok, out.row_count) == (False, 0)
+        assert "payload is not readable" in out.error
+
+
+def test_one_bad_page_fails_the_firm(spark):
+    job = {"id": 1, "title": "A", "absolute_url": "https://x.com/1", "location": {"name": "Singapore"}}
+    p, o = run(spark, "greenhouse", [{"payload": {"jobs": [job]}}, {"page": 1, "payload": "oops"},
+                                     {"firm_id": "g", "payload": {"jobs": [job | {"id": 2}]}}])
+    assert set(p) == {"2"}
+    assert (o["f"].ok, o["f"].row_count, o["f"].error) == (False, 0, "payload is not readable")
+    assert (o["g"].ok, o["g"].row_count) == (True, 1)
 
 
 def test_stored_rows_must_keep_the_invariants(spark):
