@@ -113,11 +113,11 @@ def grad_verdict(df, title="title", body="description_text", min_years=None,
 
 
 def family_verdict(df, title="title", body="description_text", department="department",
-                   sector="sector", rule_list=fixed.FAMILY_RULES):
+                   sector="sector", rule_list=fixed.FAMILY_RULES, body_chars=None):
     """Add job_family, family_group, family_confidence and family_basis.
 
-    Title, then department, then the first characters of the cleaned body, then the sector's
-    residual family; the first rule that matches within a tier decides.
+    Title, then department, then the cleaned body (its first `body_chars` where given), then the
+    sector's residual family; the first rule that matches within a tier decides.
     """
     keep = df.columns
     get = lambda name: F.coalesce(_optional(df, name, F.lit("")), F.lit(""))
@@ -127,7 +127,8 @@ def family_verdict(df, title="title", body="description_text", department="depar
     two = one.select(*one.columns, F.when(F.col("_ft").isNull() & (F.col("_dep") != ""),
                                           rules.first_match(rule_list, "_dep")).alias("_fd"))
     open_row = F.col("_ft").isNull() & F.col("_fd").isNull()
-    lead = F.when(open_row, F.left(text.clean_text(get(body)), F.lit(fixed.FAMILY_BODY_CHARS)))
+    cleaned = text.clean_text(get(body))
+    lead = F.when(open_row, cleaned if body_chars is None else F.left(cleaned, F.lit(body_chars)))
     three = two.select(*two.columns, lead.alias("_lead"))
     four = three.select(*three.columns, F.when(F.col("_lead") != "", rules.first_match(
         rule_list, "_lead")).alias("_fb"))

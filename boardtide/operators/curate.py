@@ -35,7 +35,6 @@ def curate(postings, registry, lifecycle, overrides, snapshot_date, place=fixed.
         "mcf_job_id": F.coalesce(extra("mcf_job_id"), F.lit("")),
         "salary_min": extra("salary_min").try_cast("double"),
         "salary_max": extra("salary_max").try_cast("double"),
-        "description_text": F.left("description_text", F.lit(fixed.DESCRIPTION_CAP)),
         "snapshot_date": F.lit(snapshot_date).cast("date"),
     }), schema.CURATED)
 
@@ -45,5 +44,5 @@ def build_tables(postings, lifecycle, registry, aliases, overrides, snapshot_dat
     """(curated, candidates, merged) from the newest postings and a computed lifecycle."""
     merged = merge_sources(postings, registry, aliases, **({"stage": stage} if stage else {}))
     curated = curate(merged.postings, registry, lifecycle, overrides, snapshot_date, **options)
-    written = summarise_candidates(merged.candidates, top=fixed.CANDIDATES_WRITTEN)
+    written = summarise_candidates(merged.candidates)
     return curated, schema.conform(written, schema.CANDIDATES), merged

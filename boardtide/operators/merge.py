@@ -134,9 +134,10 @@ def merge_sources(postings, registry, aliases, order=("source_platform", "job_ke
         resolutions=resolved.select("job_key", F.col("_firm").alias("firm_id"), "basis", "score"))
 
 
-def summarise_candidates(candidates, top=fixed.CANDIDATES_SHOWN, order=("job_key",)):
-    """Employers outside the registry by number of postings, busiest first."""
+def summarise_candidates(candidates, top=None, order=("job_key",)):
+    """Employers outside the registry by number of postings, busiest first; with `top`, so many."""
     name = F.coalesce(text.none_if_empty("extra.employer_name"), F.col("firm_id"))
-    return (candidates.groupBy(name.alias("employer"))
-            .agg(F.count("*").alias("postings"), F.min(F.struct(*order)).alias("_first"))
-            .orderBy(F.desc("postings"), "_first").limit(top).select("employer", "postings"))
+    ranked = (candidates.groupBy(name.alias("employer"))
+              .agg(F.count("*").alias("postings"), F.min(F.struct(*order)).alias("_first"))
+              .orderBy(F.desc("postings"), "_first"))
+    return (ranked if top is None else ranked.limit(top)).select("employer", "postings")

@@ -175,7 +175,7 @@ WHERE o_orderstatus = 'O' AND n_regionkey >= 4 GROUP BY 1""")
 def candidates_topn(spark, sf_dir):
     """Only the unresolved rows are read, so nothing of the twin search is stored or run."""
     merged = merge.merge_sources(*_merge_inputs(spark, sf_dir))
-    return merge.summarise_candidates(merged.candidates, top=fixed.CANDIDATES_WRITTEN)
+    return merge.summarise_candidates(merged.candidates)
 
 
 @query("curated_table", MERGE_SQL + """SELECT kept.job_key, firm_id, CASE WHEN n_regionkey < 4 THEN 'Nation_' || n_nationkey
