@@ -3,14 +3,17 @@
 from pyspark.sql import functions as F, Window as W
 
 
-def newest_per_source(df, cutoff=None, source="source", date="snapshot_date"):
+def newest_per_source(df, cutoff=None, source="source", date="snapshot_date", most=10_000):
     """Rows of each source's newest date at or before `cutoff`, each source on its own.
 
-    The maxima are one row per source after a partial aggregation, so the join back is
-    broadcast by the planner once it has seen their size.
+    The maxima, one row per source, are read first.  Up to `most` of them become a broadcast table,
+    so that the base is filtered where it lies; beyond that the two are joined by key.
     """
     base = df if cutoff is None else df.filter(F.col(date) <= F.lit(cutoff))
     newest = base.groupBy(source).agg(F.max(date).alias(date))
+    few = newest.limit(most + 1).collect()
+    if len(few) <= most:
+        newest = F.broadcast(df.sparkSession.createDataFrame(few, newest.schema))
     return base.join(newest, [source, date], "left_semi")
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F, Window as W
 
 from boardtide.functions.similarity import token_set_ratio
 
+LOWEST = 200 / 3
 KEYS = ["block", "kind", "item"]
 
 
@@ -69,8 +70,11 @@ def _ranked(items, threshold):
 def similar_titles(left, right, block, text, threshold, stage=lambda df, name: df):
     """Distinct (block, title_left, title_right, score) with score >= threshold.
 
-    `stage(df, name)` may store the ranked items, which several joins read.
+    `stage(df, name)` may store the ranked items, which several joins read.  Below LOWEST the edits
+    allowed may leave no pair in common, so such a threshold is refused.
     """
+    if threshold < LOWEST:
+        raise ValueError(f"titles can be joined from a threshold of {LOWEST:.1f} on, not {threshold}")
     ranked = stage(_ranked(_items(left, right, block, text), threshold), "title_items")
     side = lambda n, name, keep: ranked.filter((F.col("side") == n) & keep).select(
         *KEYS, F.col("title").alias(name))

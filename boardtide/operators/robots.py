@@ -52,10 +52,13 @@ def admit(pages, robots, agent="*", unknown_is_allowed=True):
     """Add `verdict` (allowed / disallowed / unknown) and `may_fetch` to rows with a `url`.
 
     `robots` has host, status and body as landed: 200 is read, 401 and 403 deny everything, 404
-    allows everything, anything else is unknown.  Each host's rules travel as one array, so a
+    allows everything, anything else is unknown.  Of several files of a host the newest by
+    `fetched_on` counts, or the largest (status, body) where there is no such column.  Each host's rules travel as one array, so a
     host with very many URLs is a plain skewed equi-join and no (url, rule) pairs are produced.
     """
-    files = robots.select("host", "status", "body")
+    newest = F.col("fetched_on") if "fetched_on" in robots.columns else F.struct("status", "body")
+    files = robots.groupBy("host").agg(F.max_by(F.struct("status", "body"), newest).alias("file")).select(
+        "host", "file.*")
     rules = robots_rules(files.filter(F.col("status") == 200), agent)
     known = files.select("host", "status").join(rules, "host", "left")
     path = _UNQUOTE(urls.path_of("url"))

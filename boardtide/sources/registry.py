@@ -1,17 +1,15 @@
 """Small dimension files: firm registry, employer aliases, family overrides."""
 
-import os
-
 from pyspark.sql import functions as F
 
 from boardtide import fixed, schema
 from boardtide.functions import rules, text
+from boardtide.sources.snapshots import folder_exists
 
 
 def _read_csv(spark, path, layout, order):
     """Trimmed CSV rows with their position in the file; typed and empty when there is none."""
-    local = not ("://" in path and not path.startswith("file:"))
-    if local and not os.path.exists(path.removeprefix("file://")):
+    if not folder_exists(spark, path):
         return spark.createDataFrame([], layout).withColumn(order, F.lit(0).cast("bigint"))
     names = schema.names(layout)
     as_text = ", ".join(f"{n} string" for n in names)
@@ -48,7 +46,8 @@ def registry_violations(rows):
     problems = F.filter(F.array(*[F.when(bad, msg) for bad, msg in checks]),
                         lambda p: p.isNotNull())
     broken = rows.select("firm_id", "line", F.explode(problems).alias("problem"))
-    copies = (rows.groupBy("firm_id").agg(F.count("*").alias("n"), F.max("line").alias("line"))
+    copies = (rows.groupBy(F.lower("firm_id").alias("id")).agg(
+        F.count("*").alias("n"), F.max_by("firm_id", "line").alias("firm_id"), F.max("line").alias("line"))
               .filter("n > 1").select("firm_id", "line", F.lit("duplicate firm_id").alias("problem")))
     return broken.unionByName(copies)
 
@@ -65,6 +64,8 @@ def typed_registry(rows):
 
 
 def read_registry_rows(spark, path):
+    if not folder_exists(spark, path):
+        raise FileNotFoundError(f"there is no registry at {path}")
     rows = _read_csv(spark, path, schema.REGISTRY, "registry_ord")
     return rows.filter(F.col("firm_id") != "").withColumn("line", F.col("registry_ord") + 2)
 
@@ -72,7 +73,7 @@ def read_registry_rows(spark, path):
 def load_registry(spark, path):
     """The validated registry.  All problems are reported together, then it fails once."""
     rows = read_registry_rows(spark, path)
-    problems = registry_violations(rows).orderBy("line").limit(1000).collect()
+    problems = registry_violations(rows).orderBy("line").collect()
     if problems:
         listing = "\n".join(f"  line {r.line} ({r.firm_id}): {r.problem}" for r in problems)
         raise ValueError(f"{path} has problems:\n{listing}")

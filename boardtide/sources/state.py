@@ -1,22 +1,30 @@
 """Subscriptions and the record of what was sent to whom."""
 
-import os
-
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from boardtide import schema
+from boardtide.sources.snapshots import folder_exists
 
 _CORRUPT = "_corrupt"
 
 
 def read_subscriptions(spark, path):
-    """One JSON record per line or array item; records that cannot be read are skipped."""
-    if "://" not in path and not os.path.exists(path):
+    """Records of a JSON object's `subscriptions`, of a JSON array, or one per line.
+
+    Objects and arrays may be indented in any way.  Records that cannot be read are skipped.
+    """
+    if not folder_exists(spark, path):
         return spark.createDataFrame([], schema.SUBSCRIPTIONS)
     layout = StructType(schema.SUBSCRIPTIONS.fields + [StructField(_CORRUPT, StringType())])
-    raw = (spark.read.schema(layout).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", _CORRUPT).json(path))
+    value = F.trim("value")
+    records = (F.when(F.ltrim(F.regexp_replace("value", r"^\s+", "")).startswith("["),
+                      F.from_json(value, "array<string>"))
+               .otherwise(F.coalesce(F.from_json(value, "subscriptions array<string>")["subscriptions"],
+                                     F.split("value", r"\r?\n"))))
+    raw = spark.read.text(path, wholetext=True).select(F.explode(records).alias("record")).select(
+        F.from_json("record", layout, {
+            "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}).alias("r")).select("r.*")
     empty = F.array().cast("array<string>")
     return raw.filter(F.col(_CORRUPT).isNull() & F.col("chat_id").isNotNull()).select(
         "chat_id", F.coalesce("role_types", empty).alias("role_types"),
@@ -36,7 +44,7 @@ def sent_keys(subs):
 
 
 def read_sent(spark, path):
-    if "://" not in path and not os.path.exists(path):
+    if not folder_exists(spark, path):
         return spark.createDataFrame([], schema.SENT_STATE)
     return spark.read.schema(schema.SENT_STATE).parquet(path)
 
