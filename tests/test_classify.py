@@ -128,12 +128,14 @@ def test_family_tiers(spark):
          "risk_compliance", "description", 0.4),
         ("Associate", "compliance", " Legal ", "x", "legal", "department", 0.6),
         ("Supply Chain Analyst", "data science", "", "", "supply_chain", "title", 0.9),
-        ("Associate", "x" * 600 + " compliance", "", "", "other", "unmatched", 0.0),
+        ("Associate", "x" * 600 + " compliance", "", "", "risk_compliance", "description", 0.4),
     ]
     df = spark.createDataFrame(rows, "title string, description_text string, department string, "
                                "sector string, want string, basis string, conf double")
     for r in classify.family_verdict(df).collect():
         assert (r.job_family, r.family_basis, r.family_confidence) == (r.want, r.basis, r.conf), r
+    late = classify.family_verdict(df.filter("length(description_text) > 600"), body_chars=600)
+    assert [(r.job_family, r.family_basis) for r in late.collect()] == [("other", "unmatched")]
 
 
 def _random_texts(n):
