@@ -181,6 +181,42 @@ def test_passages(spark, docs):
     assert (s.start, s.end, s.other_id, s.other_start) == (3, 63, 9, 3)
 
 
+def spans_of(spark, path, texts):
+    rows = list(enumerate(texts))
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(str(path))
+    return {r.doc_id: [tuple(s) for s in r.spans]
+            for r in compact_windows.repeats(spark, spark.read.parquet(str(path))).collect()}
+
+
+def test_passages_whose_windows_have_other_first_holders(spark, tmp_path):
+    items = compact_windows.shingles(PASSAGE.split(), 5)
+    filler = lambda name, n: [f"{name}{i}" for i in range(n)]
+    lures, h = [], 0
+    while h < compact_windows.HASHES:
+        hashed = lambda x: compact_windows.mix(x ^ compact_windows.mix(np.uint64(h + 1)))
+        at = int(hashed(items).argmin())
+        for k in range(1000):
+            lure = filler(f"u{h}x{k}a", 30) + PASSAGE.split()[at:at + 5] + filler(f"u{h}x{k}b", 30)
+            if int(hashed(compact_windows.shingles(lure, 5)).argmin()) == 30:
+                break
+        lures.append(lure)
+        h += 1
+    # unrelated documents hold every smallest shingle first
+    tail = [" ".join(filler("p", 9)) + " " + PASSAGE, PASSAGE + " " + " ".join(filler("q", 7))]
+    got = spans_of(spark, tmp_path / "a", [" ".join(x) for x in lures] + tail)
+    assert got == {9: [(0, 60, 8, 9)]}
+    # the first holder has them in other places too
+    got = spans_of(spark, tmp_path / "b", [" ".join(sum(lures, [])) + " " + tail[0], tail[1]])
+    assert (0, 60, 0, 65 * 8 + 9) in got[1]
+
+
+def test_passages_that_go_on_after_a_common_one(spark, tmp_path):
+    more = " ".join(f"more{i}" for i in range(12))
+    got = spans_of(spark, tmp_path / "a", [
+        "a b " + PASSAGE + " c", "d " + PASSAGE + " e", "f " + PASSAGE + " " + more, PASSAGE + " " + more + " g"])
+    assert (1, 61, 0, 2) in got[1] and (1, 61, 0, 2) in got[2] and (0, 72, 2, 1) in got[3]
+
+
 def test_cross_entropy(spark, docs):
     some = docs.filter("doc_id < 13")
     tok = Tokenizer.from_file(VOCABULARY)
