@@ -217,6 +217,17 @@ def test_passages_that_go_on_after_a_common_one(spark, tmp_path):
     assert (1, 61, 0, 2) in got[1] and (1, 61, 0, 2) in got[2] and (0, 72, 2, 1) in got[3]
 
 
+def test_passages_with_a_word_inserted_and_one_deleted(spark, tmp_path):
+    words = PASSAGE.split()
+    more, less = " ".join(words[:30] + ["new"] + words[30:]), " ".join(words[:30] + words[31:])
+    both = " ".join(words[:20] + ["new"] + words[20:40] + words[41:])
+    got = spans_of(spark, tmp_path / "a", ["a b " + PASSAGE, "c " + more + " d e", "f g h " + less, both + " i"])
+    assert (1, 62, 0, 2) in got[1] and (3, 62, 0, 2) in got[2] and (0, 60, 0, 2) in got[3]
+    for n in range(3):
+        assert compact_windows.chain(np.arange(9), np.delete(np.arange(9), n + 3), 0, 0, 2).tolist() == [
+            [i, i - (i > n + 3)] for i in range(9) if i != n + 3]
+
+
 def test_cross_entropy(spark, docs):
     some = docs.filter("doc_id < 13")
     tok = Tokenizer.from_file(VOCABULARY)
