@@ -1,7 +1,7 @@
 """Near-duplicate documents by ProbMinHash signatures, banding and exact verification.
 
-The weight of a word shingle is 1 + ln(its count).  Every shingle is a Poisson process of that
-rate whose arrivals fall on random slots of the signature; a slot keeps the shingle that arrives
+Every distinct shingle has the same weight, so that candidates are drawn by the similarity they are
+then held to.  A shingle is a Poisson process whose rate is its weight and whose arrivals fall on random slots of the signature; a slot keeps the shingle that arrives
 first.  Two documents agree in a slot with their probability Jaccard similarity.  Arrivals later
 than the latest slot cannot change it, which ends the process.
 """
@@ -17,6 +17,7 @@ from boardtide.llm.shingles import mix, shingles, words_of
 
 SLOTS, ROWS = 64, 4         # 16 bands of 4: a pair of similarity 0.8 is missed once in 5,000
 SIMILAR = 0.8
+GROWTH = 8                  # first members a bucket is checked against: 1, 8, 64, ... by round
 
 
 def signature(elements, weights, slots=SLOTS):
@@ -59,9 +60,9 @@ def sketch(docs, size=5):
         out = {"row": batch["row"], "doc_id": batch["doc_id"], "digest": [], "keys": [], "items": []}
         for text in batch["text"]:
             words = words_of(text)
-            items, counts = np.unique(shingles(words, size), return_counts=True)
+            items = np.unique(shingles(words, size))
             out["digest"].append(hashlib.md5(" ".join(words).encode("utf-8", "surrogatepass")).digest())
-            out["keys"].append(bands(signature(items, 1 + np.log(counts))) if len(items) else [])
+            out["keys"].append(bands(signature(items, np.ones(len(items)))) if len(items) else [])
             out["items"].append(items.view(np.int64))
         return out
 
@@ -79,8 +80,10 @@ def near_groups(spark, docs, size=5, similar=SIMILAR, stage=None):
     differ only in case or white space are one class, empty and null texts too.  Texts of fewer
     than `size` words are one shingle each.
 
-    In each bucket all members are checked against its first member; those that fail it are a
-    bucket of their own in the next round, until none is left.
+    In each round the members of a bucket are checked against some of them, which then leave: at
+    first against one, then against GROWTH times as many.  Only members already in one class are not
+    checked against each other.  Members of small classes are taken first, so that a bucket ends
+    when one class is left in it.
     """
     stage = stage or Stage(spark, "near")
     all_rows = stage.keep(sketch(docs, size), "sketch")
@@ -88,30 +91,42 @@ def near_groups(spark, docs, size=5, similar=SIMILAR, stage=None):
     texts = all_rows.join(first.select(F.col("rep").alias("row")), "row", "left_semi")
     bucket = stage.keep(texts.select("row", F.explode("keys").alias("key")), "bucket-0")
     items = all_rows.select("row", "items")
-    links, step = [], 0
+    bucket = bucket.withColumn("comp", F.col("row"))
+    links, checked, label, step = None, None, None, 0
     while True:
-        hubs = bucket.groupBy("key").agg(F.min("row").alias("hub"), F.count("*").alias("n")).filter(
-            "n > 1").drop("n")
-        met = stage.keep(bucket.join(hubs, "key").filter("row <> hub"), f"met-{step}")
-        if met.isEmpty():
+        open_ = bucket.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter(
+            "a < b").select("key")
+        live = stage.keep(bucket.join(open_, "key", "left_semi"), f"live-{step}")
+        if live.isEmpty():
             break
-        pairs = met.select("row", "hub").distinct()
+        n = live.groupBy("key", "comp").agg(F.count("*").alias("n"))
+        live = live.join(n, ["key", "comp"]).withColumn(
+            "sub", F.pmod(F.xxhash64("row"), F.lit(min(GROWTH ** step, 2 ** 40))))
+        hubs = stage.keep(live.groupBy("key", "sub").agg(
+            F.min(F.struct("n", "row", "comp")).alias("hub")).select(
+                "key", "sub", F.col("hub.row").alias("hub"), F.col("hub.comp").alias("hub_comp")), f"hubs-{step}")
+        pairs = live.select("key", "row", "comp").join(hubs.drop("sub"), "key").filter(
+            "comp <> hub_comp").select(
+                F.greatest("row", "hub").alias("row"), F.least("row", "hub").alias("hub")).distinct()
+        if checked is not None:
+            pairs = pairs.join(checked.select("row", "hub"), ["row", "hub"], "left_anti")
         hub_items = items.select(F.col("row").alias("hub"), F.col("items").alias("hub_items"))
         both = F.size(F.array_intersect("items", "hub_items"))
-        checked = stage.keep(
+        new = stage.keep(
             pairs.join(items, "row").join(hub_items, "hub").select(
                 "row", "hub", (both >= similar * (F.size("items") + F.size("hub_items") - both)).alias("ok")),
             f"checked-{step}")
-        links.append(checked.filter("ok").select(F.col("row").alias("a"), F.col("hub").alias("b")))
+        checked = new if checked is None else checked.union(new)
+        links = checked.filter("ok").select(F.col("row").alias("a"), F.col("hub").alias("b"))
+        bucket = live.select("row", "key", "sub").join(
+            hubs.select("key", "sub", "hub"), ["key", "sub"]).filter("row <> hub").select("row", "key")
+        if step == 0 or not new.filter("ok").isEmpty():
+            label = components(Stage(spark, f"near-links-{step}"), links)
+        bucket = bucket.join(label, bucket.row == label.node, "left").select(
+            "row", "key", F.coalesce("label", "row").alias("comp"))
         step += 1
-        bucket = stage.keep(met.join(checked.filter(~F.col("ok")), ["row", "hub"], "left_semi").select(
-            "row", "key"), f"bucket-{step}")
     out = all_rows.select("row", "doc_id", "digest").join(first, "digest")
-    if links:
-        linked = links[0]
-        for more in links[1:]:
-            linked = linked.union(more)
-        label = components(stage, linked)
+    if label is not None:
         out = out.join(label, out.rep == label.node, "left").withColumn(
             "rep", F.coalesce("label", "rep"))
     out = stage.keep(out.select("row", "doc_id", "rep"), "classes")

@@ -115,6 +115,19 @@ def test_near_groups_equal_brute_force(spark):
     assert pairs(got.__getitem__) == pairs(find)
 
 
+def test_near_groups_link_what_matches_the_first_with_what_does_not(spark, tmp_path, monkeypatch):
+    base = [f"drift{i}" for i in range(120)]
+    drift = lambda *ends: " ".join(base[sum(ends):] + [f"{i}end{e}" for e in ends for i in range(e)])
+    # 0 and 1 are near, 1 and 2 are near, 0 and 2 are not
+    texts = [drift(), drift(10), drift(10, 10), "far away " + drift(60)]
+    path = f"{tmp_path}/d"
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1).write.parquet(path)
+    # one bucket only
+    monkeypatch.setattr(prob_minhash, "bands", lambda held: np.ones(1, np.int64))
+    got = {r.doc_id: r.class_id for r in prob_minhash.near_groups(spark, spark.read.parquet(path)).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 3}
+
+
 def luhn(d):
     s = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(d))]
     return sum(v - 9 if v > 9 else v for v in s) % 10 == 0
