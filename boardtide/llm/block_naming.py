@@ -12,7 +12,7 @@ result depends on the key being free of collisions.
 
 from pyspark.sql import functions as F
 
-from boardtide.llm.common import Stage, semi_by_row, with_row
+from boardtide.llm.common import Stage, numbered, semi_by_row
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLOCK = 4096
@@ -35,15 +35,17 @@ def number(distinct, *order):
     return distinct.sortWithinPartitions(*order).withColumn("name", F.monotonically_increasing_id())
 
 
-def identities(spark, docs, size=BLOCK, key=F.xxhash64, stage=None):
+def identities(spark, docs, size=BLOCK, key=F.xxhash64, stage=None, row=None):
     """(row, doc_id, text_sha256, n_blocks, name): equal (n_blocks, name) means equal texts.
 
-    `docs` must be a stored table with doc_id and text.  A null text counts as empty; ids may
+    `row` is the column of `docs` with its rows' numbers; without one they are numbered here.  A null text counts as empty; ids may
     repeat or be null.  The digest is a result column only and decides nothing.
     """
     stage = stage or Stage(spark, "blocks")
-    cut = with_row(docs.select("doc_id", "text")).select(
-        "row", "doc_id", blocks_of(F.col("text"), size).alias("blocks"))
+    if row is None:
+        docs, row = numbered(stage, docs.select("doc_id", "text"))
+    cut = docs.select(
+        F.col(row).alias("row"), "doc_id", blocks_of(F.col("text"), size).alias("blocks"))
     rows = stage.keep(cut.select(
         "row", "doc_id", F.sha2(F.array_join("blocks", ""), 256).alias("text_sha256"),
         F.size("blocks").alias("n_blocks"),
@@ -89,14 +91,14 @@ def identities(spark, docs, size=BLOCK, key=F.xxhash64, stage=None):
     return rows.select("row", "doc_id", "text_sha256", "n_blocks").join(name, "row")
 
 
-def exact_groups(spark, docs, size=BLOCK, key=F.xxhash64, stage=None):
+def exact_groups(spark, docs, size=BLOCK, key=F.xxhash64, stage=None, row=None):
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256, and row.
 
     Of equal texts the row with the largest doc_id stays (null is smallest; of repeated ids one
     row stays).  An empty table gives no rows.
     """
     stage = stage or Stage(spark, "blocks")
-    ident = stage.keep(identities(spark, docs, size, key, stage), "identities")
+    ident = stage.keep(identities(spark, docs, size, key, stage, row), "identities")
     keep = ident.groupBy("n_blocks", "name").agg(
         F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("group_size"))
     return ident.join(keep, ["n_blocks", "name"]).select(
@@ -106,4 +108,6 @@ def exact_groups(spark, docs, size=BLOCK, key=F.xxhash64, stage=None):
 
 def drop_copies(spark, docs, size=BLOCK):
     """`docs` (a stored table) without exact copies, all columns kept."""
-    return semi_by_row(docs, exact_groups(spark, docs, size).filter("kept"))
+    stage = Stage(spark, "blocks")
+    docs, row = numbered(stage, docs)
+    return semi_by_row(docs, row, exact_groups(spark, docs, size, stage=stage, row=row).filter("kept"))

@@ -34,11 +34,18 @@ def table(spark, sf_dir, name):
 
 
 def with_row(df, name="row"):
-    """A number per row.  For stored tables: their splits, and so the numbers, are the same in
-    every scan of a session.  Needed because ids may repeat or be null."""
+    """A number per row, needed because ids may repeat or be null.  Good for one scan only: how a
+    table is split, and so the numbers, depends on the executors of the moment.  Where rows meet
+    their numbers again, use `numbered`."""
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def numbered(stage, df):
+    """`df` stored once with a number per row, and the number's column, one that `df` lacks."""
+    row = free_name(df, "row")
+    return stage.keep(with_row(df, row), "numbered"), row
+
+
 def free_name(df, name):
     """`name`, lengthened until no column of `df` is called so."""
     taken = {c.lower() for c in df.columns}
@@ -47,11 +54,15 @@ def free_name(df, name):
     return name
 
 
-def semi_by_row(docs, kept):
-    """The rows of `docs` (a stored table) whose numbers are in the column `row` of `kept`."""
-    row = free_name(docs, "__row")
-    return with_row(docs, row).join(
-        kept.select(F.col("row").alias(row)), row, "left_semi").select(*docs.columns)
+def semi_by_row(docs, row, kept):
+    """The rows of `docs` whose number in `row` is in the column `row` of `kept`, without it."""
+    return docs.join(kept.select(F.col("row").alias(row)), row, "left_semi").drop(row)
+
+
+def rows_of(docs, row, *columns):
+    """row and `columns` of `docs`; the number is in the column `row`, or given now if that is None."""
+    return (with_row(docs.select(*columns)) if row is None else
+            docs.select(F.col(row).alias("row"), *columns)).select("row", *columns)
 
 
 def map_batches(df, fn, schema, chunk=512):

@@ -12,7 +12,7 @@ from itertools import pairwise
 import numpy as np
 from pyspark.sql import functions as F
 
-from boardtide.llm.common import map_batches, semi_by_row, with_row
+from boardtide.llm.common import Stage, map_batches, numbered, rows_of, semi_by_row
 
 #: Labelled rows the field is fitted on at most: those with the smallest hash of their id.
 FIT_ROWS = 3_000
@@ -159,7 +159,7 @@ def train(docs, labels, fit_rows=FIT_ROWS):
     return fit([r["text"] for r in rows], [r["quality"] for r in rows])
 
 
-def scores(spark, docs, field):
+def scores(spark, docs, field, row=None):
     """row, doc_id, score.  A null text is an empty one, which is one empty line."""
     shared = spark.sparkContext.broadcast(field)
 
@@ -169,10 +169,12 @@ def scores(spark, docs, field):
                 "score": [model.score(t) for t in batch["text"]]}
 
     kind = dict(docs.dtypes)["doc_id"]
-    return map_batches(with_row(docs.select("doc_id", "text")).select("row", "doc_id", "text"), run,
+    return map_batches(rows_of(docs, row, "doc_id", "text"), run,
                        f"row bigint, doc_id {kind}, score double", 128)
 
 
 def keep_good(spark, docs, labels, threshold=THRESHOLD):
     """`docs` (a stored table) without the documents that score below `threshold`."""
-    return semi_by_row(docs, scores(spark, docs, train(docs, labels)).filter(F.col("score") >= threshold))
+    docs, row = numbered(Stage(spark, "quality"), docs)
+    return semi_by_row(docs, row, scores(
+        spark, docs, train(docs, labels), row).filter(F.col("score") >= threshold))

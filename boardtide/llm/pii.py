@@ -11,7 +11,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from boardtide.llm.common import Stage, free_name, with_row
+from boardtide.llm.common import Stage, free_name, numbered, rows_of
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 _LOCAL = "A-Za-z0-9._%+-"
@@ -185,7 +185,7 @@ def span_classifier(counts, post, rounds=400, rate=0.5, ridge=1e-3):
     return w
 
 
-def find_spans(spark, docs, stage=None):
+def find_spans(spark, docs, stage=None, row=None):
     """row, doc_id, one array per base kind, and `all`: every span (kind, start, end, base).
 
     A null text counts as empty and has no spans.  Of overlapping spans of one kind the base span
@@ -193,7 +193,7 @@ def find_spans(spark, docs, stage=None):
     """
     stage = stage or Stage(spark, "pii")
     text = F.coalesce(F.col("text"), F.lit(""))
-    found = base_spans(with_row(docs.select("doc_id", "text")))
+    found = base_spans(rows_of(docs, row, "doc_id", "text"))
     found = stage.keep(found.select(
         "row", "doc_id", *[F.transform(k, lambda s: s.dropFields("found")).alias(k) for k in BASE],
         candidates(text).alias("spans")), "candidates")
@@ -224,8 +224,9 @@ def span_text(spans):
 def redact(spark, docs):
     """`docs` (a stored table) with every span in `text` replaced by its kind in brackets, and
     `n_chars`, where there is one, brought up to date.  A null text stays null."""
-    row, held = free_name(docs, "__row"), free_name(docs, "__spans")
-    spans = find_spans(spark, docs).select(F.col("row").alias(row), F.array_sort(F.transform(
+    columns, stage, held = docs.columns, Stage(spark, "pii"), free_name(docs, "__spans")
+    docs, row = numbered(stage, docs)
+    spans = find_spans(spark, docs, stage, row).select(F.col("row").alias(row), F.array_sort(F.transform(
         "all", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
                                   s["kind"].alias("kind")))).alias(held)).filter(F.size(held) > 0)
     text = F.col("text")
@@ -241,9 +242,9 @@ def redact(spark, docs):
     clean = F.aggregate(
         held, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), cut,
         lambda acc: F.concat(F.array_join(acc["out"], ""), text.substr(acc["at"] + 1, F.length(text))))
-    out = with_row(docs, row).join(spans, row, "left").withColumn(
+    out = docs.join(spans, row, "left").withColumn(
         "text", F.when(F.col(held).isNull(), text).otherwise(clean))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col(held).isNull(), F.col("n_chars")).otherwise(
             F.length("text").cast(dict(docs.dtypes)["n_chars"])))
-    return out.select(*docs.columns)
+    return out.select(*columns)

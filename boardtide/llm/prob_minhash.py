@@ -11,7 +11,7 @@ import hashlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from boardtide.llm.common import Stage, map_batches, semi_by_row, with_row
+from boardtide.llm.common import Stage, map_batches, numbered, rows_of, semi_by_row
 from boardtide.llm.components import components
 from boardtide.llm.shingles import mix, shingles, words_of
 
@@ -53,7 +53,7 @@ def bands(held, rows=ROWS):
     return out.view(np.int64)
 
 
-def sketch(docs, size=5):
+def sketch(docs, size=5, row=None):
     """row, doc_id, digest (of the lower-cased words), keys (bands), items (sorted distinct
     shingles)."""
     def run(batch):
@@ -68,11 +68,11 @@ def sketch(docs, size=5):
 
     kind = dict(docs.dtypes)["doc_id"]
     return map_batches(
-        with_row(docs.select("doc_id", "text")).select("row", "doc_id", "text"), run,
+        rows_of(docs, row, "doc_id", "text"), run,
         f"row bigint, doc_id {kind}, digest binary, keys array<bigint>, items array<bigint>", 128)
 
 
-def near_groups(spark, docs, size=5, similar=SIMILAR, stage=None):
+def near_groups(spark, docs, size=5, similar=SIMILAR, stage=None, row=None):
     """One row per document: doc_id, class_id (doc_id of the row that stays), group_size, kept, row.
 
     Documents are linked when the Jaccard similarity of their word shingles is at least
@@ -86,7 +86,7 @@ def near_groups(spark, docs, size=5, similar=SIMILAR, stage=None):
     when one class is left in it.
     """
     stage = stage or Stage(spark, "near")
-    all_rows = stage.keep(sketch(docs, size), "sketch")
+    all_rows = stage.keep(sketch(docs, size, row), "sketch")
     first = stage.keep(all_rows.groupBy("digest").agg(F.min("row").alias("rep")), "first")
     texts = all_rows.join(first.select(F.col("rep").alias("row")), "row", "left_semi")
     bucket = stage.keep(texts.select("row", F.explode("keys").alias("key")), "bucket-0")
@@ -139,4 +139,6 @@ def near_groups(spark, docs, size=5, similar=SIMILAR, stage=None):
 
 def drop_near(spark, docs):
     """`docs` (a stored table) with one document of each near-duplicate class."""
-    return semi_by_row(docs, near_groups(spark, docs).filter("kept"))
+    stage = Stage(spark, "near")
+    docs, row = numbered(stage, docs)
+    return semi_by_row(docs, row, near_groups(spark, docs, stage=stage, row=row).filter("kept"))
