@@ -21,8 +21,10 @@ BLOCK_TAGS = frozenset(
 VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset(
-    "script style noscript template title head textarea select option button iframe svg math object "
-    "canvas audio video datalist".split())
+    "script style noscript template title head textarea select option button iframe svg canvas "
+    "audio video datalist".split())
+#: A head that is not closed ends where anything else begins.
+HEAD_TAGS = frozenset("html head base link meta title style script noscript template".split())
 BOILER_TAGS = frozenset("nav footer aside form menu dialog".split())
 CONTENT_TAGS = frozenset("article main".split())
 BOILER_NAMES = frozenset(
@@ -86,7 +88,13 @@ class _Blocks(HTMLParser):
     def close_to(self, depth):
         del self.open[depth:]
 
+    def end_head(self):
+        if self.open and self.open[-1][0] == "head":
+            self.open.pop()
+
     def handle_starttag(self, tag, attrs):
+        if tag not in HEAD_TAGS:
+            self.end_head()
         if tag in BLOCK_TAGS:
             self.flush()
             ends = OWN_KIND.get(tag, ()) if tag in OWN_KIND else ("p",)
@@ -122,6 +130,8 @@ class _Blocks(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if data.strip():
+            self.end_head()
         tags = {o[0] for o in self.open}
         if tags & UNSEEN:
             return

@@ -63,6 +63,14 @@ def test_main_text_of_pages():
     assert mincut.main_text("<p>One two three four five six.</p>") == "One two three four five six."
 
 
+def test_main_text_without_end_of_head_and_of_formulas():
+    for begin in ("<html><head><title>T</title><meta charset=utf-8><body>", "<head><style>p{}</style>"):
+        assert mincut.main_text(begin + "<p>One two three four five six.</p>") == "One two three four five six."
+    assert mincut.main_text("<head><title>T</title>One two three four five six.") == "One two three four five six."
+    assert mincut.main_text("<article><p>Where <math><mi>x</mi></math> is <object>a drawing</object> here."
+                            "</article>") == "Where x is a drawing here."
+
+
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(2)
     for n in range(1, 7):
