@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from boardtide.llm import (
-    block_naming, bpe, compact_windows, crf, cross_entropy, mincut, packing, pii, prob_minhash, topk)
+    block_naming, bpe, compact_windows, crf, cross_entropy, mincut, packing, piece_bpe, pii, prob_minhash, topk)
 from boardtide.llm.common import table
 
 QUERIES, CHECKS = {}, {}
@@ -103,3 +103,9 @@ def op10(spark, sf_dir):
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return cross_entropy.score(
         spark, docs, F.col("__target"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op13_piece_bpe")
+def op13(spark, sf_dir):
+    return piece_bpe.encode_documents(
+        spark, table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
