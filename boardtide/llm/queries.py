@@ -4,7 +4,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from boardtide.llm import (
-    block_naming, bpe, compact_windows, crf, cross_entropy, mincut, packing, piece_bpe, pii, prob_minhash, topk)
+    block_naming, bpe, compact_windows, crf, cross_entropy, mincut, packing, piece_bpe, pii, prob_minhash, topk,
+    whitening)
 from boardtide.llm.common import table
 
 QUERIES, CHECKS = {}, {}
@@ -109,3 +110,9 @@ def op10(spark, sf_dir):
 def op13(spark, sf_dir):
     return piece_bpe.encode_documents(
         spark, table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+
+
+@query("op12_whiten")
+def op12(spark, sf_dir):
+    return whitening.whiten(spark, table(spark, sf_dir, "embeddings")).withColumn(
+        "deviation", F.col("deviation").cast("bigint"))
