@@ -4,8 +4,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from boardtide.llm import (
-    block_naming, bpe, compact_windows, crf, cross_entropy, mincut, packing, piece_bpe, pii, prob_minhash, topk,
-    whitening)
+    block_naming, bpe, compact_windows, crf, cross_entropy, mincut, packing, piece_bpe, pii, prob_minhash, spelling,
+    topk, whitening)
 from boardtide.llm.common import table
 
 QUERIES, CHECKS = {}, {}
@@ -116,3 +116,53 @@ def op13(spark, sf_dir):
 def op12(spark, sf_dir):
     return whitening.whiten(spark, table(spark, sf_dir, "embeddings")).withColumn(
         "deviation", F.col("deviation").cast("bigint"))
+
+
+# The check hashes with the 16 remainders of CRC-32, a half byte at a time, and compares words with
+# letters beyond ASCII written as other signs, as its edit distance goes by bytes.
+_REMAINDERS = []
+for _i in range(16):
+    for _ in range(4):
+        _i = _i >> 1 ^ 0xEDB88320 * (_i & 1)
+    _REMAINDERS.append(_i)
+_SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.islower() and c not in "'\\")[:64]
+
+
+@query("op11_spelling", f"""
+  WITH RECURSIVE d AS (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run
+    FROM documents),
+  low AS (
+    SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+    FROM d GROUP BY ALL),
+  hashed AS (
+    SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+      string_split(id || ':' || run, ''), lambda c: CASE WHEN unicode(c) < 128
+        THEN [unicode(c) & 15, unicode(c) >> 4]
+        ELSE [unicode(c) >> 6 & 15, 12, unicode(c) & 15, 8 + (unicode(c) >> 4 & 3)] END))),
+      lambda c, b: xor(c >> 4, {_REMAINDERS}[(xor(c, b) & 15) + 1]))) AS h
+    FROM low WHERE length(run) >= 6),
+  words AS (
+    SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+      ELSE run END AS word, sum(n)::BIGINT AS n
+    FROM hashed GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5),
+  w AS (SELECT *, translate(word, '{"".join(map(chr, range(0xC0, 0x100)))}', '{_SIGNS}') AS plain FROM words),
+  near AS (
+    SELECT a.word, a.n, b.word AS other, b.n AS other_n
+    FROM w a JOIN w b ON abs(length(a.word) - length(b.word)) <= 1 AND a.word <> b.word
+    WHERE levenshtein(a.plain, b.plain) = 1),
+  ranked AS (
+    SELECT *, count(*) OVER (PARTITION BY word) AS n_near,
+      row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other COLLATE "binary") AS place FROM near),
+  forms AS (
+    SELECT words.word, words.n, coalesce(n_near, 0) AS n_near,
+      CASE WHEN other_n >= 5 * words.n THEN other END AS form,
+      CASE WHEN other_n >= 5 * words.n THEN other_n END AS form_n
+    FROM words LEFT JOIN ranked ON words.word = ranked.word AND place = 1),
+  chains AS (
+    SELECT word, word AS root, form AS up FROM forms
+    UNION ALL SELECT chains.word, forms.word, forms.form FROM chains JOIN forms ON chains.up = forms.word)
+  SELECT forms.word, form, root, n, n_near, form_n
+  FROM forms JOIN chains ON forms.word = chains.word AND up IS NULL""")
+def op11(spark, sf_dir):
+    return spelling.variants(spark, table(spark, sf_dir, "documents"))
