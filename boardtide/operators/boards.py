@@ -53,9 +53,9 @@ def verify_boards(hits, place_name=fixed.PLACE_NAME):
         "*", names.squash("_target").alias("_t"), names.squash("_board").alias("_b"),
         names.squash(core).alias("_core"), names.squash("token").alias("_tok"))
     scored = staged.select(
-        "*", similarity.token_set_ratio("_board", "_target").alias("_name_score"),
+        "*", similarity.token_set_ratio("_board", "_target", fixed.BOARD_NAME_THRESHOLD).alias("_name_score"),
         F.greatest(similarity.partial_ratio("_core", "_t"),
-                   similarity.token_set_ratio("_core", "_t")).alias("_domain_score"),
+                   similarity.token_set_ratio("_core", "_t", fixed.BOARD_NAME_THRESHOLD)).alias("_domain_score"),
         similarity.ratio("_tok", "_t").alias("_token_score"))
     shorter = F.least(F.length("_b"), F.length("_t"))
     words = F.size(F.filter(F.split("_board", r"(?U)\s+"), lambda x: x != ""))

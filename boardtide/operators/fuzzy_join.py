@@ -19,7 +19,7 @@ when one block is hot.
 
 from pyspark.sql import functions as F, Window as W
 
-from boardtide.functions.similarity import token_set_ratio
+from boardtide.functions.similarity import one_if, token_set_ratio
 
 LOWEST = 200 / 3
 KEYS = ["block", "kind", "item"]
@@ -83,7 +83,7 @@ def similar_titles(left, right, block, text, threshold, stage=lambda df, name: d
     met = side(0, "tl", rare).join(side(1, "tr", F.lit(True)), KEYS).select("block", "tl", "tr")
     met = met.unionByName(
         side(0, "tl", ~rare).join(side(1, "tr", rare), KEYS).select("block", "tl", "tr"))
-    scored = met.distinct().withColumn("score", token_set_ratio("tl", "tr"))
-    return scored.filter(F.col("score") >= threshold).select(
+    score = token_set_ratio("tl", "tr", threshold)
+    return met.distinct().select("*", one_if(score, lambda s: s >= threshold).alias("score")).select(
         F.col("block").alias(block), F.col("tl").alias("title_left"),
         F.col("tr").alias("title_right"), "score")

@@ -99,10 +99,11 @@ def enrich(boards, folded, order, stage=_as_is):
 
 
 def merge_sources(postings, registry, aliases, order=("source_platform", "job_key"),
-                  portal=fixed.PORTAL_PLATFORM, stage=_as_is):
+                  portal=fixed.PORTAL_PLATFORM, stage=_as_is, best_scores=False):
     """Split board and portal rows, resolve the portal's employers, fold duplicates together.
 
     The resolved names and the twins feed several branches; with `stage` they are computed once.
+    `best_scores` also fills the score of portal rows whose employer matches no firm.
 
     A portal row without a twin is kept under the resolved firm, so its key changes; the key it
     was stored under stays in `raw_job_key`.
@@ -116,7 +117,7 @@ def merge_sources(postings, registry, aliases, order=("source_platform", "job_ke
 
     known = _stored_side(resolve_employers(
         sweep.select(F.col("_employer").alias("employer_name"), F.col("_uen").alias("uen")),
-        registry, aliases), "employers", stage)
+        registry, aliases, unmatched=best_scores), "employers", stage)
     resolved = sweep.join(known.select(
         F.col("employer_name").alias("_employer"), F.col("uen").alias("_uen"),
         F.col("firm_id").alias("_firm"), "basis", "score"), ["_employer", "_uen"], "left")

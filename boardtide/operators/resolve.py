@@ -2,14 +2,16 @@
 
 Names are resolved once per distinct (employer, uen), never per posting.  The fuzzy step joins
 on the prefixes of the compact employer name, so only firms whose brand really starts the name
-are scored; there is no all-pairs comparison.
+are scored; there is no all-pairs comparison.  What an unmatched name scored at best is found by
+upper bounds (`nearest`).
 """
 
 from pyspark.sql import functions as F
 
 from boardtide import fixed
 from boardtide.functions import names, text
-from boardtide.functions.similarity import token_set_ratio
+from boardtide.functions.similarity import one_if, token_set_ratio
+from boardtide.operators.nearest import best_scores
 from boardtide.session import broadcast_if_small
 
 
@@ -20,12 +22,13 @@ def registry_brands(registry):
         F.explode(names.brand_variants("firm_name")).alias("brand"))
 
 
-def resolve_employers(employers, registry, aliases, threshold=fixed.NAME_MATCH_THRESHOLD):
+def resolve_employers(employers, registry, aliases, threshold=fixed.NAME_MATCH_THRESHOLD, unmatched=True):
     """employer_name, uen -> firm_id, basis, score, one row per distinct input pair.
 
     `registry` has firm_id, firm_name, registry_ord; `aliases` has alias_kind, alias_value,
-    firm_id, alias_ord.  The score is filled for the fuzzy basis only: the best score of an
-    unmatched name would need every pair and decides nothing.
+    firm_id, alias_ord.  The score is that of the firm taken for the fuzzy basis, the best of all
+    firms for an unmatched name, and 0 where no score was needed.  It decides nothing for an
+    unmatched name; `unmatched=False` leaves it null there and saves the search.
     """
     base = employers.select(
         F.coalesce("employer_name", F.lit("")).alias("employer_name"),
@@ -50,9 +53,16 @@ def resolve_employers(employers, registry, aliases, threshold=fixed.NAME_MATCH_T
 
     blank = text.strip("employer_name") == ""
     undecided = F.coalesce("f1", "f2", "f3").isNull() & ~blank
-    fuzzy = _fuzzy(staged.filter(undecided).select("employer_name", "k_brand").distinct(),
-                   brands, threshold)
+    asked = staged.filter(undecided).select("employer_name", "k_brand").distinct()
+    fuzzy = _fuzzy(asked, brands, threshold)
     out = staged.join(fuzzy, "employer_name", "left")
+    best = F.lit(None).cast("bigint")
+    if unmatched:
+        left = asked.join(fuzzy, "employer_name", "left_anti").select(names.denoise("employer_name").alias("words"))
+        found = best_scores(employers.sparkSession, left.distinct(), "words", brands, "firm_words")
+        out = out.withColumn("words", names.denoise("employer_name")).join(
+            found.select("words", "best_score"), "words", "left")
+        best = F.coalesce("best_score", F.lit(0).cast("bigint"))
     basis = (F.when(F.col("f1").isNotNull(), "alias:uen")
              .when(F.col("f2").isNotNull(), "alias:name")
              .when(blank, "no-employer-name")
@@ -61,8 +71,8 @@ def resolve_employers(employers, registry, aliases, threshold=fixed.NAME_MATCH_T
     firm = (F.when(F.coalesce("f1", "f2").isNotNull(), F.coalesce("f1", "f2"))
             .when(blank, F.lit(None)).otherwise(F.coalesce("f3", "f4")))
     return out.select("employer_name", "uen", firm.alias("firm_id"), basis.alias("basis"),
-                      F.when(F.col("f4").isNotNull() & (basis == "fuzzy-name"), F.col("score"))
-                      .alias("score"))
+                      F.when(basis == "fuzzy-name", F.col("score")).when(basis == "unmatched", best)
+                      .otherwise(0).alias("score"))
 
 
 def _fuzzy(unresolved, brands, threshold):
@@ -73,9 +83,9 @@ def _fuzzy(unresolved, brands, threshold):
             lambda n: F.left("k_brand", n))).alias("brand"))
     pairs = (prefixes.join(broadcast_if_small(brands), "brand")
              .select("employer_name", "firm_id", "registry_ord", "firm_words").distinct())
-    scored = pairs.withColumn(
-        "score", F.floor(token_set_ratio("firm_words", names.denoise("employer_name"))))
-    return (scored.filter(F.col("score") >= threshold).groupBy("employer_name")
+    score = F.floor(token_set_ratio("firm_words", names.denoise("employer_name"), threshold))
+    scored = pairs.select("*", one_if(score, lambda s: s >= threshold).alias("score"))
+    return (scored.groupBy("employer_name")
             .agg(F.min(F.struct("registry_ord", "firm_id", "score")).alias("best"))
             .select("employer_name", F.col("best.firm_id").alias("f4"),
                     F.col("best.score").cast("bigint").alias("score")))

@@ -9,24 +9,48 @@ from boardtide.functions import similarity, text
 from boardtide.operators import (
     boards, curate, fuzzy_join, merge, packing, reports, resolve, robots, select)
 from boardtide.plans.bindings import (
-    BASE, EV, EV_SQL, ROWS, ROWS_SQL, WISHES_SQL, OrdersWithCustomers, ev_outcomes, query, spread,
+    BASE, EV, EV_SQL, ROWS, ROWS_SQL, WISHES_SQL, Binding, OrdersWithCustomers, ev_outcomes, query, spread,
     subscriptions, table)
 from boardtide.session import table_stage
 from boardtide.sources import registry as dims, state
 
+
+
+def lcs_sql(a, b):
+    """SQL for the length of the longest common subsequence; `a` has at most 120 characters.  Bits of
+    a 128-bit integer stand for the characters of `a`."""
+    bits = f"""list_transform(string_split({b}, ''), lambda c: list_sum(list_transform(range(1, length({a}) + 1),
+      lambda i: CASE WHEN substr({a}, i::INT, 1) = c THEN 1::HUGEINT << (i - 1)::INT ELSE 0::HUGEINT END))::HUGEINT)"""
+    full = f"((1::HUGEINT << length({a})::INT) - 1)"
+    return f"""(length({a}) - bit_count(list_reduce(list_prepend({full}, {bits}),
+      lambda v, x: ((v + (v & x)) | (v & ~x)) & {full})))"""
+
+
 # --- employer resolution --------------------------------------------------------------------
 
-EMPLOYER_SQL = """WITH e AS (SELECT DISTINCT upper(s_name) || CASE l_returnflag WHEN 'A' THEN ' PTE. LTD.'
+# A firm's words are "supplier 000000001", an employer's these and perhaps more; scores of the unmatched
+# come from all pairs, with "supplier" and, where they share it, the number as common words.
+EMPLOYER_SQL = f"""WITH e AS (SELECT DISTINCT upper(s_name) || CASE l_returnflag WHEN 'A' THEN ' PTE. LTD.'
     WHEN 'N' THEN ' (SINGAPORE) HOLDINGS PTE LTD' ELSE ' TRADING AND SECURITIES' END AS employer_name,
-    CASE WHEN l_linestatus = 'O' THEN '' ELSE 'uen' || s_suppkey END AS uen,
-    s_suppkey, s_acctbal, s_nationkey, l_returnflag FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)
-SELECT employer_name, uen, CASE WHEN uen <> '' AND s_nationkey < 5 THEN 'alias-' || s_suppkey
+    CASE l_returnflag WHEN 'A' THEN '' WHEN 'N' THEN 'holdings singapore ' ELSE 'securities trading ' END AS more,
+    CASE WHEN l_linestatus = 'O' THEN '' ELSE 'uen' || s_suppkey END AS uen, s_name,
+    s_suppkey, s_acctbal, s_nationkey, l_returnflag FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
+r AS (SELECT *, CASE WHEN uen <> '' AND s_nationkey < 5 THEN 'alias-' || s_suppkey
     WHEN s_acctbal >= 3000 THEN 's' || s_suppkey
     WHEN l_returnflag = 'A' AND s_nationkey > 15 THEN 'named-' || s_suppkey END AS firm_id,
   CASE WHEN uen <> '' AND s_nationkey < 5 THEN 'alias:uen'
     WHEN l_returnflag = 'A' AND s_nationkey > 15 AND s_acctbal < 3000 THEN 'alias:name'
     WHEN s_acctbal >= 3000 AND l_returnflag <> 'R' THEN 'exact-name'
-    WHEN s_acctbal >= 3000 THEN 'fuzzy-name' ELSE 'unmatched' END AS basis FROM e"""
+    WHEN s_acctbal >= 3000 THEN 'fuzzy-name' ELSE 'unmatched' END AS basis FROM e),
+pairs AS (SELECT r.s_name, r.more, substr(r.s_name, 10) || ' ' || r.more AS a, substr(f.s_name, 10) AS b,
+    length(r.more) + 18 AS la, 18 AS lb
+  FROM (SELECT DISTINCT s_name, more FROM r WHERE basis = 'unmatched') r, supplier f WHERE f.s_acctbal >= 3000),
+best AS (SELECT s_name, more, max(floor(greatest(
+    100.0::DOUBLE * (1 - (length(trim(a)) + 9 - 2 * {lcs_sql("b", "trim(a)")}) / (la + lb)),
+    100.0::DOUBLE * (1 - (1 + length(trim(a))) / (17 + length(trim(a))::DOUBLE)),
+    100.0::DOUBLE * (1 - 10.0::DOUBLE / 26)))) AS score FROM pairs GROUP BY 1, 2)
+SELECT employer_name, uen, firm_id, basis, CAST(CASE basis WHEN 'fuzzy-name' THEN 100 WHEN 'unmatched' THEN score
+  ELSE 0 END AS BIGINT) AS score FROM r LEFT JOIN best ON r.s_name = best.s_name AND r.more = best.more"""
 
 
 @query("resolve_employers", EMPLOYER_SQL)
@@ -50,10 +74,66 @@ def resolve_employers(spark, sf_dir):
     ).unionByName(sup.filter("s_nationkey > 15 AND s_acctbal < 3000").select(
         F.lit("name").alias("alias_kind"), F.concat("s_name", F.lit(" Limited")).alias("alias_value"),
         F.concat(F.lit("named-"), key).alias("firm_id"), F.col("s_suppkey").alias("alias_ord")))
-    return resolve.resolve_employers(employers, registry, aliases).drop("score")
+    return resolve.resolve_employers(employers, registry, aliases)
+
+
+# a part's name beside texts of several shapes: one that holds it, one turned round, its type, a
+# long one, a few of its letters, an empty one
+_SHAPES = ["lower(concat(p_type, ' ', p_name, ' ', p_brand))", "reverse(p_name)", "lower(p_type)",
+           "concat(lower(p_type), ' ', p_name, ' ', lower(p_brand), ' size ', CAST(p_size AS VARCHAR(9)), ' ', p_name)",
+           "substr(p_name, 3, 7)", "concat('  ', substr(p_name, 1, 0))"]
+_NAMES = Binding("part", p_partkey="p_partkey", a="concat(p_name, ' ', lower(p_brand))", b=(
+    f"CASE p_partkey % {len(_SHAPES)} " + " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(_SHAPES)) + " END"))
+
+
+def _ratio_sql(a, b):
+    return f"200.0::DOUBLE * {lcs_sql(a, b)} / (length({a}) + length({b}))"
+
+
+def _windows_sql(a, b):
+    return f"""list_max(list_transform(range(1 - length({a}), length({b})), lambda i: {_ratio_sql(
+        a, f"substr({b}, greatest(0, i)::INT + 1, (least(length({b}), i + length({a})) - greatest(0, i))::INT)")}))"""
 
 
-@query("similar_titles")
+def _sorted_words(c):
+    return f"list_sort(list_distinct(list_filter(string_split({c}, ' '), lambda x: x <> '')))"
+
+
+#: From word lists ta and tb: length of the shared words, the differing words, length of both texts.
+_WORD_FACTS = """length(array_to_string(list_filter(ta, lambda x: list_contains(tb, x)), ' ')) AS c,
+  array_to_string(list_filter(ta, lambda x: NOT list_contains(tb, x)), ' ') AS da,
+  array_to_string(list_filter(tb, lambda x: NOT list_contains(ta, x)), ' ') AS db"""
+_TOTAL = "(2 * (c + (c > 0)::INT) + length(da) + length(db))"
+_TOKEN_SET = f"""CASE WHEN len(ta) = 0 OR len(tb) = 0 THEN 0 WHEN c > 0 AND (da = '' OR db = '') THEN 100 ELSE greatest(
+    100 * (1 - (length(da) + length(db) - 2 * CASE WHEN length(da) <= length(db) THEN {lcs_sql("da", "db")}
+      ELSE {lcs_sql("db", "da")} END) / {_TOTAL}::DOUBLE),
+    CASE WHEN c > 0 THEN 100 * (1 - (1 + length(da)) / (2 * c + 1 + length(da))::DOUBLE) ELSE 0 END,
+    CASE WHEN c > 0 THEN 100 * (1 - (1 + length(db)) / (2 * c + 1 + length(db))::DOUBLE) ELSE 0 END) END"""
+
+
+@query("name_similarity", f"""WITH n AS ({_NAMES.sql()}),
+w AS (SELECT *, length(a) <= length(b) AS up, {_sorted_words("a")} AS ta, {_sorted_words("b")} AS tb FROM n),
+o AS (SELECT *, CASE WHEN up THEN a ELSE b END AS s, CASE WHEN up THEN b ELSE a END AS l, {_WORD_FACTS} FROM w)
+SELECT p_partkey, {_ratio_sql("s", "l")} AS plain, {_TOKEN_SET} AS token_set,
+  CASE WHEN length(s) = length(l) THEN greatest({_windows_sql("s", "l")}, {_windows_sql("l", "s")})
+    ELSE {_windows_sql("s", "l")} END AS partial_score FROM o""")
+def name_similarity(spark, sf_dir):
+    """The three similarity scores of each part's name against texts of several shapes."""
+    return spread(_NAMES.frame(spark, sf_dir)).select(
+        "p_partkey", similarity.ratio("a", "b").alias("plain"), similarity.token_set_ratio("a", "b").alias("token_set"),
+        similarity.partial_ratio("a", "b").alias("partial_score"))
+
+
+# an edit distance above the room a score of 88 leaves rules a pair out
+@query("similar_titles", f"""WITH l AS (SELECT DISTINCT p_brand, p_name || ' ' || lower(p_type) AS t FROM part),
+r AS (SELECT DISTINCT p_brand, p_name || 's ' || lower(p_type) AS t FROM part),
+w AS (SELECT l.p_brand, l.t AS title_left, r.t AS title_right, {_sorted_words("l.t")} AS ta, {_sorted_words("r.t")} AS tb
+  FROM l JOIN r ON l.p_brand = r.p_brand),
+f AS (SELECT *, {_WORD_FACTS} FROM w),
+near AS (SELECT * FROM f WHERE c >= 0.7 * least(length(title_left), length(title_right))
+  OR levenshtein(da, db) <= {_TOTAL} * 0.12 + 1e-9),
+scored AS (SELECT p_brand, title_left, title_right, {_TOKEN_SET} AS score FROM near)
+SELECT * FROM scored WHERE score >= 88""")
 def similar_titles(spark, sf_dir):
     """All pairs of a brand's part titles that are at least 88 alike, found without all-pairs."""
     part = table(spark, sf_dir, "part")
@@ -62,22 +142,6 @@ def similar_titles(spark, sf_dir):
     return fuzzy_join.similar_titles(left, right, "p_brand", "t", fixed.TITLE_MATCH_THRESHOLD)
 
 
-_OTHER = "lower(p_type || ' ' || p_name || ' ' || p_brand)"
-
-
-@query("name_similarity", f"""SELECT p_partkey, CAST(200.0 AS DOUBLE) * length(p_name)
-    / (length(p_name) + length({_OTHER})) AS plain,
-  CAST(100.0 AS DOUBLE) * (1 - CAST(4 AS DOUBLE) / (2 * length(p_name) + 4)) AS token_set,
-  CAST(100.0 AS DOUBLE) AS partial_score FROM part""")
-def name_similarity(spark, sf_dir):
-    """The three similarity scores of each part's name against a text that contains it."""
-    other = F.lower(F.concat_ws(" ", "p_type", "p_name", "p_brand"))
-    return table(spark, sf_dir, "part").select(
-        "p_partkey", similarity.ratio("p_name", other).alias("plain"),
-        similarity.token_set_ratio(F.concat("p_name", F.lit(" zzz")), other).alias("token_set"),
-        similarity.partial_ratio("p_name", other).alias("partial_score"))
-
-
 # --- merge and curate -----------------------------------------------------------------------
 
 _EMPLOYER = ("upper(n_name) || CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN ' BANK SECURITIES PTE LTD' "
