@@ -3,6 +3,9 @@
 Where a message breaks depends on everything before it, so one reader's lines are walked in
 order.  They are never held together: rows arrive sorted within their partition and stream
 through a small state (the open message), and each message leaves as soon as it is full.
+
+A reader of more than LONG_READER lines would keep one task busy long after the others; such
+readers' breaks are found in parallel (`breaks`), with the same result.
 """
 
 import pandas as pd
@@ -10,6 +13,11 @@ from pyspark.sql import functions as F, types as T
 
 from boardtide import fixed
 from boardtide.functions import dates, text
+from boardtide.operators.breaks import CHAT, NODE, find_breaks, numbered_sums
+from boardtide.session import table_stage
+
+#: Lines of a reader that one task packs.
+LONG_READER = 50_000
 
 MESSAGES = T.StructType([
     T.StructField("chat_id", T.StringType()), T.StructField("message_no", T.LongType()),
@@ -76,17 +84,61 @@ def _packer(limit, repeat):
     return pack
 
 
-def _pack(lines, order, limit, repeat):
+def _pack(lines, order, limit, repeat, long_reader=LONG_READER):
+    many = lines.groupBy("chat_id").count().filter(F.col("count") > long_reader).select("chat_id")
+    if many.isEmpty():
+        return _pack_streamed(lines, order, limit, repeat)
+    stage = table_stage(lines.sparkSession)
+    lines, many = stage(lines, "lines"), stage(many, "long-readers")
+    few = _pack_streamed(lines.join(many, "chat_id", "left_anti"), order, limit, repeat)
+    return few.unionByName(_pack_parallel(stage, lines.join(many, "chat_id", "left_semi"), order, limit, repeat))
+
+
+def _pack_streamed(lines, order, limit, repeat):
     ordered = lines.repartition("chat_id").sortWithinPartitions("chat_id", *order)
     return ordered.select("chat_id", "header", "group_line", "line").mapInPandas(
         _packer(limit, repeat), MESSAGES)
 
 
+def _pack_parallel(stage, lines, order, limit, repeat):
+    """Group lines become items of their own, before their first line; every item knows the group
+    line that a continuation beginning with it repeats."""
+    keys = [c for c in lines.columns if c not in ("chat_id", "header", "group_line", "line")]
+    # lines without a group come last and belong to the group before them
+    last = lines.groupBy("chat_id").agg(F.max_by("group_line", "family_group").alias("_last"))
+    rows = lines.join(last, "chat_id").select(
+        "chat_id", "header", *keys, F.lit(1).alias("kind"), F.col("line").alias("text"),
+        F.coalesce("group_line", "_last").alias("group"))
+    groups = lines.filter("group_line IS NOT NULL").groupBy("chat_id", "family_group").agg(
+        F.first("header").alias("header"), F.first("group_line").alias("text")).select(
+        "chat_id", "header", *[F.col(c) if c == "family_group" else F.lit(None).cast(lines.schema[c].dataType).alias(c)
+                               for c in keys], F.lit(0).alias("kind"), "text", F.col("text").alias("group"))
+    items = rows.unionByName(groups).withColumn("wide", F.length("text") + 1)
+    repeated = F.length("header") + len(" (cont. )") + F.coalesce(F.length("group") + 1, F.lit(0))
+    placed = stage(numbered_sums(stage, items, [order[0], "kind", *order[1:]], [("wide", "begin")], "ranged").select(
+        *NODE, "header", "text", "group", "begin", (F.col("begin") + F.length("text")).alias("end"),
+        (F.length("header") + (0 if repeat else 1)).alias("first"),
+        (repeated if repeat else F.lit(None).cast("int")).alias("more")), "placed")
+    breaks = stage(find_breaks(stage, placed.drop("text", "header", "group"), limit), "breaks")
+    # an item's message is 1 and the breaks up to it
+    marked = placed.join(breaks, NODE, "left").withColumn("broke", F.col("message_no").isNotNull().cast("int"))
+    counted = numbered_sums(stage, marked.drop("begin").withColumnRenamed("idx", "at"), ["at"], [("broke", "before")], "marked")
+    opening = F.when(F.col("broke") == 1, F.lit(None) if not repeat else F.concat_ws(
+        "\n", F.concat("header", F.lit(" (cont. "), "message_no", F.lit(")")), "group"))
+    told = counted.select(CHAT, (F.col("before") + F.col("broke") + 1).alias("no"), F.col("at").alias("place"),
+                          F.concat_ws("\n", opening, "text").alias("text"))
+    headers = placed.filter("idx = 0").select(
+        CHAT, F.lit(1).cast("bigint").alias("no"), F.lit(-1).cast("bigint").alias("place"), F.col("header").alias("text"))
+    return told.unionByName(headers).groupBy(CHAT, "no").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "text"))), lambda x: x["text"]), "\n")
+        .alias("message")).select("chat_id", F.col("no").cast("bigint").alias("message_no"), "message")
+
+
 def _when(posted="posted_date", first_seen="first_seen"):
     return dates.shown_date(posted, first_seen)
 
 
-def render_digest(matches, snapshot, limit=fixed.DIGEST_CHARS):
+def render_digest(matches, snapshot, limit=fixed.DIGEST_CHARS, long_reader=LONG_READER):
     """chat_id, message_no, message: grouped by family, group header repeated on continuation.
 
     Totals per reader and per group come from a combined aggregation joined back, not from a
@@ -107,10 +159,10 @@ def render_digest(matches, snapshot, limit=fixed.DIGEST_CHARS):
                  F.lit('">'), title,
                  F.lit("</a>\n  "), firm, F.lit(" · "), _when()).alias("line"))
     order = [F.asc_nulls_last("family_group"), F.desc_nulls_last("posted_date"), F.asc("job_key")]
-    return _pack(lines, order, limit, repeat=True)
+    return _pack(lines, order, limit, True, long_reader)
 
 
-def render_reply(matches, heading, limit=fixed.REPLY_CHARS):
+def render_reply(matches, heading, limit=fixed.REPLY_CHARS, long_reader=LONG_READER):
     """Plain reply: one heading, rows in digest order, nothing repeated on continuation."""
     lines = matches.select(
         "chat_id", "family_group", "posted_date", "job_key", F.lit(heading).alias("header"),
@@ -122,7 +174,7 @@ def render_reply(matches, heading, limit=fixed.REPLY_CHARS):
                  F.lit(" · "),
                  _when()).alias("line"))
     order = [F.asc_nulls_last("family_group"), F.desc_nulls_last("posted_date"), F.asc("job_key")]
-    return _pack(lines, order, limit, repeat=False)
+    return _pack(lines, order, limit, False, long_reader)
 
 
 def write_digest(messages, path):

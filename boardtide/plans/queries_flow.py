@@ -346,11 +346,45 @@ def sent_state(spark, sf_dir):
     return select.record_sent(sent, select.unsent(matches, sent), ROWS.frame(spark, sf_dir))
 
 
-@query("digest_messages")
+def _escaped_sql(c):
+    return f"replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+#: One step per line of a reader: the message it goes to and that message's size.
+_DIGEST_SQL = _MATCH.replace("WITH ", "WITH RECURSIVE ", 1) + f""", told AS (
+  SELECT chat_id, family_group, posted_date, job_key, '<b>🎓 ' || count(*) OVER (PARTITION BY chat_id)
+    || ' new graduate role(s)</b> · 2001-08-01' AS header, chr(10) || '<b>' || {_escaped_sql("family_group")} || '</b> ('
+    || count(*) OVER (PARTITION BY chat_id, family_group) || ')' AS grp,
+    '• <a href="' || {_escaped_sql("apply_url")} || '">' || {_escaped_sql("left(title, 90)")} || '</a>' || chr(10) || '  '
+    || {_escaped_sql("left(firm_name, 40)")} || ' · '
+    || coalesce(strftime(coalesce(posted_date, first_seen), '%Y-%m-%d'), 'date unknown') AS line FROM matched),
+parts AS (SELECT chat_id, family_group, posted_date, job_key, header, grp, 1 AS kind, line AS part FROM told UNION ALL
+  SELECT DISTINCT chat_id, family_group, NULL, NULL, header, grp, 0, grp FROM told),
+items AS (SELECT chat_id, header, grp, part, row_number() OVER (
+    PARTITION BY chat_id ORDER BY family_group, kind, posted_date DESC NULLS LAST, job_key) AS idx FROM parts),
+walk AS (
+  SELECT chat_id, 0::BIGINT AS idx, 1::BIGINT AS no, length(header) AS size, header AS part FROM items WHERE idx = 1
+  UNION ALL
+  SELECT i.chat_id, i.idx, w.no + (w.size + length(i.part) > 3800)::INT,
+    CASE WHEN w.size + length(i.part) > 3800
+      THEN length(i.header) + 9 + length((w.no + 1)::VARCHAR) + length(i.grp) + 1 ELSE w.size END + length(i.part) + 1,
+    CASE WHEN w.size + length(i.part) > 3800 THEN i.header || ' (cont. ' || (w.no + 1) || ')' || chr(10) || i.grp || chr(10)
+      ELSE '' END || i.part
+  FROM walk w JOIN items i ON i.chat_id = w.chat_id AND i.idx = w.idx + 1)
+SELECT chat_id, no AS message_no, string_agg(part, chr(10) ORDER BY idx) AS message FROM walk GROUP BY 1, 2"""
+
+
+@query("digest_messages", _DIGEST_SQL)
 def digest_messages(spark, sf_dir):
     return packing.render_digest(_matches(spark, sf_dir), "2001-08-01")
 
 
+@query("digest_messages_long_readers", _DIGEST_SQL)
+def digest_messages_long_readers(spark, sf_dir):
+    """The same messages with readers of more than 500 lines packed by all tasks together."""
+    return packing.render_digest(_matches(spark, sf_dir), "2001-08-01", long_reader=500)
+
+
 @query("digest_totals", _MATCH + """SELECT chat_id, count(*) AS lines, true AS fits, CAST(1 AS BIGINT) AS first_no
 FROM matched GROUP BY 1""")
 def digest_totals(spark, sf_dir):
