@@ -12,6 +12,7 @@ from boardtide.plans.bindings import (
     BODIES, EV, EV_SQL, PART, ev_outcomes, query, spread, table)
 from boardtide.session import checkpoint_root
 from boardtide.sources import snapshots
+from boardtide.sources.lifecycle_store import LifecycleStore
 
 # --- lifecycle ------------------------------------------------------------------------------
 
@@ -109,10 +110,12 @@ def asof_newest_partition(spark, sf_dir):
 
 # --- snapshot store -------------------------------------------------------------------------
 
-def _store(spark, sf_dir):
-    """Events written as a partitioned snapshot store under a fresh folder."""
-    root = f"{checkpoint_root(spark)}/store-{uuid.uuid4().hex}"
+def _store(spark, sf_dir, days=None, root=None):
+    """Events written as a partitioned snapshot store under a fresh folder, or added to `root`;
+    `days` is a condition on snapshot_date."""
+    root = root or f"{checkpoint_root(spark)}/store-{uuid.uuid4().hex}"
     ev = EV.frame(spark, sf_dir)
+    ev = ev if days is None else ev.filter(days)
     postings = ev.select(
         "source", "snapshot_date", "job_key", "firm_id", F.lit("lever").alias("source_platform"),
         F.col("event_id").cast("string").alias("external_id"), F.col("source").alias("title"),
@@ -146,6 +149,18 @@ def store_newest_scan(spark, sf_dir):
         "source", "snapshot_date", "firm_id", "ok", "row_count")
 
 
+@query("lifecycle_advanced", LIFECYCLE_SQL + "SELECT * FROM life")
+def lifecycle_advanced(spark, sf_dir):
+    """The stored lifecycle: history once, then the two newest days as two daily runs."""
+    newest = EV.frame(spark, sf_dir).agg(F.max("snapshot_date")).first()[0]
+    root = _store(spark, sf_dir, F.col("snapshot_date") < F.date_sub(F.lit(newest), 1))
+    store = LifecycleStore(spark, root, f"{root}-life")
+    store.update()
+    _store(spark, sf_dir, F.col("snapshot_date") >= F.date_sub(F.lit(newest), 1), root)
+    store.update()
+    return store.read().drop("source", "firm_id")
+
+
 # --- classification -------------------------------------------------------------------------
 
 def _re(column, pattern):

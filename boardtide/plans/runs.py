@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from boardtide import schema
 from boardtide.operators import packing, reports, select
 from boardtide.operators.curate import build_tables
-from boardtide.operators.lifecycle import compute_lifecycle
 from boardtide.session import table_stage
 from boardtide.sources import registry as dims, snapshots
+from boardtide.sources.generations import Generations
+from boardtide.sources.lifecycle_store import LifecycleStore
 from boardtide.sources.payloads import normalise
 from boardtide.sources.payloads.common import require_valid
 from boardtide.sources.state import active_subscriptions
@@ -19,21 +20,26 @@ def ingest(spark, root, landed, platform, date, **options):
     snapshots.write_snapshot(spark, root, platform, date, postings, outcomes)
 
 
-def rebuild(spark, root, out, registry, aliases, overrides, **options):
-    """Write the curated and candidate tables from the snapshot store; returns the date."""
+def rebuild(spark, root, out, registry, aliases, overrides, replay=False, **options):
+    """Publish the curated and candidate tables from the snapshot store; returns the date.
+
+    The lifecycle is advanced by the days since the last run (`replay`: from all history).  Both
+    tables appear together, in one version of `out`; a run that fails leaves the version before.
+    """
     latest = snapshots.latest_snapshot_date(spark, root)
     if latest is None:
         raise RuntimeError("no snapshots on disk; ingest first")
-    stage = table_stage(spark)
+    life = LifecycleStore(spark, root, f"{out}/lifecycle")
+    life.update(replay)
     current = require_valid(snapshots.as_postings(snapshots.read_newest(spark, root, latest)))
-    lifecycle = compute_lifecycle(*snapshots.read_history(spark, root),
-                                  views=snapshots.view_calendar(spark, root))
-    curated, candidates, _ = build_tables(
-        current, lifecycle, registry, aliases, overrides, latest, stage=stage,
-        **options)
-    curated.hint("rebalance").write.mode("overwrite").parquet(f"{out}/postings")
-    candidates.write.mode("overwrite").parquet(f"{out}/candidates")
-    snapshots.delete_folder(spark, stage.folder)
+    stage = table_stage(spark)
+    try:
+        curated, candidates, _ = build_tables(
+            current, life.read().select(*schema.names(schema.LIFECYCLE)), registry, aliases, overrides, latest,
+            stage=stage, **options)
+        Generations(spark, out).publish({"postings": curated.hint("rebalance"), "candidates": candidates})
+    finally:
+        snapshots.delete_folder(spark, stage.folder)
     return latest
 
 
@@ -43,10 +49,13 @@ def rebuild_from_files(spark, root, out, registry_csv, aliases_csv, overrides_cs
                    **options)
 
 
-def read_curated(spark, out):
-    if not snapshots.folder_exists(spark, f"{out}/postings"):
-        return spark.createDataFrame([], schema.CURATED)
-    return spark.read.schema(schema.CURATED).parquet(f"{out}/postings")
+def read_curated(spark, out, at=None):
+    """The curated table; `at` is a pointer of `Generations.current`, for several tables of one version."""
+    return Generations(spark, out).read("postings", schema.CURATED, at)
+
+
+def read_candidates(spark, out, at=None):
+    return Generations(spark, out).read("candidates", schema.CANDIDATES, at)
 
 
 def serve(curated, subscriptions, sent, snapshot_date):

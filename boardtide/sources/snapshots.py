@@ -45,20 +45,25 @@ def _partition_path(root, table, platform, date):
     return f"{root}/{table}/source={platform}/snapshot_date={date}"
 
 
-def available_snapshots(spark, root, platform=None, table="postings"):
-    """Sorted (platform, date) pairs on disk; malformed directory names are ignored."""
+def written_partitions(spark, root, table="postings", platform=None):
+    """Sorted (platform, date, when its folder last changed); malformed names are ignored."""
     fs, p = _fs(spark, f"{root}/{table}/source={platform or '*'}/snapshot_date=*")
     found = set()
     for status in fs.globStatus(p) or []:
         hit = _DIRECTORY.search(status.getPath().toString())
         if hit and status.isDirectory():
             try:
-                found.add((hit.group(1), dt.date.fromisoformat(hit.group(2))))
+                found.add((hit.group(1), dt.date.fromisoformat(hit.group(2)), status.getModificationTime()))
             except ValueError:
                 continue
     return sorted(found)
 
 
+def available_snapshots(spark, root, platform=None, table="postings"):
+    """Sorted (platform, date) pairs on disk."""
+    return [(p, d) for p, d, _ in written_partitions(spark, root, table, platform)]
+
+
 def platforms_on_disk(spark, root):
     return sorted({p for p, _ in available_snapshots(spark, root)})
 
@@ -141,6 +146,13 @@ def read_outcomes(spark, root, platform, date):
     return _only(_read(spark, root, "outcomes", schema.OUTCOME), [(platform, date)])
 
 
+def read_day(spark, root, date):
+    """One day of all platforms, (postings, outcomes), from the partitions of that day alone."""
+    return tuple(_only(_read(spark, root, table, layout), [
+        (p, d) for p, d in available_snapshots(spark, root, table=table) if d == date])
+        for table, layout in (("postings", schema.POSTING), ("outcomes", schema.OUTCOME)))
+
+
 def newest_partitions(spark, root, cutoff=None, table="postings"):
     """Newest partition at or before `cutoff`, for each platform on its own."""
     newest = {}

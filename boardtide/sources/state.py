@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from boardtide import schema
+from boardtide.sources.generations import read_sent, write_sent  # noqa: F401
 from boardtide.sources.snapshots import folder_exists
 
 _CORRUPT = "_corrupt"
@@ -41,14 +42,3 @@ def active_subscriptions(subs):
 def sent_keys(subs):
     """Sent state as (chat_id, job_key) rows."""
     return subs.select("chat_id", F.explode("notified_keys").alias("job_key")).distinct()
-
-
-def read_sent(spark, path):
-    if not folder_exists(spark, path):
-        return spark.createDataFrame([], schema.SENT_STATE)
-    return spark.read.schema(schema.SENT_STATE).parquet(path)
-
-
-def write_sent(sent, path):
-    """Write a new generation of the state; the caller points readers at it once it is whole."""
-    schema.conform(sent, schema.SENT_STATE).write.mode("errorifexists").parquet(path)

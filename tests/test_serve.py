@@ -68,7 +68,7 @@ def test_aliases_overrides_subscriptions(spark, tmp_path):
     assert [r.chat_id for r in state.active_subscriptions(subs).collect()] == ["1"]
     assert [tuple(r) for r in state.sent_keys(subs).collect()] == [("1", "k")]
     assert state.read_subscriptions(spark, str(tmp_path / "no.json")).count() == 0
-    state.write_sent(state.sent_keys(subs), str(tmp_path / "sent"))
+    state.write_sent(spark, str(tmp_path / "sent"), state.sent_keys(subs))
     assert state.read_sent(spark, str(tmp_path / "sent")).count() == 1
     assert state.read_sent(spark, str(tmp_path / "nowhere")).count() == 0
 
@@ -258,7 +258,7 @@ def test_runs_end_to_end(spark, tmp_path):
     assert (one.first_seen, one.last_seen) == (D, D + dt.timedelta(2))
     two = rows["mcf:acme:u2"]
     assert (two.job_family, two.status, two.first_seen, two.is_singapore) == ("legal", "open", None, True)
-    cand = spark.read.parquet(out + "/candidates")
+    cand = runs.read_candidates(spark, out)
     assert [tuple(r) for r in cand.collect()] == [("SMALL CAFE", 1)]
     subs_df = subs(spark, ("1", list(fixed.SELECTABLE_ROLE_TYPES), ["Strategy & Consulting", "Legal"]))
     messages, sent = runs.serve(df, subs_df, state.read_sent(spark, str(tmp_path / "s0")), D)
