@@ -1,12 +1,9 @@
 """Column functions over text.  All patterns ignore case and treat text as Unicode."""
 
-import html
-
-import pandas as pd
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import StringType
 
 from boardtide import fixed
+from boardtide.functions.entities import unescape
 
 FLAGS = "(?iU)"
 # white space as `strip()` understands it: Unicode white space plus the ASCII separators
@@ -62,22 +59,9 @@ def clean_text(c) -> Column:
     return F.lower(F.trim(collapse(bare)))
 
 
-@F.pandas_udf(StringType())
-def _unescape(values: pd.Series) -> pd.Series:
-    return values.map(html.unescape, na_action="ignore")
-
-
-def unescape_html(c) -> Column:
-    """Full HTML entity decoding, batched over Arrow (no built-in function covers it).
-
-    Non-deterministic to the planner only, so that later filters do not run it a second time.
-    """
-    return _unescape.asNondeterministic()(_col(c))
-
-
 def tag_text(fragment) -> Column:
     """Visible text of an HTML fragment."""
-    return F.trim(collapse(unescape_html(strip_tags(fragment))))
+    return F.trim(collapse(unescape(strip_tags(fragment))))
 
 
 def escape_markup(c) -> Column:

@@ -78,7 +78,7 @@ def greenhouse(landed, place=fixed.PLACE):
         rows, "greenhouse", required, _here(place, "location_raw"),
         external_id=j["id"].cast("string"), title=j["title"], apply_url=j["absolute_url"],
         location_raw=text.join_distinct(places),
-        description_text=text.unescape_html(F.coalesce(j["content"], F.lit(""))),
+        description_text=text.unescape(F.coalesce(j["content"], F.lit(""))),
         posted_date=F.coalesce(published, updated),
         posted_date_basis=F.when(published.isNotNull(), "published")
         .when(updated.isNotNull(), "updated"),

@@ -203,11 +203,9 @@ def successfactors(landed, place=fixed.PLACE):
                     lambda n: F.lower(n)).alias("names"),
         F.regexp_extract_all("chunk", F.lit("(?sU)" + fixed.TILE_SECTION), F.lit(2)).alias("bodies"))
     tiles = tiles.filter((F.col("id") != "") & (F.col("link") != "") & (F.col("title") != ""))
-    # one batched unescape per tile: its texts travel joined by a character no entity yields
-    joined = F.array_join(F.concat(
-        F.array(F.col("link"), text.strip_tags("title")),
-        F.transform("bodies", text.strip_tags)), "\u0001")
-    tiles = tiles.withColumn("texts", F.split(text.unescape_html(joined), "\u0001"))
+    raw = F.concat(F.array(F.col("link"), text.strip_tags("title")), F.transform("bodies", text.strip_tags))
+    # generated, so that the decoded texts are computed once and then read from several places
+    tiles = tiles.select("*", F.explode(F.array(F.transform(raw, text.unescape))).alias("texts"))
     tidy = lambda c: F.trim(text.collapse(c))
 
     def unlabelled(c):
