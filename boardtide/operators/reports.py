@@ -1,6 +1,6 @@
 """Counts, facets, health and budgets: small results over large tables."""
 
-from pyspark.sql import functions as F, Window as W
+from pyspark.sql import Observation, functions as F, Window as W
 
 from boardtide import fixed
 from boardtide.operators.asof import newest_per_source
@@ -67,12 +67,44 @@ def ingest_summary(outcomes):
                         F.count_if(~F.col("ok")).alias("failed"))
 
 
-def merge_counters(merged):
-    """Rows kept, folded and left as candidates, each counted on its own narrow plan."""
-    one = lambda df, what: df.agg(F.count("*").alias("n")).select(
-        F.lit(what).alias("counter"), "n")
-    return (one(merged.postings, "kept").unionByName(one(merged.folded, "merged"))
-            .unionByName(one(merged.candidates, "candidates")))
+class RunCounters:
+    """What a merge run kept, folded, left as candidates and found for graduates, observed while its
+    two tables are written: the passes that write them count them.
+
+    `portal_rows` is how many portal rows went in; those that are neither kept nor candidates were
+    folded into a twin.
+    """
+
+    def __init__(self, portal_rows, portal=fixed.PORTAL_PLATFORM):
+        self.portal_rows, self.portal = portal_rows, portal
+        self._kept, self._left = Observation(), Observation()
+
+    def curated(self, df):
+        """`df` as it is; writing it counts it."""
+        return df.observe(self._kept, F.count(F.lit(1)).alias("kept"), F.count_if("is_grad").alias("graduate"),
+                          F.count_if(F.col("source_platform") == self.portal).alias("portal"))
+
+    def candidates(self, df):
+        return df.observe(self._left, F.coalesce(F.sum("postings"), F.lit(0)).alias("candidates"))
+
+    def get(self):
+        kept, left = self._kept.get, self._left.get
+        return {"kept": kept["kept"], "graduate": kept["graduate"], "candidates": left["candidates"],
+                "merged": self.portal_rows - left["candidates"] - kept["portal"]}
+
+
+class ReadCounters:
+    """`ingest_summary` observed while outcomes are written."""
+
+    def __init__(self):
+        self._seen = Observation()
+
+    def outcomes(self, df):
+        return df.observe(self._seen, F.coalesce(F.sum("row_count"), F.lit(0)).alias("postings"),
+                          F.count(F.lit(1)).alias("firms"), F.count_if(~F.col("ok")).alias("failed"))
+
+    def get(self):
+        return dict(self._seen.get)
 
 
 def top_per_group(df, group, order, k):

@@ -146,6 +146,9 @@ def similar_titles(spark, sf_dir):
 
 _EMPLOYER = ("upper(n_name) || CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN ' BANK SECURITIES PTE LTD' "
              "ELSE ' BANK PTE LTD' END")
+_BOARD = "CASE o_orderstatus WHEN 'F' THEN 'lever' WHEN 'P' THEN 'ashby' ELSE 'mcf' END"
+# a portal title equals none of the boards' titles, is close to the one and holds the other
+_TITLE = "o_orderpriority || CASE o_orderstatus WHEN 'F' THEN ' usher' WHEN 'P' THEN '' ELSE ' ushers' END"
 _ORDERS = "orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"
 
 
@@ -157,13 +160,14 @@ class OrdersOfNations:
 
 
 def _merge_inputs(spark, sf_dir):
-    """Filled orders are a firm's own board, open ones the portal; firms are nations' banks."""
-    orders = spread(OrdersOfNations.frame(spark, sf_dir).filter("o_orderstatus <> 'P'"))
-    on_board = F.col("o_orderstatus") == "F"
+    """Filled and pending orders are two boards of a firm, open ones the portal; firms are nations'
+    banks."""
+    orders = spread(OrdersOfNations.frame(spark, sf_dir))
+    on_board = F.col("o_orderstatus").isin("F", "P")
     employer = F.expr(_EMPLOYER)
     firm = F.when(on_board, F.concat(F.lit("nation-"), F.col("n_nationkey").cast("string"))) \
         .otherwise(text.slug_chars(employer))
-    platform = F.when(on_board, "lever").otherwise("mcf")
+    platform = F.expr(_BOARD)
     key = F.col("o_orderkey").cast("string")
     portal_only = lambda c: F.when(~on_board, c)
     known = {"employer_name": portal_only(employer), "min_years": portal_only(F.lit(0)),
@@ -171,7 +175,7 @@ def _merge_inputs(spark, sf_dir):
              "mcf_job_post_id": portal_only(F.concat(F.lit("P"), key))}
     rows = orders.select(
         firm.alias("firm_id"), platform.alias("source_platform"), key.alias("external_id"),
-        F.col("o_orderpriority").alias("title"),
+        F.expr(_TITLE).alias("title"),
         F.concat(F.lit("https://jobs.example.com/"), key).alias("apply_url"),
         F.when(F.col("c_acctbal") > 0, "Singapore").otherwise("London").alias("location_raw"),
         F.lit("").alias("description_text"), F.lit("").alias("department"),
@@ -191,25 +195,29 @@ def _merge_inputs(spark, sf_dir):
     return rows, registry, aliases
 
 
-MERGE_SQL = f"""WITH o AS (SELECT o_orderkey, o_orderstatus, o_orderpriority AS title, n_regionkey, n_nationkey,
-    c_acctbal, o_totalprice, 'nation-' || n_nationkey AS firm, {_EMPLOYER} AS employer,
-    'lever:nation-' || n_nationkey || ':' || o_orderkey AS board_key,
+MERGE_SQL = f"""WITH o AS (SELECT o_orderkey, o_orderstatus, {_TITLE} AS title, n_regionkey, n_nationkey,
+    c_acctbal, o_totalprice, 'nation-' || n_nationkey AS firm, {_EMPLOYER} AS employer, {_BOARD} AS board,
+    {_BOARD} || ':nation-' || n_nationkey || ':' || o_orderkey AS board_key,
     'mcf:' || trim(regexp_replace(lower({_EMPLOYER}), '[^a-z0-9]+', '-', 'g'), '-') || ':' || o_orderkey AS raw_key,
     CASE WHEN o_totalprice >= 30000 THEN CAST(o_orderdate AS DATE) END AS d
-  FROM {_ORDERS} WHERE o_orderstatus <> 'P'),
-b AS (SELECT * FROM o WHERE o_orderstatus = 'F'),
+  FROM {_ORDERS}),
+b AS (SELECT * FROM o WHERE o_orderstatus <> 'O'),
 p AS (SELECT * FROM o WHERE o_orderstatus = 'O' AND n_regionkey < 4),
-t AS (SELECT p.raw_key, min(b.board_key) AS twin_key FROM p JOIN b ON p.firm = b.firm AND p.title = b.title
-  AND (p.d IS NULL OR b.d IS NULL OR abs(p.d - b.d) <= 14) GROUP BY 1),
+titles AS (SELECT l.title AS pt, r.title AS bt, {_sorted_words("lower(l.title)")} AS ta, {_sorted_words("lower(r.title)")} AS tb
+  FROM (SELECT DISTINCT title FROM p) l, (SELECT DISTINCT title FROM b) r),
+facts AS (SELECT *, {_WORD_FACTS} FROM titles),
+alike AS (SELECT pt, bt FROM facts WHERE {_TOKEN_SET} >= 88),
+t AS (SELECT p.raw_key, min(b.board_key) AS twin_key FROM p JOIN alike ON p.title = alike.pt
+  JOIN b ON p.firm = b.firm AND b.title = alike.bt AND (p.d IS NULL OR b.d IS NULL OR abs(p.d - b.d) <= 14) GROUP BY 1),
 m AS (SELECT p.*, t.twin_key FROM p LEFT JOIN t ON p.raw_key = t.raw_key),
 e AS (SELECT twin_key, arg_max('P' || o_orderkey, raw_key) AS post_id, arg_max(o_totalprice, raw_key) AS salary
   FROM m WHERE twin_key IS NOT NULL GROUP BY 1),
 kept AS (SELECT b.board_key AS job_key, b.board_key AS raw_job_key, b.firm AS firm_id, b.title, b.d,
     coalesce(e.post_id, '') AS mcf_job_id, e.salary AS salary_min, b.c_acctbal, b.n_nationkey, b.n_regionkey,
-    b.o_orderkey, false AS portal
+    b.o_orderkey, false AS portal, b.board
   FROM b LEFT JOIN e ON e.twin_key = b.board_key
   UNION ALL SELECT 'mcf:' || firm || ':' || o_orderkey, raw_key, firm, title, d, '', o_totalprice, c_acctbal,
-    n_nationkey, n_regionkey, o_orderkey, true
+    n_nationkey, n_regionkey, o_orderkey, true, 'mcf'
   FROM m WHERE twin_key IS NULL)
 """
 
@@ -228,10 +236,18 @@ def merge_kept(spark, sf_dir):
 
 
 @query("merge_counters", MERGE_SQL + """SELECT 'kept' AS counter, count(*) AS n FROM kept UNION ALL
-SELECT 'merged', count(*) FROM t UNION ALL
+SELECT 'merged', count(*) FROM t UNION ALL SELECT 'graduate', count(*) FILTER (WHERE portal) FROM kept UNION ALL
 SELECT 'candidates', count(*) FROM o WHERE o_orderstatus = 'O' AND n_regionkey >= 4""")
 def merge_counters(spark, sf_dir):
-    return reports.merge_counters(merge.merge_sources(*_merge_inputs(spark, sf_dir), stage=table_stage(spark)))
+    """Counted while the tables are written, as a run does."""
+    rows, registry, aliases = _merge_inputs(spark, sf_dir)
+    none = spark.createDataFrame([], schema.LIFECYCLE)
+    overrides = spark.createDataFrame([], "job_key string, job_family string")
+    stage = table_stage(spark)
+    curated, candidates, _ = curate.build_tables(rows, none, registry, aliases, overrides, dt.date(2001, 8, 1), stage=stage)
+    counted = reports.RunCounters(rows.filter(F.col("source_platform") == fixed.PORTAL_PLATFORM).count())
+    stage(counted.curated(curated), "curated"), stage(counted.candidates(candidates), "candidates")
+    return spark.createDataFrame(sorted(counted.get().items()), "counter string, n bigint")
 
 
 @query("candidates_topn", MERGE_SQL + """SELECT employer, count(*) AS postings FROM o
@@ -242,10 +258,17 @@ def candidates_topn(spark, sf_dir):
     return merge.summarise_candidates(merged.candidates)
 
 
-@query("curated_table", MERGE_SQL + """SELECT kept.job_key, firm_id, CASE WHEN n_regionkey < 4 THEN 'Nation_' || n_nationkey
+@query("candidates_busiest", MERGE_SQL + """SELECT employer, count(*) AS postings FROM o
+WHERE o_orderstatus = 'O' AND n_regionkey >= 4 GROUP BY 1 ORDER BY 2 DESC, min(raw_key) LIMIT 3""")
+def candidates_busiest(spark, sf_dir):
+    """The head of the report: the three busiest employers outside the registry."""
+    return merge.summarise_candidates(merge.merge_sources(*_merge_inputs(spark, sf_dir)).candidates, top=3)
+
+
+@query("curated_table", MERGE_SQL + f"""SELECT kept.job_key, firm_id, CASE WHEN n_regionkey < 4 THEN 'Nation_' || n_nationkey
     || ' Bank' ELSE firm_id END AS firm_name, CASE WHEN n_regionkey = 1 THEN 'consulting' WHEN n_regionkey < 4 THEN 'bank'
     ELSE '' END AS sector, CAST(CASE WHEN n_regionkey < 4 THEN n_regionkey + 1 ELSE 0 END AS BIGINT) AS tier, title,
-  CASE WHEN portal THEN 'mcf' ELSE 'lever' END AS source_platform,
+  board AS source_platform,
   portal OR c_acctbal > 0 AS is_singapore, d AS posted_date, li.fs AS first_seen, li.ls AS last_seen,
   coalesce(li.status, 'open') AS status,
   CASE WHEN ov.job_key IS NOT NULL THEN 'legal' WHEN n_regionkey = 1 THEN 'management_consulting'
@@ -255,7 +278,7 @@ def candidates_topn(spark, sf_dir):
   DATE '2001-08-01' AS snapshot_date
 FROM kept LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS fs, CAST(o_orderdate AS DATE) + 10 AS ls,
     CASE o_orderstatus WHEN 'F' THEN 'closed' ELSE 'reposted' END AS status,
-    'lever:nation-' || c_nationkey || ':' || o_orderkey AS job_key
+    {_BOARD} || ':nation-' || c_nationkey || ':' || o_orderkey AS job_key
   FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 100000) li ON li.job_key = kept.job_key
 LEFT JOIN (SELECT 'mcf:nation-' || c_nationkey || ':' || o_orderkey AS job_key
   FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 490000) ov ON ov.job_key = kept.job_key""")
@@ -264,14 +287,14 @@ def curated_table(spark, sf_dir):
     rows, registry, aliases = _merge_inputs(spark, sf_dir)
     orders = OrdersWithCustomers.frame(spark, sf_dir)
     key = lambda platform: F.concat_ws(
-        ":", F.lit(platform), F.concat(F.lit("nation-"), F.col("c_nationkey").cast("string")),
+        ":", platform, F.concat(F.lit("nation-"), F.col("c_nationkey").cast("string")),
         F.col("o_orderkey").cast("string")).alias("job_key")
     life = orders.filter("o_totalprice > 100000").select(
-        key("lever"), F.col("o_orderdate").cast("date").alias("first_seen"),
+        key(F.expr(_BOARD)), F.col("o_orderdate").cast("date").alias("first_seen"),
         F.date_add(F.col("o_orderdate").cast("date"), 10).alias("last_seen"),
         F.when(F.col("o_orderstatus") == "F", "closed").otherwise("reposted").alias("status"))
     overrides = orders.filter("o_totalprice > 490000").select(
-        key("mcf"), F.lit("legal").alias("job_family"))
+        key(F.lit("mcf")), F.lit("legal").alias("job_family"))
     table_, _, _ = curate.build_tables(rows, life, registry, aliases, overrides, dt.date(2001, 8, 1),
                                         stage=table_stage(spark))
     return table_.select(

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from boardtide import schema
+from boardtide import fixed, schema
 from boardtide.operators import packing, reports, select
 from boardtide.operators.curate import build_tables
 from boardtide.session import table_stage
@@ -15,9 +15,13 @@ from boardtide.sources.state import active_subscriptions
 
 
 def ingest(spark, root, landed, platform, date, **options):
-    """Normalise one platform's landed payloads and replace that day's partition."""
+    """Normalise one platform's landed payloads and replace that day's partition.
+
+    Returns how many postings and firms were read and how many reads failed."""
     postings, outcomes = normalise(platform, landed, **options)
-    snapshots.write_snapshot(spark, root, platform, date, postings, outcomes)
+    counted = reports.ReadCounters()
+    snapshots.write_snapshot(spark, root, platform, date, postings, counted.outcomes(outcomes))
+    return counted.get()
 
 
 def rebuild(spark, root, out, registry, aliases, overrides, replay=False, **options):
@@ -37,7 +41,11 @@ def rebuild(spark, root, out, registry, aliases, overrides, replay=False, **opti
         curated, candidates, _ = build_tables(
             current, life.read().select(*schema.names(schema.LIFECYCLE)), registry, aliases, overrides, latest,
             stage=stage, **options)
-        Generations(spark, out).publish({"postings": curated.hint("rebalance"), "candidates": candidates})
+        portal_rows = snapshots.read_newest(spark, root, latest).filter(
+            F.col("source") == fixed.PORTAL_PLATFORM).count()
+        counted = reports.RunCounters(portal_rows)
+        Generations(spark, out).publish({"postings": counted.curated(curated).hint("rebalance"),
+                                         "candidates": counted.candidates(candidates)}, note=counted.get)
     finally:
         snapshots.delete_folder(spark, stage.folder)
     return latest
@@ -58,6 +66,12 @@ def read_candidates(spark, out, at=None):
     return Generations(spark, out).read("candidates", schema.CANDIDATES, at)
 
 
+def read_counters(spark, out):
+    """kept, merged, candidates and graduate rows of the run that published `out`."""
+    at = Generations(spark, out).current()
+    return at["note"] if at else None
+
+
 def serve(curated, subscriptions, sent, snapshot_date):
     """(messages, new sent state) for all active subscribers."""
     matches = select.match_subscribers(select.notifiable(curated),

@@ -62,6 +62,7 @@ class Generations:
 
         Tables named in neither stay as they are.  `base` is the pointer the frames were computed
         from (default: the newest); if a newer one appears in the meantime, Conflict is raised.
+        `note` goes with the version; a function is called for it once all tables are written.
         """
         base = base or self.current() or {"version": 0, "tables": {}}
         tables, written = dict(base["tables"]), []
@@ -72,7 +73,7 @@ class Generations:
                 _write(df, f"{self.root}/data/{folder}")
                 tables[name] = [folder] if name in replace else [*tables.get(name, []), folder]
             version = base["version"] + 1
-            self._point(version, {"tables": tables, "note": note})
+            self._point(version, {"tables": tables, "note": note() if callable(note) else note})
         except BaseException:
             for folder in written:
                 delete_folder(self.spark, f"{self.root}/data/{folder}")

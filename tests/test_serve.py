@@ -233,7 +233,8 @@ def test_runs_end_to_end(spark, tmp_path):
     a, b = job(1, "Graduate Analyst", "2026-08-01"), job(2, "Associate", "2026-08-02")
     runs.ingest(spark, root, gh([a, b]), "greenhouse", D)
     runs.ingest(spark, root, gh([a]), "greenhouse", D + dt.timedelta(1))
-    runs.ingest(spark, root, gh([], ok=False), "greenhouse", D + dt.timedelta(2))
+    assert runs.ingest(spark, root, gh([], ok=False), "greenhouse", D + dt.timedelta(2)) == {
+        "postings": 0, "firms": 1, "failed": 1}
     runs.ingest(spark, root, mcf([portal("u1", "Graduate Analysts", "ACME BANK PTE LTD"),
                                       portal("u2", "Legal Trainee", "ACME BANK SINGAPORE PTE LTD"),
                                       portal("u3", "Cook", "SMALL CAFE")]), "mcf", D)
@@ -259,6 +260,8 @@ def test_runs_end_to_end(spark, tmp_path):
     two = rows["mcf:acme:u2"]
     assert (two.job_family, two.status, two.first_seen, two.is_singapore) == ("legal", "open", None, True)
     cand = runs.read_candidates(spark, out)
+    assert runs.read_counters(spark, out) == {
+        "kept": 2, "merged": 1, "candidates": 1, "graduate": sum(r.is_grad for r in rows.values())}
     assert [tuple(r) for r in cand.collect()] == [("SMALL CAFE", 1)]
     subs_df = subs(spark, ("1", list(fixed.SELECTABLE_ROLE_TYPES), ["Strategy & Consulting", "Legal"]))
     messages, sent = runs.serve(df, subs_df, state.read_sent(spark, str(tmp_path / "s0")), D)
