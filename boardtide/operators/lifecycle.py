@@ -23,10 +23,13 @@ DAY = ["source", "snapshot_date"]
 def closable_firms(postings, outcomes):
     """(source, snapshot_date, firm_id) whose absence of a key may be read as a closure.
 
-    A firm counts when its read succeeded with rows.  Where a source reports a single outcome
-    for the day (a sweep) and it is good, every firm present that day counts.
+    A firm counts when its read succeeded with rows and, where outcomes say so (`complete`), missed
+    no part of the board.  Where a source reports a single outcome for the day (a sweep) and it is
+    good, every firm present that day counts.
     """
     good = F.coalesce(F.col("ok") & (F.col("row_count") > 0), F.lit(False))
+    if "complete" in outcomes.columns:
+        good = good & F.coalesce("complete", F.lit(True))
     direct = outcomes.filter(good).select(*DAY, "firm_id")
     sweeps = (outcomes.groupBy(*DAY)
               .agg(F.count("*").alias("n"), F.bool_and(good).alias("good"))

@@ -7,6 +7,7 @@ expected postings from the base columns, never from the payload.
 from pyspark.sql import functions as F
 
 from boardtide import schema
+from boardtide.operators import lifecycle
 from boardtide.plans.bindings import query, spread, table
 from boardtide.sources.payloads import normalise
 
@@ -212,7 +213,8 @@ f AS (SELECT o_custkey, count(*) AS sites, coalesce(string_agg(site || ': ' || o
   coalesce(max(over || ' postings over the detail budget, title-only') FILTER (WHERE over > 0), '') AS plain
   FROM s GROUP BY 1)
 SELECT 'c' || f.o_custkey AS firm_id, 'workday' AS platform, true AS ok, (SELECT count(*) FROM k
-  WHERE k.o_custkey = f.o_custkey) AS row_count, CASE WHEN sites > 1 THEN named ELSE plain END AS error FROM f""")
+  WHERE k.o_custkey = f.o_custkey) AS row_count, CASE WHEN sites > 1 THEN named ELSE plain END AS error,
+  true AS complete FROM f""")
 def workday_outcomes(spark, sf_dir):
     return normalise("workday", _workday_landed(spark, sf_dir))[1]
 
@@ -242,9 +244,15 @@ def normalise_successfactors(spark, sf_dir):
 WHERE o_orderstatus <> 'F'""")
 def normalise_phenom(spark, sf_dir):
     """Sitemap lines, narrowed by slug, joined to the job pages."""
-    o = _orders(spark, sf_dir)
+    return normalise("phenom", _phenom_landed(_orders(spark, sf_dir)))[0].select(
+        "job_key", "title", "location_raw", "description_text", "posted_date", "employment_type")
+
+
+def _phenom_landed(o, listed="true", read="true"):
+    """A sitemap per order, which lists its page where `listed` holds, and the page, read where `read` does."""
     url = F.concat(F.lit("https://h.example.com/g/en/job/"), F.col("key"), F.lit("/Role-"), F.col("town"))
-    loc = F.concat(F.lit("<url><loc> "), url, F.lit(" </loc></url><url><loc>https://h.example.com/about</loc></url>"))
+    about = F.lit("<url><loc>https://h.example.com/about</loc></url>")
+    loc = F.when(F.expr(listed), F.concat(F.lit("<url><loc> "), url, F.lit(" </loc></url>"), about)).otherwise(about)
     spots = F.struct(F.struct(F.lit("Town").alias("addressLocality"), F.lit("Region").alias("addressRegion"),
                               F.lit("Town").alias("addressCountry")).alias("address"))
     posting = lambda kind, where: F.to_json(F.struct(*[c for c in (
@@ -256,9 +264,26 @@ def normalise_phenom(spark, sf_dir):
         F.lit("]"))).otherwise(posting(F.lit("FULL"), None))
     page = F.concat(F.lit('<script type="application/ld+json">{oops</script>'
                           '<script data-x="1" type="application/ld+json">'), body, F.lit("</script>"))
-    landed = _land(o, loc, kind=F.lit("sitemap")).unionByName(_land(o, page, kind=F.lit("page"), url=url))
-    return normalise("phenom", landed)[0].select(
-        "job_key", "title", "location_raw", "description_text", "posted_date", "employment_type")
+    return _land(o, loc, kind=F.lit("sitemap")).unionByName(_land(
+        o, page, kind=F.lit("page"), url=url, ok=F.expr(read), error=F.lit("Timeout")))
+
+
+_LISTED, _FETCHED = "o_orderpriority <> '5-LOW'", "o_totalprice >= 20000"
+
+
+@query("lifecycle_after_bad_read", f"""WITH n AS (SELECT *, {_LISTED} AND {_FETCHED} AS seen FROM orders WHERE o_orderstatus <> 'F'),
+f AS (SELECT o_custkey, bool_or({_LISTED} AND NOT {_FETCHED}) AS unread, count(*) FILTER (WHERE seen) AS n FROM n GROUP BY 1)
+SELECT 'phenom:c' || n.o_custkey || ':' || o_orderkey AS job_key, CASE WHEN seen THEN 'open'
+  WHEN unread OR f.n = 0 THEN 'unknown' ELSE 'closed' END AS status FROM n JOIN f ON n.o_custkey = f.o_custkey""")
+def lifecycle_after_bad_read(spark, sf_dir):
+    """Two days of one board; on the second some jobs are gone and some job pages could not be read.
+    Where a page was not read, nothing of the firm may be taken for closed."""
+    o, days = _orders(spark, sf_dir), []
+    for day, landed in (("2024-01-01", _phenom_landed(o)), ("2024-01-02", _phenom_landed(o, _LISTED, _FETCHED))):
+        days.append([df.withColumn("source", F.lit("phenom")).withColumn("snapshot_date", F.lit(day).cast("date"))
+                     for df in normalise("phenom", landed)])
+    postings, outcomes = (a.unionByName(b) for a, b in zip(*days))
+    return lifecycle.compute_lifecycle(postings, outcomes).select("job_key", "status")
 
 
 def _portal_landed(spark, sf_dir):
@@ -299,12 +324,12 @@ def normalise_portal(spark, sf_dir):
         F.col("x.mcf_job_post_id").alias("post_id"))
 
 
-@query("portal_outcome", _PORTAL_SQL + """, e AS (SELECT o_orderkey, 'term p' || o_orderkey || ': ' || CASE WHEN
+@query("portal_outcome", _PORTAL_SQL + f""", e AS (SELECT o_orderkey, 'term p' || o_orderkey || ': ' || CASE WHEN
     o_totalprice >= 5000 THEN 'validation' ELSE 'Timeout' END AS e FROM orders WHERE o_totalprice <= 20000
   ORDER BY o_orderkey LIMIT 5)
 SELECT '_mcf_sweep' AS firm_id, 'mcf' AS platform, (SELECT count(*) FROM v WHERE rn = 1) > 0 AS ok,
   (SELECT count(*) FROM v WHERE rn = 1) AS row_count, (SELECT coalesce(string_agg(e, '; ' ORDER BY o_orderkey), '') FROM e)
-  AS error""")
+  AS error, (SELECT bool_and({_READ}) FROM orders) AS complete""")
 def portal_outcome(spark, sf_dir):
     return normalise("mcf", _portal_landed(spark, sf_dir))[1]
 

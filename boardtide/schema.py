@@ -18,7 +18,9 @@ POSTING = _schema(
     "description_text:s posted_date:d posted_date_basis:s department:s employment_type:s "
     "extra_json:s"
 )
-OUTCOME = _schema("firm_id:s platform:s ok:b row_count:l error:s")
+# `complete` is false where a read that counts as ok missed part of the board; null where a read is
+# either whole or failed
+OUTCOME = _schema("firm_id:s platform:s ok:b row_count:l error:s complete:b")
 LIFECYCLE = _schema(
     "job_key:s first_seen:d last_seen:d status:s disappeared_on:d times_seen:l"
 )

@@ -177,7 +177,7 @@ def _workday_outcomes(lists, rows, ranked, keyed):
                     .otherwise(F.coalesce("why", F.lit(""))).alias("note")))
     # a firm has a handful of sites, so this list is short whatever the number of postings
     firms = per_site.groupBy("firm_id").agg(
-        F.bool_or("ok").alias("ok"),
+        F.bool_or("ok").alias("ok"), F.bool_and("ok").alias("complete"),
         F.array_sort(F.collect_list(F.struct("first", "board_site", "note"))).alias("sites"))
     named = F.transform(F.filter("sites", lambda s: s["note"] != ""),
                         lambda s: F.concat(s["board_site"], F.lit(": "), s["note"]))
@@ -186,7 +186,7 @@ def _workday_outcomes(lists, rows, ranked, keyed):
         "firm_id", F.lit("workday").alias("platform"), "ok",
         F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"),
         F.when(F.size("sites") > 1, F.array_join(named, "; "))
-        .otherwise(F.col("sites")[0]["note"]).alias("error"))
+        .otherwise(F.col("sites")[0]["note"]).alias("error"), "complete")
 
 
 def successfactors(landed, place=fixed.PLACE):
@@ -248,14 +248,20 @@ def successfactors(landed, place=fixed.PLACE):
 
 
 def _sweep_outcomes(landed, keyed, platform):
-    """A sweep stands once its first page was read; later failures become a note."""
+    """A sweep stands once its first page was read; later failures become notes in page order, and
+    the board counts as seen in part."""
     ok = F.coalesce("ok", F.lit(False))
-    reads = landed.groupBy("firm_id", "kind").agg(
-        F.min_by(ok, "page").alias("ok"), F.max(F.when(~ok, F.concat(
-            F.lit("stopped at page "), F.col("page").cast("string"), F.lit(": "),
-            F.coalesce("error", F.lit(""))))).alias("note"))
+    stops = F.transform(F.array_sort(F.collect_list(F.when(~ok, F.struct("kind", "page", F.coalesce(
+        "error", F.lit("")).alias("error"))))), lambda s: F.concat(
+            F.lit("stopped at page "), s["page"].cast("string"), F.lit(": "), s["error"]))
+    reads = landed.groupBy("firm_id", "kind").agg(F.min_by(ok, "page").alias("ok"), F.bool_and(ok).alias("complete"),
+                                                  stops.alias("stops"))
+    # a firm has at most two kinds of search
     firms = reads.groupBy("firm_id").agg(
-        F.bool_and("ok").alias("ok"), F.max("note").alias("note"),
+        F.bool_and("ok").alias("ok"), F.bool_and("complete").alias("complete"),
+        F.array_join(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("kind", "stops"))), lambda k: k["stops"])),
+                     "; ").alias("note"),
+        F.bool_or((F.col("kind") == "filtered") & ~F.col("ok")).alias("place_failed"),
         F.bool_or(F.col("kind") == "filtered").alias("asked"))
     count = keyed.groupBy("firm_id").agg(
         F.count("*").alias("row_count"), F.bool_or(F.col("kind") == "filtered").alias("answered"))
@@ -264,9 +270,10 @@ def _sweep_outcomes(landed, keyed, platform):
         "firm_id", F.lit(platform).alias("platform"), "ok",
         F.when(F.col("ok"), F.coalesce("row_count", F.lit(0))).otherwise(0).cast("bigint")
         .alias("row_count"),
-        F.when(~F.col("ok"), "search failed").otherwise(text.join_filled(F.array(
+        F.when(~F.col("ok"), F.when(F.col("place_failed"), "location search failed").otherwise("search failed"))
+        .otherwise(text.join_filled(F.array(
             F.when(F.col("asked") & ~F.coalesce("answered", F.lit(False)), fell_back),
-            F.col("note")))).alias("error"))
+            F.col("note")))).alias("error"), "complete")
 
 
 def phenom(landed, place=fixed.PLACE, max_pages=None):
@@ -285,6 +292,7 @@ def phenom(landed, place=fixed.PLACE, max_pages=None):
     if max_pages is not None:
         listed = top_per_group(listed, ["firm_id"], ["page", "pos"], max_pages)
     pages = listed.join(_details(landed, "page"), ["firm_id", "url"])
+    missing = found.select("firm_id", "url").distinct().join(pages, ["firm_id", "url"], "left_anti")
 
     blocks = F.regexp_extract_all("detail", F.lit("(?si)" + fixed.LD_JSON_BLOCK), F.lit(1))
     items = F.flatten(F.transform(blocks, lambda b: F.coalesce(
@@ -311,24 +319,26 @@ def phenom(landed, place=fixed.PLACE, max_pages=None):
         employment_type=F.coalesce(
             F.when(kind.startswith("["), F.array_join(F.from_json(kind, "array<string>"), "; "))
             .otherwise(kind), F.lit("")))
-    return out, _site_outcomes(maps, out)
+    return out, _site_outcomes(maps, out, missing)
 
 
-def _site_outcomes(maps, out):
-    """A firm stands once its first sitemap was read; the errors of the others become its note."""
+def _site_outcomes(maps, out, missing):
+    """A firm stands once its first sitemap was read; the errors of the others become its note.  A
+    sitemap or a listed page that was not read leaves the board seen in part."""
     ok = F.coalesce("ok", F.lit(False))
     # a firm has a handful of sitemaps, so this list is short whatever the number of postings
     errors = F.transform(F.array_sort(F.collect_list(F.when(
         ~ok, F.struct("page", F.coalesce("error", F.lit("")).alias("error"))))), lambda e: e["error"])
     reads = maps.groupBy("firm_id").agg(
-        F.min_by(ok, "page").alias("ok"), F.min_by("error", "page").alias("why"),
+        F.min_by(ok, "page").alias("ok"), F.bool_and(ok).alias("all_read"), F.min_by("error", "page").alias("why"),
         F.array_join(errors, "; ").alias("note"))
     count = out.groupBy("firm_id").agg(F.count_if("valid").alias("n"))
-    return reads.join(count, "firm_id", "left").select(
+    left = missing.groupBy("firm_id").agg(F.count("*").alias("unread"))
+    return reads.join(count, "firm_id", "left").join(left, "firm_id", "left").select(
         "firm_id", F.lit("phenom").alias("platform"), "ok",
         F.coalesce("n", F.lit(0)).cast("bigint").alias("row_count"),
         F.coalesce(F.when(F.col("ok"), F.col("note")).otherwise(F.col("why")), F.lit(""))
-        .alias("error"))
+        .alias("error"), (F.col("all_read") & F.col("unread").isNull()).alias("complete"))
 
 
 def portal(landed, place=None):
@@ -377,7 +387,8 @@ def portal(landed, place=None):
 
 
 def _portal_outcome(landed, out, keyed):
-    """One outcome for the whole sweep; ok when it produced anything; its first five errors."""
+    """One outcome for the whole sweep; ok when it produced anything; its first five errors.  A term's
+    page that was not read leaves the sweep seen in part."""
     place = F.concat(F.coalesce("term", F.lit("")), F.lit(" p"), F.col("page").cast("string"),
                      F.lit(": "))
     failed = landed.withColumnRenamed("url", "term").filter(~F.coalesce("ok", F.lit(False))).select(
@@ -388,9 +399,12 @@ def _portal_outcome(landed, out, keyed):
     errors = first.agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("page", "pos", "e"))), lambda x: x["e"]), "; ")
         .alias("error"))
-    rows = keyed.agg(F.count("*").alias("row_count")).withColumn("error", F.lit(None).cast("string"))
-    both = rows.unionByName(errors.withColumn("row_count", F.lit(None).cast("bigint")))
-    return both.agg(F.max("row_count").alias("n"), F.max("error").alias("e")).select(
+    facts = {"row_count": "bigint", "error": "string", "complete": "boolean"}
+    alone = lambda df: df.select(*[
+        F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in facts.items()])
+    read = landed.agg(F.coalesce(F.bool_and(F.coalesce("ok", F.lit(False))), F.lit(True)).alias("complete"))
+    both = alone(keyed.agg(F.count("*").alias("row_count"))).unionByName(alone(errors)).unionByName(alone(read))
+    return both.agg(F.max("row_count").alias("n"), F.max("error").alias("e"), F.bool_and("complete").alias("complete")).select(
         F.lit(fixed.SWEEP_FIRM_ID).alias("firm_id"),
         F.lit(fixed.PORTAL_PLATFORM).alias("platform"), (F.col("n") > 0).alias("ok"),
-        F.col("n").alias("row_count"), F.col("e").alias("error"))
+        F.col("n").alias("row_count"), F.col("e").alias("error"), "complete")
