@@ -193,11 +193,12 @@ def apply_overrides(df, overrides):
         }.get(c, F.col(c)).alias(c) for c in df.columns])
 
 
-def evaluate(df, predicted="predicted", gold="gold"):
-    """tp, fp, fn, tn, precision, recall and accuracy of boolean labels, in one pass."""
+def evaluate(df, predicted="predicted", gold="gold", more=()):
+    """tp, fp, fn, tn, precision, recall and accuracy of boolean labels, and `more` aggregates, in
+    one pass."""
     p, g = F.col(predicted), F.col(gold)
     counts = df.agg(F.count_if(p & g).alias("tp"), F.count_if(p & ~g).alias("fp"),
-                    F.count_if(~p & g).alias("fn"), F.count_if(~p & ~g).alias("tn"))
+                    F.count_if(~p & g).alias("fn"), F.count_if(~p & ~g).alias("tn"), *more)
     over = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(1.0))
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     return counts.select(
@@ -220,3 +221,20 @@ def evaluate_labels(labels):
         (F.col("_gold") == "1").alias("gold"),
         (F.col("is_internship") == (F.col("_gold_intern") == "1")).alias("internship_right"),
         (F.col("job_family") == F.col("_want")).alias("family_right"), "grad_basis")
+
+
+def score_verdicts(rows):
+    """`evaluate` of rows from `evaluate_labels`, with the family accuracy and the number of wrong
+    internship verdicts, in one pass.  A label without a family is not counted for it."""
+    known = F.col("family_right").isNotNull()
+    return evaluate(rows, more=[
+        F.coalesce(F.try_divide(F.count_if("family_right"), F.count_if(known)), F.lit(1.0)).alias("family_accuracy"),
+        F.count_if(~F.col("internship_right")).alias("internship_errors")])
+
+
+def mismatches(rows):
+    """One row per wrong verdict: firm, title, what (graduate, family or internship), why, note."""
+    wrong = F.filter(F.array(
+        F.when(F.col("predicted") != F.col("gold"), "graduate"), F.when(~F.col("family_right"), "family"),
+        F.when(~F.col("internship_right"), "internship")), lambda w: w.isNotNull())
+    return rows.select("firm", "title", F.explode(wrong).alias("what"), F.col("grad_basis").alias("why"), "note")

@@ -100,10 +100,10 @@ _LEVELS = {"ECONOMY": "Fresh/entry level|Executive", "STANDARD": "Senior Managem
 # (upper end of p_size, body text, years asked in prose, invites graduates)
 BODIES = (
     (5, "<p>We require at least 5 years of experience in valves.</p>", 5, False),
-    (10, "building on more than 30 years of investing experience, we grow", None, False),
-    (15, "if you are a recent graduate, please see our campus postings for open roles", None, False),
+    (10, "our house looks back on over 25 years of shipping experience in every port", None, False),
+    (15, "recent graduates should apply through our early-career site, which lists their openings", None, False),
     (20, "we welcome fresh&nbsp;graduates and final year students", None, True),
-    (25, "work experience of 0-3 years in top tier firms, risk and compliance", None, True),
+    (25, "you bring 0-3 years from audit, risk and compliance desks", None, True),
     (30, "2 years of experience, then 1-2 yrs experience; over 9 years of experience as a firm", 2, False),
     (99, "you will work with our <b>logistics</b> team", None, False),
 )

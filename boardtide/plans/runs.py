@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from boardtide import fixed, schema
-from boardtide.operators import packing, reports, select
+from boardtide.operators import classify, packing, reports, select
 from boardtide.operators.curate import build_tables
 from boardtide.session import table_stage
 from boardtide.sources import registry as dims, snapshots
@@ -81,11 +81,9 @@ def serve(curated, subscriptions, sent, snapshot_date):
             select.record_sent(sent, due, curated))
 
 
-def health(outcomes, curated, candidates):
-    """The frames behind the daily report."""
-    return {
-        "platforms": reports.platform_health(outcomes),
-        "failures": reports.read_failures(outcomes),
-        "statuses": reports.status_counts(curated),
-        "candidates": candidates.orderBy(F.desc("postings"), "employer"),
-    }
+def health(outcomes, curated, candidates, registry, labels):
+    """The parts of the daily report (`reports.daily_report` writes them)."""
+    scores = classify.score_verdicts(classify.evaluate_labels(labels))
+    return reports.health_parts(
+        reports.platform_health(outcomes), reports.read_failures(outcomes),
+        candidates.orderBy(F.desc("postings"), "employer"), curated, dims.counts_by(registry, "status"), scores)

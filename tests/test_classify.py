@@ -35,13 +35,13 @@ CASES = [
     case("Data Analyst", y=0, lv=["Junior Executive"], want=True, basis="route:zero-years"),
     case("Retail Associate", y=1, lv=["Fresh/entry level"], want=False, basis="no-route"),
     case("Academy Analyst Program for Upcoming Graduates",
-         "building on more than 30 years of investing experience, we seek", want=True,
+         "our house looks back on over 25 years of shipping experience", want=True,
          basis="route:programme"),
     case("Software Engineer", "minimum of 3 years of experience in systems", want=False),
     case("Analyst", "we require at least 5 years of experience", want=False,
          basis="veto:5-years-required"),
-    case("Researcher | Team", "if you are a student or recent graduate, please see our campus "
-         "postings which offer both intern and full-time opportunities.", want=False),
+    case("Researcher | Team", "students and recent graduates should apply through our "
+         "early-career site, where all of their openings are listed.", want=False),
     case("Trader", "this role is not intended for recent graduates", want=False),
     case("Trader", "for graduate opportunities please visit our university programmes page",
          want=False),
@@ -56,7 +56,7 @@ CASES = [
          basis="veto:experience-level-mid-senior level"),
     case("Business Analyst", el="Associate", want=False),
     case("Graduate Analyst Programme", el="Mid-Senior Level", want=True),
-    case("Associate (2027)", "work experience of 0-3 years in top tier firms", want=True,
+    case("Associate (2027)", "you bring 0-3 years from audit or risk desks", want=True,
          basis=FRESH),
     case("Associate", "we want 3-5 years of experience", want=False),
     case("Consultant", "if you are joining us directly from school or with a few years of "
@@ -206,3 +206,11 @@ def test_evaluate(spark):
     out = classify.evaluate_labels(labels)
     assert out.filter("predicted = gold and internship_right").count() == 2
     assert out.filter(F.col("family_right")).count() == 2
+    score, rows = classify.score_verdicts(out).first(), out.collect()
+    known = [r.family_right for r in rows if r.family_right is not None]
+    assert score.family_accuracy == sum(known) / len(known)
+    assert score.internship_errors == sum(r.internship_right is False for r in rows)
+    assert score.tp + score.fp + score.fn + score.tn == len(rows)
+    wrong = [(r.title, w) for r in rows for w, bad in (
+        ("graduate", r.predicted != r.gold), ("family", r.family_right is False), ("internship", r.internship_right is False)) if bad]
+    assert sorted((r.title, r.what) for r in classify.mismatches(out).collect()) == sorted(wrong)

@@ -198,8 +198,14 @@ def test_reports(spark):
     fails = reports.read_failures(out)
     assert {tuple(r) for r in fails.collect()} == {("gh", "b", "unknown error"), ("lv", "a", "boom")}
     cand = spark.createDataFrame([("X", 3)], schema.CANDIDATES)
-    text = reports.markdown_report(D, reports.platform_health(out, plats), fails, reports.status_counts(df), cand)
-    assert "| gh | 2026-08-10 | 2 | 1 | 3 | ok |" in text and "- `lv` **a** — boom" in text and "| X | 3 |" in text
+    counts = spark.createDataFrame([("wired", 4), ("todo", 2)], "status string, firms long")
+    scores = spark.createDataFrame([(1.0, 0.5)], "precision double, family_accuracy double")
+    text = reports.daily_report(D, reports.health_parts(
+        reports.platform_health(out, plats), fails, cand, df, counts, scores))
+    assert all(line in text.split("\n") for line in (
+        "lv | a | boom", "X | 3", "wired | 4", "1.0 | 0.5", "graduate rows, open | 2")), text
+    few = reports.daily_report(D, [("A", fails.orderBy("platform"), 1), ("B", fails.limit(0), 3)])
+    assert "gh | b" in few and "lv" not in few and "... and 1 more" in few and "### B" not in few
     s = reports.ingest_summary(out).first()
     assert (s.postings, s.firms, s.failed) == (3, 5, 3)
 
@@ -268,5 +274,6 @@ def test_runs_end_to_end(spark, tmp_path):
     assert messages.count() == 1 and sent.count() == 2
     again, _ = runs.serve(df, subs_df, sent, D)
     assert again.count() == 0
-    assert set(runs.health(snapshots.read_history(spark, root)[1], df, cand)) == {
-        "platforms", "failures", "statuses", "candidates"}
+    labels = spark.createDataFrame([], schema.LABELS)
+    report = reports.daily_report(D, runs.health(snapshots.read_history(spark, root)[1], df, cand, reg, labels))
+    assert "wired | 1" in report and "SMALL CAFE | 1" in report and "rows | 2" in report
