@@ -84,7 +84,7 @@ def put(spark, root, postings, outcomes, day):
         empty = {n: F.lit(None) for n in schema.names(schema.POSTING)}
         df = spark.createDataFrame([(r[3], r[2]) for r in rows], "job_key string, firm_id string").select(*[
             F.col(n) if n in ("job_key", "firm_id") else empty[n].alias(n) for n in schema.names(schema.POSTING)])
-        out = spark.createDataFrame([(r[2], source, r[3], r[4], "") for r in reads], schema.OUTCOME)
+        out = spark.createDataFrame([(r[2], source, r[3], r[4], "", None) for r in reads], schema.OUTCOME)
         snapshots.write_snapshot(spark, root, source, day, df, out)
 
 
@@ -143,7 +143,7 @@ def test_rebuild_that_dies_leaves_both_tables(spark, tmp_path, monkeypatch):
             [(f"greenhouse:acme:{i}", "acme", "greenhouse", str(i), "Graduate Analyst", "https://a.com/1", "Singapore",
               "", date, "published", "", "", "{}") for i in range(n)], schema.POSTING)
         snapshots.write_snapshot(spark, root, "greenhouse", date, posts, spark.createDataFrame(
-            [("acme", "greenhouse", True, n, "")], schema.OUTCOME))
+            [("acme", "greenhouse", True, n, "", None)], schema.OUTCOME))
 
     day(3, D[0])
     runs.rebuild(spark, root, out, reg, al, ov)
