@@ -24,9 +24,9 @@ class Stage:
         df.write.option("compression", codec).parquet(f"{self.base}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.base}/{name}")
 
-    def drop(self, name):
-        """Remove a table that nothing lazy reads any more."""
-        delete_folder(self.spark, f"{self.base}/{name}")
+    def drop(self, name=""):
+        """Remove a table that nothing lazy reads any more; without a name, all of them."""
+        delete_folder(self.spark, f"{self.base}/{name}".rstrip("/"))
 
 
 def table(spark, sf_dir, name):

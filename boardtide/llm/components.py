@@ -22,7 +22,10 @@ def components(stage, links):
         target = lower.select(F.col("node").alias("label"), F.col("label").alias("next"))
         labels = stage.keep(lower.join(target, "label", "left").select(
             "node", F.coalesce("next", "label").alias("label")), f"labels-{step}")
+        stage.drop(f"lower-{step}")
+        stage.drop(f"labels-{step - 1}")
         now = total(labels)
         if now == before:
+            stage.drop("both")
             return labels
         before = now

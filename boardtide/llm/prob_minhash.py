@@ -1,9 +1,10 @@
 """Near-duplicate documents by ProbMinHash signatures, banding and exact verification.
 
-Every distinct shingle has the same weight, so that candidates are drawn by the similarity they are
-then held to.  A shingle is a Poisson process whose rate is its weight and whose arrivals fall on random slots of the signature; a slot keeps the shingle that arrives
-first.  Two documents agree in a slot with their probability Jaccard similarity.  Arrivals later
-than the latest slot cannot change it, which ends the process.
+A shingle weighs one, and one more each time its count in the document doubles.  It is a Poisson
+process whose rate is its weight and whose arrivals fall on random slots of the signature; a slot
+keeps the shingle that arrives first.  Two documents agree in a slot with their probability Jaccard
+similarity, which is never below their weighted Jaccard similarity.  Arrivals later than the latest
+slot cannot change it, which ends the process.
 """
 
 import hashlib
@@ -13,35 +14,54 @@ from pyspark.sql import functions as F
 
 from boardtide.llm.common import Stage, map_batches, numbered, rows_of, semi_by_row
 from boardtide.llm.components import components
-from boardtide.llm.shingles import mix, shingles, words_of
+from boardtide.llm.shingles import mix, shingles_of_all, words_of
 
 SLOTS, ROWS = 64, 4         # 16 bands of 4: a pair of similarity 0.8 is missed once in 5,000
 SIMILAR = 0.8
 GROWTH = 8                  # first members a bucket is checked against: 1, 8, 64, ... by round
 
 
-def signature(elements, weights, slots=SLOTS):
-    """The shingle that arrives first in each slot.  No elements: zeros."""
-    best, held = np.full(slots, np.inf), np.zeros(slots, np.uint64)
-    ids, rate, clock = elements, weights.astype(float), np.zeros(len(elements))
-    step = 0
+def weighted(elements):
+    """The distinct `elements`, sorted, their weights, and a further element for each unit of weight
+    beyond one: with these, weighted Jaccard similarity is that of plain sets."""
+    items, counts = np.unique(elements, return_counts=True)
+    weights, further, level = np.ones(len(items)), [np.zeros(0, np.uint64)], 1
+    while (more := counts >> level > 0).any():
+        weights += more
+        with np.errstate(over="ignore"):
+            further.append(mix(items[more] + np.uint64(level)))
+        level += 1
+    return items, weights, np.sort(np.concatenate(further))
+
+
+def signatures(sets, slots=SLOTS):
+    """The shingle that arrives first in each slot, a row per (elements, weights) of `sets`.  No
+    elements: zeros.  All documents of a batch go through the process together."""
+    best, held = np.full(len(sets) * slots, np.inf), np.zeros(len(sets) * slots, np.uint64)
+    ids = np.concatenate([e for e, _ in sets] or [np.zeros(0, np.uint64)])
+    rate = np.concatenate([w for _, w in sets] or [np.zeros(0)]).astype(float)
+    owner = np.repeat(np.arange(len(sets)), [len(e) for e, _ in sets])
+    clock, step = np.zeros(len(ids)), 0
     while len(ids):
-        n = max(1, 8 * slots // len(ids)) if step == 0 or len(ids) < slots else 1
+        n = min(max(1, 4096 // len(ids)), slots)         # draws at once, so that few elements go fast
         draw = np.arange(step, step + n, dtype=np.uint64)[None, :] * np.uint64(2)
         with np.errstate(over="ignore"):
             seed = ids[:, None] + draw * np.uint64(0x9E3779B97F4A7C15)
             unit = ((mix(seed) >> np.uint64(11)).astype(float) + 0.5) * 2.0 ** -53
             slot = (mix(seed + np.uint64(0x9E3779B97F4A7C15)) % np.uint64(slots)).astype(np.int64)
-        times = clock[:, None] + np.cumsum(-np.log(unit), axis=1) / rate[:, None]
-        flat, where = times.ravel(), slot.ravel()
-        order = np.lexsort((flat, where))
-        first = order[np.r_[True, np.diff(where[order]) > 0]]
-        better = first[flat[first] < best[where[first]]]
-        best[where[better]] = flat[better]
-        held[where[better]] = ids[better // n]
-        on = times[:, -1] < best.max()
-        ids, rate, clock, step = ids[on], rate[on], times[on, -1], step + n
-    return held
+        # summed one by one, so that times do not depend on the number of draws at once
+        times = np.cumsum(np.c_[clock, -np.log(unit) / rate[:, None]], axis=1)[:, 1:]
+        cell, flat = (owner[:, None] * slots + slot).ravel(), times.ravel()
+        np.minimum.at(best, cell, flat)
+        first = flat == best[cell]
+        held[cell[first]] = np.repeat(ids, n)[first]
+        on = times[:, -1] < best.reshape(-1, slots).max(axis=1)[owner]
+        ids, rate, owner, clock, step = ids[on], rate[on], owner[on], times[on, -1], step + n
+    return held.reshape(-1, slots)
+
+
+def signature(elements, weights, slots=SLOTS):
+    return signatures([(elements, weights)], slots)[0]
 
 
 def bands(held, rows=ROWS):
@@ -54,82 +74,94 @@ def bands(held, rows=ROWS):
 
 
 def sketch(docs, size=5, row=None):
-    """row, doc_id, digest (of the lower-cased words), keys (bands), items (sorted distinct
-    shingles)."""
+    """row, doc_id, digest (of the lower-cased words), keys (bands), items (distinct shingles) and
+    further (as of `weighted`), both sorted."""
     def run(batch):
-        out = {"row": batch["row"], "doc_id": batch["doc_id"], "digest": [], "keys": [], "items": []}
-        for text in batch["text"]:
-            words = words_of(text)
-            items = np.unique(shingles(words, size))
-            out["digest"].append(hashlib.md5(" ".join(words).encode("utf-8", "surrogatepass")).digest())
-            out["keys"].append(bands(signature(items, np.ones(len(items)))) if len(items) else [])
-            out["items"].append(items.view(np.int64))
-        return out
+        words = [words_of(text) for text in batch["text"]]
+        sets = [weighted(x) for x in shingles_of_all(words, size)]
+        held = signatures([(items, weights) for items, weights, _ in sets])
+        return {
+            "row": batch["row"], "doc_id": batch["doc_id"],
+            "digest": [hashlib.md5(" ".join(w).encode("utf-8", "surrogatepass")).digest() for w in words],
+            "keys": [bands(h) if len(s[0]) else [] for h, s in zip(held, sets, strict=True)],
+            "items": [s[0].view(np.int64) for s in sets], "further": [s[2].view(np.int64) for s in sets]}
 
     kind = dict(docs.dtypes)["doc_id"]
     return map_batches(
         rows_of(docs, row, "doc_id", "text"), run,
-        f"row bigint, doc_id {kind}, digest binary, keys array<bigint>, items array<bigint>", 128)
+        f"row bigint, doc_id {kind}, digest binary, keys array<bigint>, items array<bigint>, "
+        "further array<bigint>", 128)
 
 
 def near_groups(spark, docs, size=5, similar=SIMILAR, stage=None, row=None):
     """One row per document: doc_id, class_id (doc_id of the row that stays), group_size, kept, row.
 
-    Documents are linked when the Jaccard similarity of their word shingles is at least
-    `similar`; classes are the connected components.  The first row of a class stays.  Texts that
-    differ only in case or white space are one class, empty and null texts too.  Texts of fewer
-    than `size` words are one shingle each.
+    Documents are linked when the Jaccard similarity of their distinct word shingles, or that of
+    their weighted ones, is at least `similar`; classes are the connected components.  The first
+    row of a class stays.  Texts that differ only in case or white space are one class, empty and
+    null texts too.  Texts of fewer than `size` words are one shingle each; long ones are used
+    whole.
 
     In each round the members of a bucket are checked against some of them, which then leave: at
     first against one, then against GROWTH times as many.  Only members already in one class are not
     checked against each other.  Members of small classes are taken first, so that a bucket ends
-    when one class is left in it.
+    when one class is left in it.  Pairs whose sizes rule out the similarity never meet their
+    shingles, and shingles of documents in no pair stay where they are.  Tables of a round are
+    removed when the next one is stored.
     """
     stage = stage or Stage(spark, "near")
     all_rows = stage.keep(sketch(docs, size, row), "sketch")
     first = stage.keep(all_rows.groupBy("digest").agg(F.min("row").alias("rep")), "first")
-    texts = all_rows.join(first.select(F.col("rep").alias("row")), "row", "left_semi")
-    bucket = stage.keep(texts.select("row", F.explode("keys").alias("key")), "bucket-0")
-    items = all_rows.select("row", "items")
+    sizes = [F.size("items").alias("n_items"), F.size("further").alias("n_further")]
+    bucket = all_rows.select("row", "keys", *sizes).join(
+        first.select(F.col("rep").alias("row")), "row", "left_semi").select(
+            "row", F.explode("keys").alias("key"), F.struct("n_items", "n_further").alias("sizes"))
     bucket = bucket.withColumn("comp", F.col("row"))
-    links, checked, label, step = None, None, None, 0
+    checked, label, links_stage, step = None, None, None, 0
     while True:
         open_ = bucket.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter(
             "a < b").select("key")
         live = stage.keep(bucket.join(open_, "key", "left_semi"), f"live-{step}")
+        if step:
+            stage.drop(f"live-{step - 1}")
+            stage.drop(f"hubs-{step - 1}")
         if live.isEmpty():
             break
         n = live.groupBy("key", "comp").agg(F.count("*").alias("n"))
         live = live.join(n, ["key", "comp"]).withColumn(
             "sub", F.pmod(F.xxhash64("row"), F.lit(min(GROWTH ** step, 2 ** 40))))
         hubs = stage.keep(live.groupBy("key", "sub").agg(
-            F.min(F.struct("n", "row", "comp")).alias("hub")).select(
-                "key", "sub", F.col("hub.row").alias("hub"), F.col("hub.comp").alias("hub_comp")), f"hubs-{step}")
-        pairs = live.select("key", "row", "comp").join(hubs.drop("sub"), "key").filter(
-            "comp <> hub_comp").select(
+            F.min(F.struct("n", "row", "comp", "sizes")).alias("hub")).select(
+                "key", "sub", F.col("hub.row").alias("hub"), F.col("hub.comp").alias("hub_comp"),
+                F.col("hub.sizes").alias("hub_sizes")), f"hubs-{step}")
+        pairs = live.select("key", "row", "comp", "sizes").join(hubs.drop("sub"), "key").filter(
+            "comp <> hub_comp").filter(sizes_allow(F.col("sizes"), F.col("hub_sizes"), similar)).select(
                 F.greatest("row", "hub").alias("row"), F.least("row", "hub").alias("hub")).distinct()
         if checked is not None:
             pairs = pairs.join(checked.select("row", "hub"), ["row", "hub"], "left_anti")
-        hub_items = items.select(F.col("row").alias("hub"), F.col("items").alias("hub_items"))
-        both = F.size(F.array_intersect("items", "hub_items"))
-        new = stage.keep(
-            pairs.join(items, "row").join(hub_items, "hub").select(
-                "row", "hub", (both >= similar * (F.size("items") + F.size("hub_items") - both)).alias("ok")),
-            f"checked-{step}")
+        new = stage.keep(verify(stage.keep(pairs, f"pairs-{step}"), all_rows, similar), f"checked-{step}")
+        stage.drop(f"pairs-{step}")
         checked = new if checked is None else checked.union(new)
-        links = checked.filter("ok").select(F.col("row").alias("a"), F.col("hub").alias("b"))
-        bucket = live.select("row", "key", "sub").join(
-            hubs.select("key", "sub", "hub"), ["key", "sub"]).filter("row <> hub").select("row", "key")
+        bucket = live.select("row", "key", "sub", "sizes").join(
+            hubs.select("key", "sub", "hub"), ["key", "sub"]).filter("row <> hub").select("row", "key", "sizes")
         if step == 0 or not new.filter("ok").isEmpty():
-            label = components(Stage(spark, f"near-links-{step}"), links)
+            before, links_stage = links_stage, Stage(spark, f"near-links-{step}")
+            label = components(links_stage, checked.filter("ok").select(
+                F.col("row").alias("a"), F.col("hub").alias("b")))
+            if before:
+                before.drop()
         bucket = bucket.join(label, bucket.row == label.node, "left").select(
-            "row", "key", F.coalesce("label", "row").alias("comp"))
+            "row", "key", "sizes", F.coalesce("label", "row").alias("comp"))
         step += 1
     out = all_rows.select("row", "doc_id", "digest").join(first, "digest")
     if label is not None:
         out = out.join(label, out.rep == label.node, "left").withColumn(
             "rep", F.coalesce("label", "rep"))
     out = stage.keep(out.select("row", "doc_id", "rep"), "classes")
+    for name in ["sketch", "first", *[f"checked-{i}" for i in range(step)]]:
+        stage.drop(name)
+    if links_stage:
+        links_stage.drop()
     classes = out.groupBy("rep").agg(
         F.max(F.when(F.col("row") == F.col("rep"), F.col("doc_id"))).alias("class_id"),
         F.count("*").alias("group_size"))
@@ -137,6 +169,26 @@ def near_groups(spark, docs, size=5, similar=SIMILAR, stage=None, row=None):
         "doc_id", "class_id", "group_size", (F.col("row") == F.col("rep")).alias("kept"), "row")
 
 
+def sizes_allow(a, b, similar):
+    """Whether sets of these sizes can be similar: the smaller is no less than that part of the larger."""
+    enough = lambda x, y: F.least(x, y) >= similar * F.greatest(x, y)
+    return enough(a.n_items, b.n_items) | enough(a.n_items + a.n_further, b.n_items + b.n_further)
+
+
+def verify(pairs, sketches, similar):
+    """`pairs` (row, hub; a stored table) with ok: whether plain or weighted similarity is enough."""
+    asked = pairs.select("row").union(pairs.select(F.col("hub").alias("row"))).distinct()
+    sets = sketches.select("row", F.struct("items", "further").alias("x")).join(asked, "row", "left_semi")
+    other = sets.select(F.col("row").alias("hub"), F.col("x").alias("y"))
+    both = F.size(F.array_intersect("x.items", "y.items"))
+    more = both + F.size(F.array_intersect("x.further", "y.further"))
+    plain = F.size("x.items") + F.size("y.items")
+    enough = lambda common, total: common >= similar * (total - common)
+    return pairs.join(sets, "row").join(other, "hub").select(
+        "row", "hub", (enough(both, plain) | enough(
+            more, plain + F.size("x.further") + F.size("y.further"))).alias("ok"))
+
+
 def drop_near(spark, docs):
     """`docs` (a stored table) with one document of each near-duplicate class."""
     stage = Stage(spark, "near")

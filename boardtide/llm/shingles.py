@@ -39,3 +39,15 @@ def shingles(words, size=WORDS):
         for i in range(min(size, len(h))):
             out = mix(out + h[i:i + n] + np.uint64(i + 1))
     return out
+
+
+def shingles_of_all(texts, size=WORDS):
+    """`shingles` of each list of words, hashed in one go."""
+    h = word_hashes([w for words in texts for w in words])
+    ends = np.cumsum([len(words) for words in texts])
+    out = np.zeros(max(0, len(h) - size + 1), np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(size):
+            out = mix(out + h[i:i + len(out)] + np.uint64(i + 1))
+    return [out[end - len(words):end - size + 1] if len(words) >= size else shingles(words, size)
+            for words, end in zip(texts, ends, strict=True)]
