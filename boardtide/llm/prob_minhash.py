@@ -75,7 +75,7 @@ def bands(held, rows=ROWS):
 
 def sketch(docs, size=5, row=None):
     """row, doc_id, digest (of the lower-cased words), keys (bands), items (distinct shingles) and
-    further (as of `weighted`), both sorted."""
+    further (as of `weighted`), both sorted, and their numbers."""
     def run(batch):
         words = [words_of(text) for text in batch["text"]]
         sets = [weighted(x) for x in shingles_of_all(words, size)]
@@ -84,13 +84,14 @@ def sketch(docs, size=5, row=None):
             "row": batch["row"], "doc_id": batch["doc_id"],
             "digest": [hashlib.md5(" ".join(w).encode("utf-8", "surrogatepass")).digest() for w in words],
             "keys": [bands(h) if len(s[0]) else [] for h, s in zip(held, sets, strict=True)],
+            "n_items": [len(s[0]) for s in sets], "n_further": [len(s[2]) for s in sets],
             "items": [s[0].view(np.int64) for s in sets], "further": [s[2].view(np.int64) for s in sets]}
 
     kind = dict(docs.dtypes)["doc_id"]
     return map_batches(
         rows_of(docs, row, "doc_id", "text"), run,
-        f"row bigint, doc_id {kind}, digest binary, keys array<bigint>, items array<bigint>, "
-        "further array<bigint>", 128)
+        f"row bigint, doc_id {kind}, digest binary, keys array<bigint>, n_items int, n_further int, "
+        "items array<bigint>, further array<bigint>", 128)
 
 
 def near_groups(spark, docs, size=5, similar=SIMILAR, stage=None, row=None):
@@ -112,8 +113,7 @@ def near_groups(spark, docs, size=5, similar=SIMILAR, stage=None, row=None):
     stage = stage or Stage(spark, "near")
     all_rows = stage.keep(sketch(docs, size, row), "sketch")
     first = stage.keep(all_rows.groupBy("digest").agg(F.min("row").alias("rep")), "first")
-    sizes = [F.size("items").alias("n_items"), F.size("further").alias("n_further")]
-    bucket = all_rows.select("row", "keys", *sizes).join(
+    bucket = all_rows.select("row", "keys", "n_items", "n_further").join(
         first.select(F.col("rep").alias("row")), "row", "left_semi").select(
             "row", F.explode("keys").alias("key"), F.struct("n_items", "n_further").alias("sizes"))
     bucket = bucket.withColumn("comp", F.col("row"))
