@@ -70,18 +70,19 @@ class Coder:
     def __init__(self, tokens, pattern):
         self.tokens = tokens
         self.hash = PerfectHash(tokens)
+        self.ranks = {t: i for i, t in enumerate(tokens)}      # of parts that merge; most are strangers
         self.split = regex.compile(pattern).findall
         self.memory = {}
 
     def merge(self, piece):
         """Ids of a byte string by merging the lowest rank first, leftmost on ties."""
-        rank, n = self.hash.get, len(piece)
+        rank, n = self.ranks.get, len(piece)
         end = list(range(1, n + 1))          # where the part that begins here ends
         before = list(range(-1, n - 1))      # where the part before begins
         alive = bytearray(b"\1" * n)
         heap = []
         for i in range(n - 1):
-            if (r := rank(piece[i:i + 2])) >= 0:
+            if (r := rank(piece[i:i + 2])) is not None:
                 heap.append((r, i, i + 1, i + 2))
         heapq.heapify(heap)
         while heap:
@@ -93,9 +94,9 @@ class Coder:
             end[i] = stop
             if stop < n:
                 before[stop] = i
-                if (r := rank(piece[i:end[stop]])) >= 0:
+                if (r := rank(piece[i:end[stop]])) is not None:
                     heapq.heappush(heap, (r, i, stop, end[stop]))
-            if (j := before[i]) >= 0 and (r := rank(piece[j:stop])) >= 0:
+            if (j := before[i]) >= 0 and (r := rank(piece[j:stop])) is not None:
                 heapq.heappush(heap, (r, j, i, stop))
         out, i = [], 0
         while i < n:
