@@ -18,8 +18,9 @@ from boardtide.llm.common import Stage, map_batches, with_row
 SIZE = 2048
 #: Pieces per partition.  More waste less (each partition leaves a few open sequences).
 SHARE = 20_000
-_TOKENIZERS, _CHUNKS = {}, {}
+_TOKENIZERS, _CHUNKS, _WORD_ENDS = {}, {}, {}
 _CHUNK = re.compile(r"[^ \t\n\r]+")
+_WORDS = re.compile(r"[A-Za-z]+|[0-9]|[^A-Za-z0-9]+")
 
 
 def tokenizer(data, tag):
@@ -43,11 +44,37 @@ def token_bytes(tok, texts, known, limit=500_000):
         known.clear()
     cut = [_CHUNK.findall(t or "") for t in texts]
     new = list(set().union(*cut).difference(known))
+    plain = [c for c in new if c.isalpha() or c.isascii() and c.isprintable() and "'" not in c and "<" not in c]
+    if (found := plain_bytes(tok, plain)) is not None:
+        known.update(zip(plain, found, strict=True))
+        new = [c for c in new if c not in known]
     for chunk, found in zip(new, tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
         known[chunk] = np.array(found.ids, "<u4").tobytes()
     return [b"".join(map(known.__getitem__, chunks)) for chunks in cut]
 
 
+def plain_bytes(tok, chunks):
+    """The ids of each of `chunks`, letters or printable ASCII without apostrophes or angle brackets,
+    from one call.
+
+    To the tokenizer a run of letters, a digit and a run of other signs are a word each, and the
+    last id of a word is of a token that ends words.  None if the words found are not as many.  A
+    chunk of letters beyond ASCII counts as one; it can only be more to the tokenizer, never less.
+    """
+    if id(tok) not in _WORD_ENDS:
+        suffix = getattr(tok.model, "end_of_word_suffix", None)
+        ends = np.zeros(tok.get_vocab_size(), bool)
+        ends[[i for t, i in tok.get_vocab().items() if suffix and t.endswith(suffix)]] = True
+        _WORD_ENDS[id(tok)] = ends
+    ids = np.array(tok.encode_batch_fast([" ".join(chunks)], add_special_tokens=False)[0].ids, "<u4")
+    ends = np.flatnonzero(_WORD_ENDS[id(tok)][ids]) + 1
+    words = np.cumsum([1 if c.isalpha() else len(_WORDS.findall(c)) for c in chunks], dtype=np.int64)
+    if not len(chunks) or len(ends) != words[-1] or ends[-1] != len(ids):
+        return None
+    data, at = ids.tobytes(), [0, *(4 * ends[words - 1]).tolist()]
+    return [data[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+
 def tokenise(spark, docs, vocabulary, end_id=0, size=SIZE, with_ids=False):
     """Pieces of at most `size` ids: doc_id, row, piece, start, length, ids_crc32 (and ids).
 
@@ -79,7 +106,7 @@ def tokenise(spark, docs, vocabulary, end_id=0, size=SIZE, with_ids=False):
     return map_batches(
         with_row(docs.select("doc_id", "text")).select("doc_id", "row", "text"), run,
         f"doc_id {kind}, row bigint, piece int, start bigint, length bigint, ids_crc32 bigint{ids}",
-        chunk=64)
+        chunk=256)
 
 
 class Packer:
