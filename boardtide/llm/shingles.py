@@ -4,7 +4,7 @@ import numpy as np
 import xxhash
 
 WORDS = 5
-_WORD_HASH, _LIMIT = {}, 500_000
+_WORD_HASH, _LIMIT = {}, 150_000
 
 
 def mix(x):
