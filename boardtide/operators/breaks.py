@@ -1,54 +1,132 @@
 """Where one reader's lines break into messages, found in parallel.
 
-Greedy packing looks sequential: where a message ends depends on where it began.  But from every
-place there is exactly one next break, which the sizes of the lines just after it decide.  So the
-next break of *every* line is looked up at once over prefix sums, and the breaks that really occur
-are those reached from the first line, found by jump pointers that double their reach each round.
+Greedy packing looks sequential: where a message ends depends on where it began.  But all that a
+stretch of lines (a chunk) has to know of what came before is how far the open message reaches and
+its number.  So every chunk is walked at once from each of the few lines a message can first break
+at, which gives how many messages begin in it and how far the last one reaches.  These answers are
+put together chunk by chunk, a few rows for each, and then every chunk knows what it begins with.
 
 Prefix sums are range-partitioned: a running sum inside each range, and the totals of the ranges
-before it.  No step holds a reader in one task.
+before it.  No step holds a reader in one task, and lines' texts take no part in any.
 
 A continuation's header holds its number, so its length depends on how many digits that has.
-Messages are found digits by digits: 2 to 9, then 10 to 99, and so on.
+Chunks are answered for every number of digits; the few in which the digits become more are walked
+once their own beginning is known.
 """
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F, Window as W
 
+from boardtide.session import broadcast_if_small
+
 CHAT, NODE = "chat_id", ["chat_id", "idx"]
+PIECE = [CHAT, "chunk"]
+#: Lines of a chunk.
+CHUNK = 20_000
+
+
+def chunk_of(idx, limit):
+    """The chunk a line is in.  A message has at most `limit` lines and one, so every chunk that is
+    full has a break."""
+    return F.floor(F.col(idx) / max(CHUNK, 2 * limit + 2)).alias("chunk")
 
 
 def numbered_sums(stage, items, order, values, name):
     """`items` stored in `order` within chat_id, with `idx` (from 0) and for every (column, sum) of
-    `values` the sum of the column over the rows before."""
+    `values` the sum of the column over the rows before.
+
+    Only what is read of it later moves again: without the sums, nothing does."""
     parts = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = stage(items.repartitionByRange(parts, CHAT, *order).withColumn("_part", F.spark_partition_id()), name)
-    inside = W.partitionBy(CHAT, "_part").orderBy(*order)
+    ranged = stage(items.repartitionByRange(parts, CHAT, *order).sortWithinPartitions(CHAT, *order).select(
+        "*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at")), name)
+    inside = W.partitionBy(CHAT, "_part").orderBy("_at").rowsBetween(W.unboundedPreceding, -1)
     before = W.partitionBy(CHAT).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     # a row per range and chat: at most so many per chat as there are ranges
     totals = ranged.groupBy(CHAT, "_part").agg(
-        F.count("*").alias("_n"), *[F.sum(c).alias(f"_{s}") for c, s in values])
-    offsets = totals.select(CHAT, "_part", *[
-        F.coalesce(F.sum(f"_{c}").over(before), F.lit(0)).alias(f"_{c}") for c in ("n", *[s for _, s in values])])
-    local = ranged.select("*", (F.row_number().over(inside) - 1).alias("idx"), *[
-        F.coalesce(F.sum(c).over(inside.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias(s) for c, s in values])
-    return local.join(offsets, [CHAT, "_part"]).select(
-        *items.columns, (F.col("idx") + F.col("_n")).cast("bigint").alias("idx"),
+        F.min("_at").alias("_first"), F.count("*").alias("_n"), *[F.sum(c).alias(f"_{s}") for c, s in values])
+    offsets = stage(totals.select(CHAT, "_part", "_first", *[
+        F.coalesce(F.sum(f"_{c}").over(before), F.lit(0)).alias(f"_{c}") for c in ("n", *[s for _, s in values])]),
+        f"{name}-offsets")
+    local = ranged.select("*", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(s) for c, s in values])
+    return local.join(broadcast_if_small(offsets), [CHAT, "_part"]).select(
+        *items.columns, (F.col("_at") - F.col("_first") + F.col("_n")).cast("bigint").alias("idx"),
         *[(F.col(s) + F.col(f"_{s}")).cast("bigint").alias(s) for _, s in values])
 
 
-def _next_from(queries, items, limit):
-    """`queries` (chat_id, reach, ...) with `next`: the first item whose end lies beyond `reach`.
+def _reach(lines, limit, digits):
+    """For each line, how far a message that begins with it reaches if its number has so many digits:
+    the next one begins with the first line that ends beyond."""
+    begin = lines["begin"].to_numpy()
+    opening = np.where(lines["numbered"].to_numpy(), lines["more"].to_numpy() + digits, 0)
+    return np.maximum(lines["end"].to_numpy(), limit + begin - opening)
 
-    An item with end q after one with end p is the answer to every reach from p up to before q.  It
-    waits in each piece of `limit` characters that this stretch touches, so a query meets only the
-    few items of its own piece."""
-    waiting = items.select(
-        CHAT, F.col("idx").alias("next"), F.col("begin").alias("_p"), F.col("end").alias("_q"),
-        F.explode(F.sequence(F.floor((F.col("begin") - 1) / limit), F.floor(F.col("end") / limit))).alias("_piece"))
-    # ends are begin + size, and the end before an item is its begin less the line break
-    met = (F.col("reach") >= F.col("_p") - 1) & (F.col("reach") < F.col("_q"))
-    return (queries.withColumn("_piece", F.floor(F.col("reach") / limit)).join(waiting, [CHAT, "_piece"])
-            .filter(met).drop("_piece", "_p", "_q"))
+
+def _answers(limit, most_digits):
+    """For every line at which a chunk can first break and every number of digits: how many messages
+    begin in the chunk and how far the last of them reaches."""
+    def answer(key, lines):
+        lines = lines.sort_values("idx")
+        end, n = lines["end"].to_numpy(), len(lines)
+        # a message from before reaches no further than this
+        firsts = np.arange(min(n, np.searchsorted(end, lines["begin"].iloc[0] + limit, "right") + 1))
+        out = []
+        for digits in range(1, most_digits + 1):
+            reach = _reach(lines, limit, digits)
+            following = np.searchsorted(end, reach, "right")
+            at, last, steps = firsts.copy(), firsts.copy(), np.zeros(len(firsts), np.int64)
+            going = np.arange(len(firsts))
+            while len(going):
+                last[going] = at[going]
+                steps[going] += 1
+                at[going] = following[at[going]]
+                going = going[at[going] < n]
+            out.append(pd.DataFrame({"chat_id": key[0], "chunk": key[1], "digits": digits, "end": end[firsts],
+                                     "steps": steps, "reach": reach[last]}))
+        return pd.concat(out)
+    return answer
+
+
+def _follow(key, begun, answers):
+    """What each chunk after the one begun with begins with, up to the first in which the number of
+    the message gets one more digit, which is marked."""
+    if not len(begun) or not len(answers):
+        return pd.DataFrame([], columns=["chat_id", "chunk", "reach", "number", "stopped"])
+    out, chunk = [], int(begun["chunk"].iloc[0])
+    reach, number = int(begun["reach"].iloc[0]), int(begun["number"].iloc[0])
+    by_chunk = {k: v for k, v in answers[answers["chunk"] >= chunk].groupby("chunk")}
+    while chunk in by_chunk:
+        digits, steps, next_reach = len(str(number + 1)), 0, reach
+        own = by_chunk[chunk]
+        own = own[own["digits"] == digits].sort_values("end")
+        first = np.searchsorted(own["end"].to_numpy(), reach, "right")
+        if first < len(own):
+            steps, next_reach = int(own["steps"].iloc[first]), int(own["reach"].iloc[first])
+        stopped = number + steps >= 10 ** digits
+        out.append((key[0], chunk, reach, number, stopped))
+        if stopped:
+            break
+        chunk, reach, number = chunk + 1, next_reach, number + steps
+    return pd.DataFrame(out, columns=["chat_id", "chunk", "reach", "number", "stopped"])
+
+
+def _walked(limit, whole):
+    """The breaks of a chunk that knows what it begins with; or only what the next one begins with."""
+    def walk(key, lines):
+        lines = lines.sort_values("idx")
+        idx, end = lines["idx"].to_numpy(), lines["end"].to_numpy()
+        reach, number, found, by_digits = int(lines["_reach"].iloc[0]), int(lines["_number"].iloc[0]), [], {}
+        while (at := int(np.searchsorted(end, reach, "right"))) < len(end):
+            number += 1
+            digits = len(str(number))
+            if digits not in by_digits:
+                by_digits[digits] = _reach(lines, limit, digits)
+            reach = int(by_digits[digits][at])
+            found.append((key[0], int(idx[at]), number))
+        if whole:
+            return pd.DataFrame(found, columns=["chat_id", "idx", "message_no"])
+        return pd.DataFrame([(key[0], key[1] + 1, reach, number)], columns=["chat_id", "chunk", "reach", "number"])
+    return walk
 
 
 def find_breaks(stage, items, limit):
@@ -58,43 +136,27 @@ def find_breaks(stage, items, limit):
     (begin + its own size), first (what a message 1 begins with), more (what a later message that
     begins at this item begins with, without its number's digits; null: nothing, nor a number).
     """
-    start = items.filter("idx = 0").select(CHAT, (F.lit(limit) - F.col("first")).cast("bigint").alias("reach"))
-    at = _next_from(start.withColumn("reach", F.greatest("reach", F.lit(-1))), items, limit).select(
-        CHAT, F.col("next").alias("idx"), F.lit(0).cast("bigint").alias("steps"))
-    at = stage(at, "breaks-start")
-    number, digits, found = 2, 1, []
+    chunks = items.select(*NODE, chunk_of("idx", limit), "begin", "end", F.col("more").isNotNull().alias("numbered"),
+                          F.coalesce("more", F.lit(0)).alias("more"))
+    top = items.agg(F.max("idx").alias("n")).first()["n"]
+    answers = stage(chunks.groupBy(*PIECE).applyInPandas(
+        _answers(limit, len(str((top or 0) + 2))),
+        "chat_id string, chunk bigint, digits int, end bigint, steps bigint, reach bigint"), "answers")
+    state = "chat_id string, chunk bigint, reach bigint, number bigint"
+
+    def walked(states, whole, layout):
+        known = states.select(*PIECE, F.col("reach").alias("_reach"), F.col("number").alias("_number"))
+        return chunks.join(broadcast_if_small(known), PIECE).groupBy(*PIECE).applyInPandas(_walked(limit, whole), layout)
+
+    at = stage(items.filter("idx = 0").select(
+        CHAT, F.lit(0).cast("bigint").alias("chunk"), F.greatest(F.lit(limit) - F.col("first"), F.lit(-1)).cast("bigint")
+        .alias("reach"), F.lit(1).cast("bigint").alias("number")), "chunks-start")
+    states, n = at, 0
+    # once for the first chunk and once for every digit that a number gets in a later one
     while not at.isEmpty():
-        # the last step leads to the first message of one more digit
-        reached, at = _walk(stage, items, at, limit, digits, 10 ** digits - number)
-        found.append(reached.select(*NODE, (F.col("steps") + number).alias("message_no")))
-        number, digits = 10 ** digits, digits + 1
-    if not found:
-        return at.select(*NODE, F.col("steps").alias("message_no"))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
-
-
-def _walk(stage, items, at, limit, digits, steps):
-    """(breaks with `steps` from 0 to steps - 1 after `at`, breaks `steps` after it)."""
-    name = lambda what, n=0: f"{what}-{digits}-{n}"
-    begin = at.select(CHAT, F.col("idx").alias("_from"))
-    # only what comes after, of the readers that have so many messages
-    after = items.join(begin, CHAT).filter("idx >= _from")
-    queries = after.select(*NODE, F.greatest(F.col("end"), (
-        F.lit(limit) + F.col("begin") - F.when(F.col("more").isNull(), 0).otherwise(F.col("more") + digits))).alias("reach"))
-    jump = stage(_next_from(queries, items, limit).select(*NODE, "next"), name("jump"))
-    reached, width, n = at, 1, 0
-    while True:
-        landed = reached.filter(F.col("steps") + width <= steps).join(jump, NODE).select(
-            CHAT, F.col("next").alias("idx"), (F.col("steps") + width).alias("steps"))
-        landed = stage(landed, name("landed", n))
-        if landed.isEmpty():
-            break
-        reached = reached.unionByName(landed)
-        width, n = 2 * width, n + 1
-        further = jump.select(CHAT, F.col("idx").alias("next"), F.col("next").alias("further"))
-        jump = stage(jump.join(further, [CHAT, "next"]).select(*NODE, F.col("further").alias("next")), name("jump", n))
-    return (reached.filter(F.col("steps") < steps),
-            reached.filter(F.col("steps") == steps).withColumn("steps", F.lit(0).cast("bigint")))
+        begun = stage(walked(at, False, state), f"chunks-begun-{n}")
+        run = stage(begun.groupBy(CHAT).cogroup(answers.groupBy(CHAT)).applyInPandas(
+            _follow, state + ", stopped boolean"), f"chunks-{n}")
+        states = states.unionByName(run.drop("stopped"))
+        at, n = run.filter("stopped").drop("stopped"), n + 1
+    return walked(states, True, "chat_id string, idx bigint, message_no bigint")

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F, types as T
 
 from boardtide import fixed
 from boardtide.functions import dates, text
-from boardtide.operators.breaks import CHAT, NODE, find_breaks, numbered_sums
-from boardtide.session import table_stage
+from boardtide.operators.breaks import NODE, PIECE, chunk_of, find_breaks, numbered_sums
+from boardtide.session import broadcast_if_small, table_stage
 
 #: Lines of a reader that one task packs.
 LONG_READER = 50_000
@@ -84,12 +84,14 @@ def _packer(limit, repeat):
     return pack
 
 
-def _pack(lines, order, limit, repeat, long_reader=LONG_READER):
-    many = lines.groupBy("chat_id").count().filter(F.col("count") > long_reader).select("chat_id")
+def _pack(lines, order, limit, repeat, long_reader=LONG_READER, counts=None):
+    """`counts` has chat_id and count, where the caller knows them."""
+    counts = lines.groupBy("chat_id").count() if counts is None else counts
+    many = counts.filter(F.col("count") > long_reader).select("chat_id")
     if many.isEmpty():
         return _pack_streamed(lines, order, limit, repeat)
     stage = table_stage(lines.sparkSession)
-    lines, many = stage(lines, "lines"), stage(many, "long-readers")
+    lines, many = stage(lines, "lines"), broadcast_if_small(stage(many, "long-readers"))
     few = _pack_streamed(lines.join(many, "chat_id", "left_anti"), order, limit, repeat)
     return few.unionByName(_pack_parallel(stage, lines.join(many, "chat_id", "left_semi"), order, limit, repeat))
 
@@ -102,36 +104,67 @@ def _pack_streamed(lines, order, limit, repeat):
 
 def _pack_parallel(stage, lines, order, limit, repeat):
     """Group lines become items of their own, before their first line; every item knows the group
-    line that a continuation beginning with it repeats."""
+    line that a continuation beginning with it repeats.
+
+    Texts move twice, into order and into chunks; breaks are found from the sizes alone."""
     keys = [c for c in lines.columns if c not in ("chat_id", "header", "group_line", "line")]
+    # a row per reader and group
+    per_group = stage(lines.groupBy("chat_id", "family_group").agg(
+        F.first("header").alias("header"), F.max("group_line").alias("text")), "groups")
     # lines without a group come last and belong to the group before them
-    last = lines.groupBy("chat_id").agg(F.max_by("group_line", "family_group").alias("_last"))
-    rows = lines.join(last, "chat_id").select(
+    last = stage(per_group.groupBy("chat_id").agg(F.max_by("text", "family_group").alias("_last")), "last-groups")
+    rows = lines.join(broadcast_if_small(last), "chat_id").select(
         "chat_id", "header", *keys, F.lit(1).alias("kind"), F.col("line").alias("text"),
         F.coalesce("group_line", "_last").alias("group"))
-    groups = lines.filter("group_line IS NOT NULL").groupBy("chat_id", "family_group").agg(
-        F.first("header").alias("header"), F.first("group_line").alias("text")).select(
+    groups = per_group.filter("text IS NOT NULL").select(
         "chat_id", "header", *[F.col(c) if c == "family_group" else F.lit(None).cast(lines.schema[c].dataType).alias(c)
                                for c in keys], F.lit(0).alias("kind"), "text", F.col("text").alias("group"))
-    items = rows.unionByName(groups).withColumn("wide", F.length("text") + 1)
     repeated = F.length("header") + len(" (cont. )") + F.coalesce(F.length("group") + 1, F.lit(0))
-    placed = stage(numbered_sums(stage, items, [order[0], "kind", *order[1:]], [("wide", "begin")], "ranged").select(
-        *NODE, "header", "text", "group", "begin", (F.col("begin") + F.length("text")).alias("end"),
-        (F.length("header") + (0 if repeat else 1)).alias("first"),
-        (repeated if repeat else F.lit(None).cast("int")).alias("more")), "placed")
-    breaks = stage(find_breaks(stage, placed.drop("text", "header", "group"), limit), "breaks")
-    # an item's message is 1 and the breaks up to it
-    marked = placed.join(breaks, NODE, "left").withColumn("broke", F.col("message_no").isNotNull().cast("int"))
-    counted = numbered_sums(stage, marked.drop("begin").withColumnRenamed("idx", "at"), ["at"], [("broke", "before")], "marked")
-    opening = F.when(F.col("broke") == 1, F.lit(None) if not repeat else F.concat_ws(
-        "\n", F.concat("header", F.lit(" (cont. "), "message_no", F.lit(")")), "group"))
-    told = counted.select(CHAT, (F.col("before") + F.col("broke") + 1).alias("no"), F.col("at").alias("place"),
-                          F.concat_ws("\n", opening, "text").alias("text"))
-    headers = placed.filter("idx = 0").select(
-        CHAT, F.lit(1).cast("bigint").alias("no"), F.lit(-1).cast("bigint").alias("place"), F.col("header").alias("text"))
-    return told.unionByName(headers).groupBy(CHAT, "no").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "text"))), lambda x: x["text"]), "\n")
-        .alias("message")).select("chat_id", F.col("no").cast("bigint").alias("message_no"), "message")
+    items = rows.unionByName(groups).withColumns({
+        "wide": F.length("text") + 1, "first": F.length("header") + (0 if repeat else 1),
+        "more": repeated if repeat else F.lit(None).cast("int")})
+    placed = numbered_sums(stage, items, [order[0], "kind", *order[1:]], [("wide", "begin")], "ranged")
+    sizes = stage(placed.select(*NODE, "begin", (F.col("begin") + F.col("wide") - 1).alias("end"), "first", "more"), "sizes")
+    breaks = stage(find_breaks(stage, sizes, limit), "breaks").withColumn("chunk", chunk_of("idx", limit))
+    # a chunk knows its own breaks and the last one before it, which is in the chunk before
+    before = breaks.groupBy(*PIECE).agg(F.max("idx").alias("idx"), F.max("message_no").alias("message_no")).withColumn(
+        "chunk", F.col("chunk") + 1)
+    told = placed.select(*NODE, chunk_of("idx", limit), "header", "text", "group")
+    parts = stage(told.groupBy(*PIECE).cogroup(breaks.unionByName(before).groupBy(*PIECE)).applyInPandas(
+        _chunk_messages(repeat), PARTS), "parts")
+    split = parts.filter("NOT whole").groupBy("chat_id", "message_no").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("chunk", "message"))), lambda x: x["message"]), "\n").alias("message"))
+    return parts.filter("whole").select("chat_id", "message_no", "message").unionByName(split)
+
+
+PARTS = T.StructType([*MESSAGES, T.StructField("chunk", T.LongType()), T.StructField("whole", T.BooleanType())])
+
+
+def _chunk_messages(repeat):
+    """The messages of a chunk; the first and the last of them may be parts of one."""
+    def messages(key, lines, breaks):
+        columns = PARTS.fieldNames()
+        if not len(lines):
+            return pd.DataFrame([], columns=columns)
+        lines = lines.sort_values("idx")
+        start = int(lines["idx"].iloc[0])
+        number = dict(zip(breaks["idx"], breaks["message_no"]))
+        first = max((int(n) for i, n in number.items() if i < start), default=1)
+        cuts = [int(i) - start for i in sorted(number) if i >= start]
+        texts, heads, groups = (lines[c].tolist() for c in ("text", "header", "group"))
+        out, at = [], 0
+        for n, cut in enumerate([*cuts, len(texts)]):
+            no, opening = first + n, []
+            if n and repeat:
+                opening = [f"{heads[at]} (cont. {no})", *([groups[at]] if isinstance(groups[at], str) else [])]
+            elif not n and not start:
+                opening = [heads[0]]
+            if opening or cut > at:
+                begins, ends = bool(n or not start), n < len(cuts)
+                out.append((key[0], no, "\n".join([*opening, *texts[at:cut]]), key[1], begins and ends))
+            at = cut
+        return pd.DataFrame(out, columns=columns)
+    return messages
 
 
 def _when(posted="posted_date", first_seen="first_seen"):
@@ -144,12 +177,14 @@ def render_digest(matches, snapshot, limit=fixed.DIGEST_CHARS, long_reader=LONG_
     Totals per reader and per group come from a combined aggregation joined back, not from a
     window over all of a reader's rows.
     """
-    per_group = matches.groupBy("chat_id", "family_group").agg(F.count("*").alias("n_group"))
-    totals = per_group.groupBy("chat_id").agg(F.sum("n_group").alias("n_all"))
+    stage = table_stage(matches.sparkSession)
+    per_group = stage(matches.groupBy("chat_id", "family_group").agg(F.count("*").alias("n_group")), "counts")
+    totals = stage(per_group.groupBy("chat_id").agg(F.sum("n_group").alias("n_all")), "totals")
     short = lambda c, n: F.left(text.blank_to_empty(c), F.lit(n))
     title = text.escape_markup(short("title", fixed.DIGEST_TITLE_CHARS))
     firm = text.escape_markup(short("firm_name", fixed.DIGEST_FIRM_CHARS))
-    lines = matches.join(per_group, ["chat_id", "family_group"]).join(totals, "chat_id").select(
+    lines = matches.join(broadcast_if_small(per_group), ["chat_id", "family_group"]).join(
+        broadcast_if_small(totals), "chat_id").select(
         "chat_id", "family_group", "posted_date", "job_key",
         F.concat(F.lit("<b>🎓 "), "n_all", F.lit(" new graduate role(s)</b> · "),
                  F.lit(str(snapshot))).alias("header"),
@@ -159,7 +194,7 @@ def render_digest(matches, snapshot, limit=fixed.DIGEST_CHARS, long_reader=LONG_
                  F.lit('">'), title,
                  F.lit("</a>\n  "), firm, F.lit(" · "), _when()).alias("line"))
     order = [F.asc_nulls_last("family_group"), F.desc_nulls_last("posted_date"), F.asc("job_key")]
-    return _pack(lines, order, limit, True, long_reader)
+    return _pack(lines, order, limit, True, long_reader, totals.withColumnRenamed("n_all", "count"))
 
 
 def render_reply(matches, heading, limit=fixed.REPLY_CHARS, long_reader=LONG_READER):
@@ -174,7 +209,7 @@ def render_reply(matches, heading, limit=fixed.REPLY_CHARS, long_reader=LONG_REA
                  F.lit(" · "),
                  _when()).alias("line"))
     order = [F.asc_nulls_last("family_group"), F.desc_nulls_last("posted_date"), F.asc("job_key")]
-    return _pack(lines, order, limit, False, long_reader)
+    return _pack(lines, order, limit, False, long_reader, matches.groupBy("chat_id").count())
 
 
 def write_digest(messages, path):

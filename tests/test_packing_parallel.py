@@ -61,3 +61,28 @@ def test_one_reader_fills_many_tasks(spark):
     assert len(ranges) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(r["count"] for r in ranges) < 5000
     found = breaks.find_breaks(stage, stored, 1000).collect()
     assert sorted(r.message_no for r in found) == list(range(2, len(found) + 2)) and len(found) > 800
+
+
+@pytest.mark.parametrize("repeat, limit", [(True, 60), (False, 25)])
+def test_messages_go_on_over_chunks(spark, monkeypatch, repeat, limit):
+    """Numbers get more digits within chunks and messages lie on both sides of a chunk's end."""
+    monkeypatch.setattr(breaks, "CHUNK", 52)
+    lines = readers(spark, repeat, limit + 1)
+    plain = packing._pack_streamed(lines, order(), limit, repeat).collect()
+    got = packing._pack(lines, order(), limit, repeat, 0).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, plain))
+
+
+def test_little_is_stored_and_texts_move_twice(spark):
+    """What is stored does not grow with the rounds of a search, and breaks are found without texts."""
+    lines, stored = readers(spark, True, 9).filter("chat_id = 'many'"), {}
+    keep = table_stage(spark)
+
+    def stage(df, name):
+        out = keep(df, name)
+        stored[name] = out.count(), out.columns
+        return out
+
+    packing._pack_parallel(stage, lines, order(), 150, True).collect()
+    assert sum(n for n, _ in stored.values()) < 5 * lines.count()
+    assert sorted(k for k, (_, columns) in stored.items() if {"text", "message"} & set(columns)) == ["groups", "parts", "ranged"]
