@@ -103,3 +103,15 @@ def test_every_employer_has_a_score(spark):
                    "MICRO TECHNICS": ("unmatched", best("micro technics")), "GE GLOBAL": ("unmatched", best("ge global"))}
     off = resolve.resolve_employers(employers, registry, aliases, unmatched=False)
     assert off.filter("basis = 'unmatched' AND score IS NOT NULL").isEmpty()
+
+
+def test_blocks_are_searched_in_one_pass(spark):
+    """A name keeps what it reached in one block, and all cores share the names."""
+    rng = random.Random(4)
+    known = spark.createDataFrame([(k,) for k in _names(rng, 60)], "k string")
+    asked = spark.createDataFrame([(n,) for n in _names(rng, 40)], "name string").coalesce(1)
+    found = nearest.best_scores(spark, asked, "name", known, "k", block=15)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert found.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    index = nearest.NameIndex(["alpha beta", "alpine gamma"])
+    assert index.best(["alfa beta"], [99]) == [(99, 0)] and index.best(["alfa beta"])[0][1] > 0
