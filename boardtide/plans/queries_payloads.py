@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from boardtide import schema
 from boardtide.operators import lifecycle
 from boardtide.plans.bindings import query, spread, table
+from boardtide.session import table_stage
 from boardtide.sources.payloads import normalise
 
 KEY = "CAST(o_orderkey AS STRING)"
@@ -283,6 +284,10 @@ def lifecycle_after_bad_read(spark, sf_dir):
         days.append([df.withColumn("source", F.lit("phenom")).withColumn("snapshot_date", F.lit(day).cast("date"))
                      for df in normalise("phenom", landed)])
     postings, outcomes = (a.unionByName(b) for a, b in zip(*days))
+    # stored, as a run finds them: the lifecycle reads both several times
+    stage = table_stage(spark)
+    postings = stage(postings.select("source", "snapshot_date", "firm_id", "job_key"), "postings")
+    outcomes = stage(outcomes, "outcomes")
     return lifecycle.compute_lifecycle(postings, outcomes).select("job_key", "status")
 
 
