@@ -10,13 +10,14 @@ UNREADABLE = "payload is not readable"
 TRIMMED = ("title", "firm_id", "external_id", "apply_url")
 
 
-def elements(items, layout):
+def elements(items, layout, outer=False):
     """pos, j: one parsed row per payload element, each from its own JSON text.
 
     A bad element cannot spoil its neighbours.  Parsing happens inside the explode, where no
-    later filter can be pushed to: each element is parsed exactly once.
+    later filter can be pushed to: each element is parsed exactly once.  `outer` keeps a row with
+    nulls where there are no items.
     """
-    return F.posexplode(F.transform(items, lambda raw: F.from_json(raw, layout))).alias("pos", "j")
+    return (F.posexplode_outer if outer else F.posexplode)(F.transform(items, lambda raw: F.from_json(raw, layout))).alias("pos", "j")
 
 
 def judged(landed, items):

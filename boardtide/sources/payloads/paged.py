@@ -344,8 +344,8 @@ def _site_outcomes(maps, out, missing):
 def portal(landed, place=None):
     """The government portal: one sweep over many search terms, first hit of a posting wins."""
     landed = common.judged(landed, F.from_json("payload", "results array<string>")["results"])
-    rows = common.readable(landed).select(
-        "page", F.col("url").alias("term"), common.elements("items", PORTAL))
+    # a response without elements stays as a row that is not valid, for the outcome
+    rows = landed.select("page", F.col("url").alias("term"), "ok", "error", common.elements("items", PORTAL, outer=True))
     j, meta = F.col("j"), F.col("j")["metadata"]
     named = lambda array, field: F.transform(
         F.coalesce(j[array], F.array().cast(f"array<struct<{field}:string>>")),
@@ -381,30 +381,28 @@ def portal(landed, place=None):
             posting_expires_on=F.coalesce(meta["expiryDate"], F.lit("")),
             views=F.coalesce(meta["totalNumberOfView"], F.lit(0)),
             applications=F.coalesce(meta["totalNumberJobApplication"], F.lit(0))),
-        term=F.col("term"))
-    keyed = first_wins(common.postings_of(out), ["external_id"], ["page", "pos"])
-    return keyed, _portal_outcome(landed, out, keyed)
+        term=F.col("term"), ok=F.col("ok"), error=F.col("error"))
+    keyed = first_wins(common.postings_of(out).drop("ok", "error"), ["external_id"], ["page", "pos"])
+    return keyed, _portal_outcome(out)
 
 
-def _portal_outcome(landed, out, keyed):
+def _portal_outcome(out):
     """One outcome for the whole sweep; ok when it produced anything; its first five errors.  A term's
     page that was not read leaves the sweep seen in part."""
     place = F.concat(F.coalesce("term", F.lit("")), F.lit(" p"), F.col("page").cast("string"),
                      F.lit(": "))
-    failed = landed.withColumnRenamed("url", "term").filter(~F.coalesce("ok", F.lit(False))).select(
-        "page", F.lit(-1).alias("pos"), F.concat(place, F.coalesce("error", F.lit(""))).alias("e"))
-    bad = out.filter(~F.col("valid")).select(
-        "page", "pos", F.concat(place, F.lit("validation")).alias("e"))
-    first = failed.unionByName(bad).orderBy("page", "pos").limit(5)
-    errors = first.agg(F.array_join(F.transform(
+    read = F.coalesce("ok", F.lit(False))
+    bad = out.filter(~read | (F.col("pos").isNotNull() & ~F.col("valid"))).select(
+        "page", F.coalesce("pos", F.lit(-1)).alias("pos"),
+        F.concat(place, F.when(read, "validation").otherwise(F.coalesce("error", F.lit("")))).alias("e"))
+    errors = bad.orderBy("page", "pos").limit(5).agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("page", "pos", "e"))), lambda x: x["e"]), "; ")
-        .alias("error"))
-    facts = {"row_count": "bigint", "error": "string", "complete": "boolean"}
-    alone = lambda df: df.select(*[
-        F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in facts.items()])
-    read = landed.agg(F.coalesce(F.bool_and(F.coalesce("ok", F.lit(False))), F.lit(True)).alias("complete"))
-    both = alone(keyed.agg(F.count("*").alias("row_count"))).unionByName(alone(errors)).unionByName(alone(read))
-    return both.agg(F.max("row_count").alias("n"), F.max("error").alias("e"), F.bool_and("complete").alias("complete")).select(
+        .alias("e"))
+    # an id that is valid is not null, and after a failed read there is none
+    counted = out.agg(
+        F.count_distinct(F.when(F.col("valid") & F.col("here"), text.strip("external_id"))).alias("n"),
+        F.coalesce(F.bool_and(read), F.lit(True)).alias("complete"))
+    return counted.crossJoin(errors).select(
         F.lit(fixed.SWEEP_FIRM_ID).alias("firm_id"),
         F.lit(fixed.PORTAL_PLATFORM).alias("platform"), (F.col("n") > 0).alias("ok"),
         F.col("n").alias("row_count"), F.col("e").alias("error"), "complete")
