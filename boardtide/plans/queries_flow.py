@@ -195,6 +195,13 @@ def _merge_inputs(spark, sf_dir):
     return rows, registry, aliases
 
 
+def _merge_stored(spark, sf_dir):
+    """The inputs and a stage, with the postings stored, as a run finds them: several branches read them."""
+    rows, registry, aliases = _merge_inputs(spark, sf_dir)
+    stage = table_stage(spark)
+    return stage(rows, "postings"), registry, aliases, stage
+
+
 MERGE_SQL = f"""WITH o AS (SELECT o_orderkey, o_orderstatus, {_TITLE} AS title, n_regionkey, n_nationkey,
     c_acctbal, o_totalprice, 'nation-' || n_nationkey AS firm, {_EMPLOYER} AS employer, {_BOARD} AS board,
     {_BOARD} || ':nation-' || n_nationkey || ':' || o_orderkey AS board_key,
@@ -224,12 +231,14 @@ kept AS (SELECT b.board_key AS job_key, b.board_key AS raw_job_key, b.firm AS fi
 
 @query("merge_twins", MERGE_SQL + "SELECT raw_key AS job_key, twin_key FROM m WHERE twin_key IS NOT NULL")
 def merge_twins(spark, sf_dir):
-    return merge.merge_sources(*_merge_inputs(spark, sf_dir), stage=table_stage(spark)).folded.select("job_key", "twin_key")
+    *inputs, stage = _merge_stored(spark, sf_dir)
+    return merge.merge_sources(*inputs, stage=stage).folded.select("job_key", "twin_key")
 
 
 @query("merge_kept", MERGE_SQL + "SELECT job_key, raw_job_key, firm_id, mcf_job_id, salary_min FROM kept")
 def merge_kept(spark, sf_dir):
-    kept = merge.merge_sources(*_merge_inputs(spark, sf_dir), stage=table_stage(spark)).postings
+    *inputs, stage = _merge_stored(spark, sf_dir)
+    kept = merge.merge_sources(*inputs, stage=stage).postings
     return kept.select("job_key", "raw_job_key", "firm_id",
                        F.coalesce("extra.mcf_job_id", F.lit("")).alias("mcf_job_id"),
                        F.col("extra.salary_min").try_cast("double").alias("salary_min"))
@@ -240,10 +249,9 @@ SELECT 'merged', count(*) FROM t UNION ALL SELECT 'graduate', count(*) FILTER (W
 SELECT 'candidates', count(*) FROM o WHERE o_orderstatus = 'O' AND n_regionkey >= 4""")
 def merge_counters(spark, sf_dir):
     """Counted while the tables are written, as a run does."""
-    rows, registry, aliases = _merge_inputs(spark, sf_dir)
+    rows, registry, aliases, stage = _merge_stored(spark, sf_dir)
     none = spark.createDataFrame([], schema.LIFECYCLE)
     overrides = spark.createDataFrame([], "job_key string, job_family string")
-    stage = table_stage(spark)
     curated, candidates, _ = curate.build_tables(rows, none, registry, aliases, overrides, dt.date(2001, 8, 1), stage=stage)
     counted = reports.RunCounters(rows.filter(F.col("source_platform") == fixed.PORTAL_PLATFORM).count())
     stage(counted.curated(curated), "curated"), stage(counted.candidates(candidates), "candidates")
@@ -284,7 +292,7 @@ LEFT JOIN (SELECT 'mcf:nation-' || c_nationkey || ':' || o_orderkey AS job_key
   FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 490000) ov ON ov.job_key = kept.job_key""")
 def curated_table(spark, sf_dir):
     """Merge, classify, override, and join the dimension and the lifecycle."""
-    rows, registry, aliases = _merge_inputs(spark, sf_dir)
+    rows, registry, aliases, stage = _merge_stored(spark, sf_dir)
     orders = OrdersWithCustomers.frame(spark, sf_dir)
     key = lambda platform: F.concat_ws(
         ":", platform, F.concat(F.lit("nation-"), F.col("c_nationkey").cast("string")),
@@ -296,7 +304,7 @@ def curated_table(spark, sf_dir):
     overrides = orders.filter("o_totalprice > 490000").select(
         key(F.lit("mcf")), F.lit("legal").alias("job_family"))
     table_, _, _ = curate.build_tables(rows, life, registry, aliases, overrides, dt.date(2001, 8, 1),
-                                        stage=table_stage(spark))
+                                        stage=stage)
     return table_.select(
         "job_key", "firm_id", "firm_name", "sector", "tier", "title", "source_platform", "is_singapore",
         "posted_date", "first_seen", "last_seen", "status", "job_family", "is_grad", "grad_basis",
