@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from boardtide.llm.common import Stage, map_batches, numbered, rows_of, semi_by_row
 from boardtide.llm.components import components
 from boardtide.llm.shingles import mix, shingles_of_all, words_of
+from boardtide.session import broadcast_if_small
 
 SLOTS, ROWS = 384, 8       # 48 bands of 8: a pair of similarity 0.8 is missed once in 6,800
 SIMILAR = 0.8
@@ -74,8 +75,9 @@ def bands(held, rows=ROWS):
 
 
 def sketch(docs, size=5, row=None):
-    """row, doc_id, digest (of the lower-cased words), keys (bands), items (distinct shingles) and
-    further (as of `weighted`), both sorted, and their numbers."""
+    """row, doc_id, digest (of the lower-cased words), keys (bands), and the numbers of distinct
+    shingles and of further ones (as of `weighted`).  The shingles themselves would be larger than
+    the texts; `shingle_sets` has them of the few documents that are compared."""
     def run(batch):
         words = [words_of(text) for text in batch["text"]]
         sets = [weighted(x) for x in shingles_of_all(words, size)]
@@ -84,14 +86,22 @@ def sketch(docs, size=5, row=None):
             "row": batch["row"], "doc_id": batch["doc_id"],
             "digest": [hashlib.md5(" ".join(w).encode("utf-8", "surrogatepass")).digest() for w in words],
             "keys": [bands(h) if len(s[0]) else [] for h, s in zip(held, sets, strict=True)],
-            "n_items": [len(s[0]) for s in sets], "n_further": [len(s[2]) for s in sets],
-            "items": [s[0].view(np.int64) for s in sets], "further": [s[2].view(np.int64) for s in sets]}
+            "n_items": [len(s[0]) for s in sets], "n_further": [len(s[2]) for s in sets]}
 
     kind = dict(docs.dtypes)["doc_id"]
     return map_batches(
         rows_of(docs, row, "doc_id", "text"), run,
-        f"row bigint, doc_id {kind}, digest binary, keys array<bigint>, n_items int, n_further int, "
-        "items array<bigint>, further array<bigint>", 128)
+        f"row bigint, doc_id {kind}, digest binary, keys array<bigint>, n_items int, n_further int", 128)
+
+
+def shingle_sets(texts, size=5):
+    """row, items (distinct shingles) and further (as of `weighted`), both sorted, of `texts` (row, text)."""
+    def run(batch):
+        sets = [weighted(x) for x in shingles_of_all([words_of(text) for text in batch["text"]], size)]
+        return {"row": batch["row"], "items": [s[0].view(np.int64) for s in sets],
+                "further": [s[2].view(np.int64) for s in sets]}
+
+    return map_batches(texts, run, "row bigint, items array<bigint>, further array<bigint>", 128)
 
 
 def near_groups(spark, docs, size=5, similar=SIMILAR, stage=None, row=None):
@@ -107,10 +117,14 @@ def near_groups(spark, docs, size=5, similar=SIMILAR, stage=None, row=None):
     first against one, then against GROWTH times as many.  Only members already in one class are not
     checked against each other.  Members of small classes are taken first, so that a bucket ends
     when one class is left in it.  Pairs whose sizes rule out the similarity never meet their
-    shingles, and shingles of documents in no pair stay where they are.  Tables of a round are
-    removed when the next one is stored.
+    shingles, which are only made of documents in a pair.  Tables of a round are removed when the
+    next one is stored.
     """
     stage = stage or Stage(spark, "near")
+    own = row is None
+    if own:
+        docs, row = numbered(stage, docs.select("doc_id", "text"))
+    texts = rows_of(docs, row, "text")
     all_rows = stage.keep(sketch(docs, size, row), "sketch")
     first = stage.keep(all_rows.groupBy("digest").agg(F.min("row").alias("rep")), "first")
     bucket = all_rows.select("row", "keys", "n_items", "n_further").join(
@@ -139,8 +153,13 @@ def near_groups(spark, docs, size=5, similar=SIMILAR, stage=None, row=None):
                 F.greatest("row", "hub").alias("row"), F.least("row", "hub").alias("hub")).distinct()
         if checked is not None:
             pairs = pairs.join(checked.select("row", "hub"), ["row", "hub"], "left_anti")
-        new = stage.keep(verify(stage.keep(pairs, f"pairs-{step}"), all_rows, similar), f"checked-{step}")
-        stage.drop(f"pairs-{step}")
+        pairs = stage.keep(pairs, f"pairs-{step}")
+        asked = stage.keep(pairs.select("row").union(pairs.select("hub")).distinct(), f"asked-{step}")
+        sets = stage.keep(shingle_sets(texts.join(
+            broadcast_if_small(asked), "row", "left_semi"), size), f"sets-{step}")
+        new = stage.keep(verify(pairs, sets, similar), f"checked-{step}")
+        for name in ("pairs", "asked", "sets"):
+            stage.drop(f"{name}-{step}")
         checked = new if checked is None else checked.union(new)
         bucket = live.select("row", "key", "sub", "sizes").join(
             hubs.select("key", "sub", "hub"), ["key", "sub"]).filter("row <> hub").select("row", "key", "sizes")
@@ -158,7 +177,7 @@ def near_groups(spark, docs, size=5, similar=SIMILAR, stage=None, row=None):
         out = out.join(label, out.rep == label.node, "left").withColumn(
             "rep", F.coalesce("label", "rep"))
     out = stage.keep(out.select("row", "doc_id", "rep"), "classes")
-    for name in ["sketch", "first", *[f"checked-{i}" for i in range(step)]]:
+    for name in ["sketch", "first", *["numbered"] * own, *[f"checked-{i}" for i in range(step)]]:
         stage.drop(name)
     if links_stage:
         links_stage.drop()
@@ -175,16 +194,17 @@ def sizes_allow(a, b, similar):
     return enough(a.n_items, b.n_items) | enough(a.n_items + a.n_further, b.n_items + b.n_further)
 
 
-def verify(pairs, sketches, similar):
-    """`pairs` (row, hub; a stored table) with ok: whether plain or weighted similarity is enough."""
-    asked = pairs.select("row").union(pairs.select(F.col("hub").alias("row"))).distinct()
-    sets = sketches.select("row", F.struct("items", "further").alias("x")).join(asked, "row", "left_semi")
-    other = sets.select(F.col("row").alias("hub"), F.col("x").alias("y"))
+def verify(pairs, sets, similar):
+    """`pairs` (row, hub) with ok: whether plain or weighted similarity is enough.  `sets` has the
+    shingles of all of them (row, items, further); both are stored tables."""
+    x = sets.select("row", F.struct("items", "further").alias("x"))
+    y = sets.join(pairs.select(F.col("hub").alias("row")).distinct(), "row", "left_semi").select(
+        F.col("row").alias("hub"), F.struct("items", "further").alias("y"))
     both = F.size(F.array_intersect("x.items", "y.items"))
     more = both + F.size(F.array_intersect("x.further", "y.further"))
     plain = F.size("x.items") + F.size("y.items")
     enough = lambda common, total: common >= similar * (total - common)
-    return pairs.join(sets, "row").join(other, "hub").select(
+    return pairs.join(x, "row").join(y, "hub").select(
         "row", "hub", (enough(both, plain) | enough(
             more, plain + F.size("x.further") + F.size("y.further"))).alias("ok"))
 

@@ -115,6 +115,19 @@ def test_near_groups_equal_brute_force(spark):
     assert pairs(got.__getitem__) == pairs(find)
 
 
+def test_shingles_are_made_of_compared_documents_only(spark, docs, monkeypatch):
+    met, make = set(), prob_minhash.shingle_sets
+
+    def watch(texts, size):
+        met.update(r.text for r in texts.select("text").collect())
+        return make(texts, size)
+
+    monkeypatch.setattr(prob_minhash, "shingle_sets", watch)
+    assert "items" not in prob_minhash.sketch(docs).columns
+    groups = {r.doc_id: r.group_size for r in prob_minhash.near_groups(spark, docs).collect()}
+    assert met == set(TEXTS[7:11]) and groups[7] == groups[8] == 2
+
+
 def test_near_groups_link_what_matches_the_first_with_what_does_not(spark, tmp_path, monkeypatch):
     base = [f"drift{i}" for i in range(120)]
     drift = lambda *ends: " ".join(base[sum(ends):] + [f"{i}end{e}" for e in ends for i in range(e)])
@@ -290,6 +303,26 @@ def test_cross_entropy(spark, docs):
         assert abs(r.score - (mean(goal, t) - mean(back, t) if t else 0)) < 1e-9
 
 
+def test_texts_stay_where_they_are_for_their_labels(spark, tmp_path):
+    rows = [(i if i % 11 else None, f"text {i}") for i in range(40_000)] + [(3, "again")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3).write.parquet(f"{tmp_path}/d")
+    labels = spark.createDataFrame(
+        [(i, int(i % 3 == 0), None if i % 2 else int(i % 5 == 0)) for i in range(39_000)] + [(3, 1, 0), (None, 1, 0)],
+        "doc_id bigint, quality int, toxic int")
+    good = {i for i in range(39_000) if i % 3 == 0 and (i % 2 or i % 5)}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)         # as if there were very many
+    try:
+        marked = cross_entropy.labelled_target(spark.read.parquet(f"{tmp_path}/d"), labels)
+        plan = marked._jdf.queryExecution().executedPlan().toString()
+        assert min(plan.find("BroadcastHashJoin"), plan.find("Join")) > 0
+        assert plan.find("BroadcastHashJoin") < plan.find("SortMergeJoin")
+        got = [(r.doc_id, r.text, r["__target"]) for r in marked.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(got, key=str) == sorted(((i, t, i in good) for i, t in rows), key=str)
+
+
 def test_top_k(spark, tmp_path):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(120)]
