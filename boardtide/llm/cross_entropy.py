@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from boardtide.llm.common import Stage, map_batches
+from boardtide.llm.common import Stage, map_batches, numbered
 from boardtide.llm.packing import token_bytes, tokenizer
 
 MASS = 20.0
@@ -77,11 +77,13 @@ def score(spark, docs, is_target, vocabulary, stage=None, block=BLOCK):
     Pairs are counted by block before they move, and each block asks for the losses of a pair
     once, however many of its documents hold it.  Sums by id have a row per entry of the
     vocabulary at most, which bounds what is broadcast; `block` bounds what a worker holds.
+    The texts that `labelled_target` stored in `stage` are removed once they are encoded.
     """
     stage = stage or Stage(spark, "lm")
     coded, start = encode(spark, docs.select(
         "doc_id", F.coalesce(is_target, F.lit(False)).alias("target"), "text"), vocabulary, block)
     rows = stage.keep(coded, "rows", "zstd")
+    stage.drop("numbered")
     asked = stage.keep(rows.select("block", F.explode(F.arrays_zip("keys", "ns", "ts")).alias("p")).groupBy(
         F.col("p.keys").alias("key"), "block").agg(
             F.sum("p.ns").alias("n"), F.sum("p.ts").alias("t")), "asked", "zstd")
@@ -124,9 +126,21 @@ def score(spark, docs, is_target, vocabulary, stage=None, block=BLOCK):
         F.coalesce(mean(F.col("goal") - F.col("back")), F.lit(0.0)).alias("score"))
 
 
-def labelled_target(docs, labels):
-    """`docs` with `__target`: whether labels call the document good and not toxic."""
-    good = labels.filter("quality = 1 AND coalesce(toxic, 0) = 0").select(
-        F.col("doc_id").alias("__good")).distinct()
-    return docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("__good"), "left").select(
-        "doc_id", "text", F.col("__good").isNotNull().alias("__target"))
+def labelled_target(docs, labels, stage=None):
+    """`docs` with `__target`: whether labels call the document good and not toxic.
+
+    Texts do not move to meet their labels: they are stored once with row numbers, ids alone are
+    joined, and the rows found come back as bitmaps, a bit a document, which are broadcast.
+    """
+    stage = stage or Stage(docs.sparkSession, "lm")
+    docs, row = numbered(stage, docs.select("doc_id", "text"))
+    good = labels.filter("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id").distinct()
+    place = F.col(row) + 1              # bitmaps count from 1
+    bits = docs.select("doc_id", place.alias("place")).join(good, "doc_id", "left_semi").groupBy(
+        F.bitmap_bucket_number("place").alias("__bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("__bits"))
+    at = F.bitmap_bit_position(place).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    set_ = F.getbit(byte, F.pmod(at, F.lit(8))) == 1
+    return docs.join(F.broadcast(bits), F.bitmap_bucket_number(place) == F.col("__bucket"), "left").select(
+        "doc_id", "text", F.coalesce(set_, F.lit(False)).alias("__target"))
