@@ -19,7 +19,7 @@ SIZE = 2048
 #: Pieces per partition.  More waste less (each partition leaves a few open sequences).
 SHARE = 20_000
 _TOKENIZERS, _CHUNKS, _WORD_ENDS = {}, {}, {}
-_CHUNK = re.compile(r"[^ \t\n\r]+")
+_BLANK = re.compile(r"[\t\n\r]")
 _WORDS = re.compile(r"[A-Za-z]+|[0-9]|[^A-Za-z0-9]+")
 
 
@@ -42,15 +42,21 @@ def token_bytes(tok, texts, known, limit=500_000):
     """
     if len(known) > limit:
         known.clear()
-    cut = [_CHUNK.findall(t or "") for t in texts]
-    new = list(set().union(*cut).difference(known))
+    known[""] = b""                                    # between two blanks
+    cut = [_BLANK.sub(" ", t).split(" ") if t else [] for t in texts]
+    held = [list(map(known.get, chunks)) for chunks in cut]
+    gaps = [[i for i, ids in enumerate(row) if ids is None] for row in held]
+    new = list({chunks[i] for chunks, gap in zip(cut, gaps, strict=True) for i in gap})
     plain = [c for c in new if c.isalpha() or c.isascii() and c.isprintable() and "'" not in c and "<" not in c]
     if (found := plain_bytes(tok, plain)) is not None:
         known.update(zip(plain, found, strict=True))
         new = [c for c in new if c not in known]
     for chunk, found in zip(new, tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
         known[chunk] = np.array(found.ids, "<u4").tobytes()
-    return [b"".join(map(known.__getitem__, chunks)) for chunks in cut]
+    for row, chunks, gap in zip(held, cut, gaps, strict=True):
+        for i in gap:
+            row[i] = known[chunks[i]]
+    return [b"".join(row) for row in held]
 
 
 def plain_bytes(tok, chunks):
@@ -105,8 +111,7 @@ def tokenise(spark, docs, vocabulary, end_id=0, size=SIZE, with_ids=False):
     ids = ", ids array<int>" if with_ids else ""
     return map_batches(
         with_row(docs.select("doc_id", "text")).select("doc_id", "row", "text"), run,
-        f"doc_id {kind}, row bigint, piece int, start bigint, length bigint, ids_crc32 bigint{ids}",
-        chunk=256)
+        f"doc_id {kind}, row bigint, piece int, start bigint, length bigint, ids_crc32 bigint{ids}")
 
 
 class Packer:
