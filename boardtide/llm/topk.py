@@ -14,7 +14,10 @@ from boardtide.llm.common import Stage, with_row
 
 BLOCK = 4096        # candidates per set of lists
 QUERIES = 4096      # queries sent to the tasks at a time: the bound of what is broadcast
-STEP = 64           # entries read from each list before the bounds are looked at
+TOGETHER = 512      # queries that read the lists of a block together: bounds the matrices held
+STEP = 64           # entries read from each list before the bounds are first looked at
+FEW = 16            # reading stops when no more than 1 / FEW of the candidates are left
+NO_FLOOR = -2 ** 62
 
 
 def integers(vectors, scale=256):
@@ -30,37 +33,53 @@ def integers(vectors, scale=256):
 def no_random_access(lists, q, k, floor):
     """Numbers of the candidates that may be among the best k, given that a score must be at
     least `floor`.  `lists` are (order, values): per dimension ascending."""
+    return next(read_in_step(lists, np.asarray(q)[None, :], k, np.array([floor], np.int64)))[1]
+
+
+def read_in_step(lists, queries, k, floors):
+    """(number of the query, `no_random_access` of it) for all `queries`, a row each.
+
+    All of them read the same lists to the same depths, from one end where the query is positive
+    and from the other where it is negative, so that the bounds of all candidates are products of
+    matrices.  A query leaves as soon as few candidates are left to it.
+    """
     order, values = lists
     dims, n = order.shape
-    used = np.flatnonzero(q)
-    if not len(used) or n <= k:
-        return np.arange(n)
-    far = np.where(q > 0, values[:, 0], values[:, -1]) * q
-    low, seen_near = np.full(n, far[used].sum(), np.int64), np.zeros(n, np.int64)
-    unread = np.zeros(n, np.int64)       # per candidate: sum over read lists of their present end
-    read = np.zeros((dims, n), bool)
-    at = 0
-    while at < n:
-        stop = min(n, at + STEP)
-        end = 0
-        near = np.zeros(dims, np.int64)
-        for d in used:
-            part = slice(at, stop) if q[d] < 0 else slice(n - stop, n - at)
-            who, score = order[d, part], values[d, part] * q[d]
-            low[who] += score - far[d]
-            seen_near[who] += score
-            read[d, who] = True
-            near[d] = values[d, stop - 1 if q[d] < 0 else n - stop] * q[d]
-            end += near[d]
-        at = stop
-        best = max(np.partition(low, n - k)[n - k], floor)
-        if end >= best and at < n:
-            continue                     # a candidate never met could still qualify
-        unread = near @ read             # what the read lists no longer add
-        alive = np.flatnonzero(seen_near + end - unread >= best)
-        if len(alive) <= max(4 * k, n - at) or at == n:
-            return alive
-    return np.arange(n)
+    if n <= k:
+        yield from ((i, np.arange(n)) for i in range(len(queries)))
+        return
+    # as floats the products are those of a fast library, and exact below 2 ** 53
+    size = dims * np.abs(values.astype(float)).max(initial=0) * np.abs(queries.astype(float)).max(initial=0)
+    kind = float if size < 2 ** 50 else np.int64
+    x, place = np.empty((dims, n), kind), np.empty((dims, n), np.int32)
+    np.put_along_axis(x, order, values.astype(kind), axis=1)
+    np.put_along_axis(place, order, np.arange(n, dtype=np.int32)[None, :], axis=1)
+    up, down = np.maximum(queries, 0).astype(kind), np.minimum(queries, 0).astype(kind)
+    todo, best = np.arange(len(queries)), floors.astype(np.int64)
+    for stop in depths(n):
+        high, low = place >= n - stop, place < stop                 # what was read
+        if (floors[todo] <= NO_FLOOR).any():        # a floor from earlier blocks is mostly better
+            least = up[todo] @ np.where(high, x, values[:, :1]) + down[todo] @ np.where(low, x, values[:, -1:])
+            best[todo] = np.maximum(best[todo], np.partition(least, n - k, axis=1)[:, n - k].astype(np.int64))
+            del least
+        most = (up[todo] @ np.where(high, x, values[:, n - stop, None])
+                + down[todo] @ np.where(low, x, values[:, stop - 1, None]))
+        alive = most >= best[todo, None]
+        ends = alive.sum(axis=1) <= (n if stop == n else max(4 * k, n // FEW))
+        for i in np.flatnonzero(ends):
+            yield int(todo[i]), np.flatnonzero(alive[i])
+        todo = todo[~ends]
+        if not len(todo):
+            return
+
+
+def depths(n):
+    """How many entries of each list of n were read when the bounds are looked at."""
+    out, at = [], STEP
+    while at < n // 2:
+        out.append(at)
+        at *= 4
+    return [*out, *sorted({-(-n // 2), -(-3 * n // 4), n})]
 
 
 def _search(shared, k, block):
@@ -68,31 +87,34 @@ def _search(shared, k, block):
         queries = shared.value
         # scores reached so far in this task: a bound for the blocks that follow
         tops = {i: [] for i in range(len(queries))}
-        held = []
+        asked, held = {}, []
+        for j, (_, _, q) in enumerate(queries):
+            asked.setdefault(len(q), []).append(j)
 
         def flush():
             rows = np.array([h[0] for h in held], np.int64)
             ids = [h[1] for h in held]
-            widths = {len(h[2]) for h in held}
-            for width in widths:
+            for width in {len(h[2]) for h in held} & set(asked):
                 pick = np.array([i for i, h in enumerate(held) if len(h[2]) == width])
                 x = np.array([held[i][2] for i in pick], np.int64).reshape(len(pick), width)
                 order = np.argsort(x, axis=0, kind="stable").T
                 values = np.take_along_axis(x.T, order, axis=1)
-                for j, (row, _, q) in enumerate(queries):
-                    if len(q) != width:
-                        continue
-                    best = tops[j]
-                    floor = best[k - 1][0] if len(best) >= k else -2 ** 62
+                for at in range(0, len(asked[width]), TOGETHER):
+                    mine = asked[width][at:at + TOGETHER]
+                    floors = np.array([
+                        tops[j][k - 1][0] if len(tops[j]) >= k else NO_FLOOR for j in mine], np.int64)
+                    qs = np.array([queries[j][2] for j in mine], np.int64).reshape(len(mine), width)
                     # one more than k: the query's own row may be among them
-                    alive = no_random_access((order, values), q, k + 1, floor)
-                    scores = x[alive] @ q
-                    top = alive[np.lexsort((rows[pick[alive]], -scores))]
-                    found = [(int(x[i] @ q), ids[pick[i]], int(rows[pick[i]])) for i in alive[
-                        scores >= max(floor, -2 ** 62)] if rows[pick[i]] != row] if len(top) else []
-                    merged = best + found
-                    merged.sort(key=lambda f: (-f[0], f[1] is not None, f[1] or 0, f[2]))
-                    tops[j] = merged[:k]
+                    for i, alive in read_in_step((order, values), qs, k + 1, floors):
+                        j = mine[i]
+                        scores = x[alive] @ qs[i]
+                        good = (scores >= floors[i]) & (rows[pick[alive]] != queries[j][0])
+                        merged = tops[j] + [
+                            (s, ids[p], r) for s, p, r in zip(
+                                scores[good].tolist(), pick[alive[good]].tolist(),
+                                rows[pick[alive[good]]].tolist(), strict=True)]
+                        merged.sort(key=lambda f: (-f[0], f[1] is not None, f[1] or 0, f[2]))
+                        tops[j] = merged[:k]
             held.clear()
 
         for batch in batches:

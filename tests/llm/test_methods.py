@@ -136,6 +136,23 @@ def test_no_random_access_keeps_the_best():
             assert (scores[alive] >= floor).sum() >= min(5, n)
 
 
+def test_queries_read_the_lists_together():
+    rng = np.random.default_rng(8)
+    for scale in (50, 2 ** 27):                        # the second is not exact in floats
+        x = np.floor(rng.normal(size=(900, 8)) * scale).astype(np.int64)
+        order = np.argsort(x, axis=0, kind="stable").T
+        lists = order, np.take_along_axis(x.T, order, axis=1)
+        queries = np.concatenate([x[:40], np.zeros((1, 8), np.int64), -x[40:60]])
+        scores = queries @ x.T
+        least = np.sort(scores, axis=1)[:, -5]
+        for floors in (np.full(61, topk.NO_FLOOR), least, np.where(np.arange(61) % 2, least, topk.NO_FLOOR)):
+            met = dict(topk.read_in_step(lists, queries, 5, floors))
+            assert sorted(met) == list(range(61))
+            for i, alive in met.items():
+                assert set(np.flatnonzero(scores[i] >= least[i])) <= set(alive.tolist())
+            assert np.mean([len(met[i]) for i in range(61) if i != 40]) < 450
+
+
 def test_compact_windows_hold_every_run_once():
     values = np.random.default_rng(6).integers(0, 40, 30).astype(np.uint64)
     found = compact_windows.windows(values, 5)
@@ -170,3 +187,23 @@ def test_chunks_have_the_ids_of_the_text():
         got = packing.token_bytes(tok, texts, known, size)
         assert [np.frombuffer(g, "<u4").tolist() for g in got] == [
             tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_known_chunks_are_looked_up_once():
+    from tokenizers import Tokenizer
+
+    class Known(dict):
+        again = 0
+
+        def __getitem__(self, chunk):
+            self.again += 1
+            return super().__getitem__(chunk)
+
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    known, texts = Known(), ["one two  two\n\tthree\r\n", "\n", "  four one\x0bfive ", None]
+    want = [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        known.again = 0
+        got = packing.token_bytes(tok, texts, known)
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == want
+    assert known.again == 0
