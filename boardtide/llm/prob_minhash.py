@@ -10,16 +10,14 @@ slot cannot change it, which ends the process.
 import hashlib
 
 import numpy as np
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
-from boardtide.llm.common import Stage, map_batches, numbered, rows_of, semi_by_row
+from boardtide.llm.common import Stage, located, map_batches, numbered, rows_of, semi_by_row, with_marks
 from boardtide.llm.components import components
 from boardtide.llm.shingles import mix, shingles_of_all, words_of
-from boardtide.session import broadcast_if_small
 
 SLOTS, ROWS = 384, 8       # 48 bands of 8: a pair of similarity 0.8 is missed once in 6,800
 SIMILAR = 0.8
-GROWTH = 8                  # first members a bucket is checked against: 1, 8, 64, ... by round
 
 
 def weighted(elements):
@@ -113,12 +111,10 @@ def near_groups(spark, docs, size=5, similar=SIMILAR, stage=None, row=None):
     null texts too.  Texts of fewer than `size` words are one shingle each; long ones are used
     whole.
 
-    In each round the members of a bucket are checked against some of them, which then leave: at
-    first against one, then against GROWTH times as many.  Only members already in one class are not
-    checked against each other.  Members of small classes are taken first, so that a bucket ends
-    when one class is left in it.  Pairs whose sizes rule out the similarity never meet their
-    shingles, which are only made of documents in a pair.  Tables of a round are removed when the
-    next one is stored.
+    The members of a bucket are first checked against its first one.  Where a bucket then still
+    holds members of several classes, all of these are checked that share one of their rarest
+    shingles, without which they cannot be similar (`candidates`).  Pairs whose sizes rule out the
+    similarity never meet their shingles, which are only made of documents in question.
     """
     stage = stage or Stage(spark, "near")
     own = row is None
@@ -127,60 +123,45 @@ def near_groups(spark, docs, size=5, similar=SIMILAR, stage=None, row=None):
     texts = rows_of(docs, row, "text")
     all_rows = stage.keep(sketch(docs, size, row), "sketch")
     first = stage.keep(all_rows.groupBy("digest").agg(F.min("row").alias("rep")), "first")
-    bucket = all_rows.select("row", "keys", "n_items", "n_further").join(
-        first.select(F.col("rep").alias("row")), "row", "left_semi").select(
-            "row", F.explode("keys").alias("key"), F.struct("n_items", "n_further").alias("sizes"))
-    bucket = bucket.withColumn("comp", F.col("row"))
-    checked, label, links_stage, step = None, None, None, 0
-    while True:
-        open_ = bucket.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter(
-            "a < b").select("key")
-        live = stage.keep(bucket.join(open_, "key", "left_semi"), f"live-{step}")
-        if step:
-            stage.drop(f"live-{step - 1}")
-            stage.drop(f"hubs-{step - 1}")
-        if live.isEmpty():
-            break
-        n = live.groupBy("key", "comp").agg(F.count("*").alias("n"))
-        live = live.join(n, ["key", "comp"]).withColumn(
-            "sub", F.pmod(F.xxhash64("row"), F.lit(min(GROWTH ** step, 2 ** 40))))
-        hubs = stage.keep(live.groupBy("key", "sub").agg(
-            F.min(F.struct("n", "row", "comp", "sizes")).alias("hub")).select(
-                "key", "sub", F.col("hub.row").alias("hub"), F.col("hub.comp").alias("hub_comp"),
-                F.col("hub.sizes").alias("hub_sizes")), f"hubs-{step}")
-        pairs = live.select("key", "row", "comp", "sizes").join(hubs.drop("sub"), "key").filter(
-            "comp <> hub_comp").filter(sizes_allow(F.col("sizes"), F.col("hub_sizes"), similar)).select(
-                F.greatest("row", "hub").alias("row"), F.least("row", "hub").alias("hub")).distinct()
-        if checked is not None:
-            pairs = pairs.join(checked.select("row", "hub"), ["row", "hub"], "left_anti")
-        pairs = stage.keep(pairs, f"pairs-{step}")
-        asked = stage.keep(pairs.select("row").union(pairs.select("hub")).distinct(), f"asked-{step}")
-        sets = stage.keep(shingle_sets(texts.join(
-            broadcast_if_small(asked), "row", "left_semi"), size), f"sets-{step}")
-        new = stage.keep(verify(pairs, sets, similar), f"checked-{step}")
-        for name in ("pairs", "asked", "sets"):
-            stage.drop(f"{name}-{step}")
-        checked = new if checked is None else checked.union(new)
-        bucket = live.select("row", "key", "sub", "sizes").join(
-            hubs.select("key", "sub", "hub"), ["key", "sub"]).filter("row <> hub").select("row", "key", "sizes")
-        if step == 0 or not new.filter("ok").isEmpty():
-            before, links_stage = links_stage, Stage(spark, f"near-links-{step}")
-            label = components(links_stage, checked.filter("ok").select(
-                F.col("row").alias("a"), F.col("hub").alias("b")))
-            if before:
-                before.drop()
-        bucket = bucket.join(label, bucket.row == label.node, "left").select(
-            "row", "key", "sizes", F.coalesce("label", "row").alias("comp"))
-        step += 1
-    out = all_rows.select("row", "doc_id", "digest").join(first, "digest")
-    if label is not None:
-        out = out.join(label, out.rep == label.node, "left").withColumn(
-            "rep", F.coalesce("label", "rep"))
+    sizes = all_rows.select("row", F.struct("n_items", "n_further").alias("sizes"))
+
+    def sets_of(rows, name):
+        return stage.keep(shingle_sets(with_marks(texts, "row", rows, "asked").filter("asked").drop("asked"), size), name)
+
+    # rows of one key meet once; only those of shared buckets go on
+    bucket = Window.partitionBy("key")
+    live = stage.keep(with_marks(all_rows.select("row", "keys"), "row", first.select(F.col("rep").alias("row")), "is_rep").filter(
+        "is_rep").select("row", F.explode("keys").alias("key")).withColumn("hub", F.min("row").over(bucket)).withColumn(
+            "last", F.max("row").over(bucket)).filter("hub < last").drop("last"), "live")
+    pairs = live.filter("row <> hub").select("row", "hub").distinct()
+    pairs = stage.keep(pairs.join(sizes, "row").join(
+        sizes.select(F.col("row").alias("hub"), F.col("sizes").alias("hub_sizes")), "hub").filter(
+            sizes_allow(F.col("sizes"), F.col("hub_sizes"), similar)).select("row", "hub"), "pairs-0")
+    links = stage.keep(verify(pairs, sets_of(pairs.select("row").union(pairs.select("hub")), "sets-0"), similar).filter(
+        "ok").select(F.col("row").alias("a"), F.col("hub").alias("b")), "links-0")
+    stage.drop("sets-0")
+    label_stage = Stage(spark, "near-links-0")
+    label = components(label_stage, links)
+    rest = live.select("key", "row").join(label, live.row == label.node, "left").select(
+        "key", "row", F.coalesce("label", "row").alias("comp"))
+    rest = stage.keep(rest.withColumn("least", F.min("comp").over(bucket)).withColumn(
+        "most", F.max("comp").over(bucket)).filter("least < most").groupBy("row", "comp").agg(
+            F.collect_list("key").alias("keys")), "rest")
+    if not rest.isEmpty():
+        sets = sets_of(rest, "sets-1")
+        pairs = stage.keep(candidates(stage, rest, sets, similar), "pairs-1")
+        more = verify(pairs, sets, similar).filter("ok").select(F.col("row").alias("a"), F.col("hub").alias("b"))
+        more = stage.keep(links.union(more), "links-1")
+        label_stage.drop()
+        label_stage = Stage(spark, "near-links-1")
+        label = components(label_stage, more)
+    out = all_rows.select("row", "doc_id", "digest").join(first, "digest").join(
+        label, F.col("rep") == label.node, "left").withColumn("rep", F.coalesce("label", "rep"))
     out = stage.keep(out.select("row", "doc_id", "rep"), "classes")
-    for name in ["sketch", "first", *["numbered"] * own, *[f"checked-{i}" for i in range(step)]]:
+    for name in ["sketch", "first", "live", "rest", *["numbered"] * own, "prefixes",
+                 *[f"{x}-{i}" for x in ("pairs", "links") for i in (0, 1)], "sets-1"]:
         stage.drop(name)
-    if links_stage:
-        links_stage.drop()
+    label_stage.drop()
     classes = out.groupBy("rep").agg(
         F.max(F.when(F.col("row") == F.col("rep"), F.col("doc_id"))).alias("class_id"),
         F.count("*").alias("group_size"))
@@ -188,6 +169,40 @@ def near_groups(spark, docs, size=5, similar=SIMILAR, stage=None, row=None):
         "doc_id", "class_id", "group_size", (F.col("row") == F.col("rep")).alias("kept"), "row")
 
 
+def candidates(stage, rest, sets, similar):
+    """Pairs (row, hub) of `rest` (row, comp, keys) that share a key, are of different comps, and
+    whose `sets` (row, items, further) can be similar.
+
+    Of two sets of n and m elements that are similar, at least similar * (n + m) / (1 + similar) are
+    common.  With elements in one order for all sets, the rarest first, the first common one has so
+    many from it on in both sets.  So only the rarest shingles of a document are joined, and those
+    that lie too far back in either set for the sizes of the two are left out: no pair is lost.
+    Weighted sets count only where both documents have further elements; else the similarity of the
+    weighted sets is not above that of the plain ones.
+    """
+    kinds = F.array(F.struct(F.lit(0).alias("kind"), F.col("items").alias("all")),
+                    F.struct(F.lit(1).alias("kind"), F.concat("items", "further").alias("all")))
+    held = sets.select("row", F.explode(F.when(F.size("further") > 0, kinds).otherwise(F.slice(kinds, 1, 1))).alias("s")).select(
+        "row", "s.kind", F.size("s.all").alias("n"), F.explode("s.all").alias("item"))
+    common = held.groupBy("kind", "item").agg(F.count("*").alias("df")).filter("df > 1")
+    # elements of one document only come first and never meet
+    own = Window.partitionBy("row", "kind")
+    least = lambda n, m: similar / (1 + similar) * (n + m) - 1e-6
+    prefixes = stage.keep(held.join(common, ["kind", "item"]).withColumn(
+        "at", F.row_number().over(own.orderBy("df", "item")) - 1 + F.col("n") - F.count("*").over(own)).filter(
+            F.col("n") - F.col("at") >= similar * F.col("n") - 1e-6).select("row", "kind", "n", "item", "at").join(
+                rest, "row"), "prefixes")
+    a, b = prefixes.alias("a"), prefixes.alias("b")
+    c = lambda name: F.col(name)
+    # of two documents the smaller one: the bound for its own size is the lowest it can meet
+    b = b.filter(c("n") - c("at") >= least(c("n"), c("n")))
+    return a.join(b, (c("a.kind") == c("b.kind")) & (c("a.item") == c("b.item")) & (c("a.comp") != c("b.comp")) & (
+        F.struct("b.n", "b.row") < F.struct("a.n", "a.row")) & (
+        c("a.n") - c("a.at") >= least(c("a.n"), c("b.n"))) & (c("b.n") - c("b.at") >= least(c("a.n"), c("b.n"))) & (
+        F.arrays_overlap("a.keys", "b.keys"))).select(
+            F.greatest("a.row", "b.row").alias("row"), F.least("a.row", "b.row").alias("hub")).distinct()
+
+
 def sizes_allow(a, b, similar):
     """Whether sets of these sizes can be similar: the smaller is no less than that part of the larger."""
     enough = lambda x, y: F.least(x, y) >= similar * F.greatest(x, y)
@@ -212,5 +227,5 @@ def verify(pairs, sets, similar):
 def drop_near(spark, docs):
     """`docs` (a stored table) with one document of each near-duplicate class."""
     stage = Stage(spark, "near")
-    docs, row = numbered(stage, docs)
+    docs, row = located(stage, docs)
     return semi_by_row(docs, row, near_groups(spark, docs, stage=stage, row=row).filter("kept"))

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from boardtide.llm import (
-    block_naming, bpe, compact_windows, crf, cross_entropy, mincut, packing, pii, prob_minhash, queries,
+    block_naming, bpe, common, compact_windows, crf, cross_entropy, mincut, packing, pii, prob_minhash, queries,
     topk)
 
 SF = "/root/testdata/sf0.001"
@@ -141,6 +141,73 @@ def test_near_groups_link_what_matches_the_first_with_what_does_not(spark, tmp_p
     assert got == {0: 0, 1: 0, 2: 0, 3: 3}
 
 
+def test_near_groups_check_few_pairs_of_a_bucket_of_unlike_members(spark, tmp_path, monkeypatch):
+    random = np.random.default_rng(1)
+    base, texts = [f"base{i}" for i in range(120)], []
+    for i in range(60):
+        words = list(base)
+        for at in random.choice(120, int(random.integers(1, 12)), replace=False):
+            words[at] = f"edit{random.integers(4)}"
+        texts.append(" ".join(words + ["again and again and so on"] * int(random.integers(0, 4))))
+    path = f"{tmp_path}/d"
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1).write.parquet(path)
+    # one bucket only
+    monkeypatch.setattr(prob_minhash, "bands", lambda held: np.ones(1, np.int64))
+    checked, check = [], prob_minhash.verify
+
+    def watch(pairs, sets, similar):
+        checked.extend(pairs.collect())
+        return check(pairs, sets, similar)
+
+    monkeypatch.setattr(prob_minhash, "verify", watch)
+    got = {r.doc_id: r.class_id for r in prob_minhash.near_groups(spark, spark.read.parquet(path)).collect()}
+    plain, full = [], []
+    for t in texts:
+        w = t.split()
+        items, _, further = prob_minhash.weighted(np.array([zlib.crc32(" ".join(w[i:i + 5]).encode())
+                                                            for i in range(len(w) - 4)], np.uint64))
+        plain.append(set(items.tolist()))
+        full.append(plain[-1] | set(further.tolist()))
+    like = lambda x, y: len(x & y) >= 0.8 * len(x | y)
+    top = list(range(60))
+    for a in range(60):
+        for b in range(a):
+            if like(plain[a], plain[b]) or like(full[a], full[b]):
+                top = [min(top[a], top[b]) if t in (top[a], top[b]) else t for t in top]
+    assert got == dict(enumerate(top)) and 1 < len(set(top)) < 59
+    assert len(checked) < 300           # 1,770 pairs meet in the bucket
+
+
+def test_located_rows_keep_their_numbers_and_texts_are_not_stored(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/d"
+    for i in range(3):
+        spark.createDataFrame([(f"text {i}", i, "x"), ("same", None, "y")], "text string, row int, path string").coalesce(
+            1).write.mode("append").parquet(path)
+    docs = spark.read.parquet(path)
+    stage = common.Stage(spark, "located")
+    one, row = common.located(stage, docs)
+    two, again = common.located(stage, docs)
+    place = lambda df, r: {(x["text"], x["row"], x[r]) for x in df.repartition(5).collect()}
+    assert row == again not in docs.columns and place(one, row) == place(two, again)
+    assert len({x[2] for x in place(one, row)}) == 6 and one.drop(row).columns == docs.columns
+    marks = one.filter("text = 'same'").select(F.col(row).alias("row"))
+    got = common.semi_by_row(one, row, marks)
+    assert got.columns == docs.columns and [r.text for r in got.collect()] == ["same"] * 3
+    assert common.semi_by_row(one, row, marks.limit(0)).count() == 0
+
+    kept, keep = [], common.Stage.keep
+    monkeypatch.setattr(common.Stage, "keep", lambda self, df, name, *a: kept.append(name) or keep(self, df, name, *a))
+    docs = docs.withColumnRenamed("row", "doc_id")
+    for drop in (block_naming.drop_copies, prob_minhash.drop_near):
+        # the word "text" and a digit are one shingle a document
+        assert sorted(r.text for r in drop(spark, docs).collect()) == ["same", "text 0", "text 1", "text 2"]
+    assert kept and "numbered" not in kept
+    # rows that are not read from files are stored with their numbers
+    rows = spark.createDataFrame([(1, "a b"), (2, "A  b"), (3, "c")], "doc_id bigint, text string")
+    assert sorted(r.text.lower() for r in prob_minhash.drop_near(spark, rows).collect())[1] == "c"
+    assert "numbered" in kept
+
+
 def luhn(d):
     s = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(d))]
     return sum(v - 9 if v > 9 else v for v in s) % 10 == 0
