@@ -12,7 +12,7 @@ result depends on the key being free of collisions.
 
 from pyspark.sql import functions as F
 
-from boardtide.llm.common import Stage, numbered, semi_by_row
+from boardtide.llm.common import Stage, located, numbered, semi_by_row
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLOCK = 4096
@@ -109,5 +109,5 @@ def exact_groups(spark, docs, size=BLOCK, key=F.xxhash64, stage=None, row=None):
 def drop_copies(spark, docs, size=BLOCK):
     """`docs` (a stored table) without exact copies, all columns kept."""
     stage = Stage(spark, "blocks")
-    docs, row = numbered(stage, docs)
+    docs, row = located(stage, docs)
     return semi_by_row(docs, row, exact_groups(spark, docs, size, stage=stage, row=row).filter("kept"))

@@ -12,7 +12,7 @@ from itertools import pairwise
 import numpy as np
 from pyspark.sql import functions as F
 
-from boardtide.llm.common import Stage, map_batches, numbered, rows_of, semi_by_row
+from boardtide.llm.common import Stage, located, map_batches, rows_of, semi_by_row
 
 #: Labelled rows the field is fitted on at most: those with the smallest hash of their id.
 FIT_ROWS = 3_000
@@ -175,6 +175,6 @@ def scores(spark, docs, field, row=None):
 
 def keep_good(spark, docs, labels, threshold=THRESHOLD):
     """`docs` (a stored table) without the documents that score below `threshold`."""
-    docs, row = numbered(Stage(spark, "quality"), docs)
+    docs, row = located(Stage(spark, "quality"), docs)
     return semi_by_row(docs, row, scores(
         spark, docs, train(docs, labels), row).filter(F.col("score") >= threshold))

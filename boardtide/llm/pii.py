@@ -11,7 +11,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from boardtide.llm.common import Stage, free_name, numbered, rows_of
+from boardtide.llm.common import Stage, free_name, located, rows_of
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 _LOCAL = "A-Za-z0-9._%+-"
@@ -225,7 +225,7 @@ def redact(spark, docs):
     """`docs` (a stored table) with every span in `text` replaced by its kind in brackets, and
     `n_chars`, where there is one, brought up to date.  A null text stays null."""
     columns, stage, held = docs.columns, Stage(spark, "pii"), free_name(docs, "__spans")
-    docs, row = numbered(stage, docs)
+    docs, row = located(stage, docs)
     spans = find_spans(spark, docs, stage, row).select(F.col("row").alias(row), F.array_sort(F.transform(
         "all", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
                                   s["kind"].alias("kind")))).alias(held)).filter(F.size(held) > 0)
