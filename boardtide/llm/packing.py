@@ -105,7 +105,7 @@ def tokenise(spark, docs, vocabulary, end_id=0, size=SIZE, with_ids=False):
                 for name, value in zip(out, found, strict=False):
                     out[name].append(value)
                 if with_ids:
-                    out["ids"].append(cut.tolist())
+                    out["ids"].append(cut.view("<i4"))
         return out
 
     ids = ", ids array<int>" if with_ids else ""
@@ -172,7 +172,14 @@ def pack(spark, pieces, size=SIZE, share=SHARE):
 
 
 def pack_documents(spark, docs, vocabulary, size=SIZE, with_ids=False):
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, row."""
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, row (and ids).
+
+    Only lengths are packed: a batch of 10,000 pieces with their ids would be 80 MB, several times
+    over in each task.  The ids meet their places by a join.
+    """
     pieces = Stage(spark, "pieces").keep(
         tokenise(spark, docs, vocabulary, size=size, with_ids=with_ids), "pieces")
-    return pack(spark, pieces, size)
+    if not with_ids:
+        return pack(spark, pieces, size)
+    placed = pack(spark, pieces.select("row", "piece", "length"), size).drop("length")
+    return pieces.join(placed, ["row", "piece"]).select(*pieces.columns, "sequence_id", "offset")

@@ -293,6 +293,18 @@ def test_packing(spark, docs):
         assert at <= 2048
 
 
+def test_packing_with_ids_packs_lengths_only(spark, docs, monkeypatch):
+    seen, plain = [], packing.pack
+    monkeypatch.setattr(packing, "pack", lambda spark, pieces, *a: seen.append(pieces.columns) or plain(spark, pieces, *a))
+    got = packing.pack_documents(spark, docs, VOCABULARY, with_ids=True).collect()
+    assert seen == [["row", "piece", "length"]]     # ids went through the packing tasks, 80 MB a batch
+    for r in got:
+        assert len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
+    names = ("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    bare = packing.pack_documents(spark, docs, VOCABULARY).collect()
+    assert Counter(tuple(r[n] for n in names) for r in got) == Counter(tuple(r[n] for n in names) for r in bare)
+
+
 def test_passages(spark, docs):
     got = {r.doc_id: r.spans for r in compact_windows.repeats(spark, docs).collect()}
     assert set(got) == {8, 10, 14}      # the first holder of a passage is not reported
