@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -312,6 +313,19 @@ def test_passages(spark, docs):
     assert (s.start, s.end, s.other_id, s.other_start) == (3, 63, 9, 3)
 
 
+def test_passages_leave_no_windows_behind(spark, tmp_path):
+    texts = [f"{i} " * (i + 1) + PASSAGE + f" end{i}" * i for i in range(12)]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(path)
+    stage = common.Stage(spark, "windows")
+    clean = spark.conf.get(stage.CLEAN, None)
+    got = compact_windows.find_passages(spark, spark.read.parquet(path), stage=stage).collect()
+    assert {r.doc_id for r in got} == set(range(1, 12))
+    left = {p.name.split("-")[0] for p in Path(stage.base.removeprefix("file://")).iterdir()}
+    assert left == {"classes", "found"}     # texts' shingles, windows, buckets and spans stayed
+    assert spark.conf.get(stage.CLEAN, None) == clean
+
+
 def spans_of(spark, path, texts):
     rows = list(enumerate(texts))
     spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(str(path))
