@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -362,6 +363,69 @@ def test_passages_that_go_on_after_a_common_one(spark, tmp_path):
     assert (1, 61, 0, 2) in got[1] and (1, 61, 0, 2) in got[2] and (0, 72, 2, 1) in got[3]
 
 
+def test_passages_that_go_on_after_a_common_one_and_another_word(spark, tmp_path):
+    more = " ".join(f"more{i}" for i in range(12))
+    got = spans_of(spark, tmp_path / "a", [
+        "a b " + PASSAGE + " c", "d " + PASSAGE + " e", "f " + PASSAGE + " this " + more, PASSAGE + " that " + more + " g",
+        more + " yes " + PASSAGE, "h " + more + " no " + PASSAGE])
+    # the word beside the common passage differs, the words behind it do not
+    assert (0, 60, 0, 2) in got[3] and (0, 73, 2, 1) in got[3] and (1, 74, 4, 0) in got[5]
+
+
+def test_every_exact_repeat_lies_in_a_passage(spark, tmp_path):
+    rng = random.Random(8)
+    line = [f"line{i}" for i in range(11)]
+    blocks = [[f"w{b}x{i}" for i in range(rng.choice([15, 35, 60, 90]))] for b in range(12)] + [line, line, ["the"] * 70]
+    texts = []
+    for d in range(60):
+        words = []
+        for b in range(rng.randint(1, 5)):
+            words += [f"own{d}x{b}x{i}" for i in range(rng.choice([0, 1, 20]))] + rng.choice(blocks)[rng.choice([0, 0, 7]):]
+        texts.append(words)
+    got = spans_of(spark, tmp_path / "a", [" ".join(x) for x in texts])
+    seen, missed, held = set(), [], 0
+    for d, words in enumerate(texts):
+        mine = [tuple(words[i:i + 50]) for i in range(len(words) - 49)]
+        inside = {i for start, end, *_ in got.get(d, []) for i in range(start, end)}
+        for i, passage in enumerate(mine):
+            held += passage in seen
+            missed += [(d, i)] * (passage in seen and not inside.issuperset(range(i, i + 50)))
+        seen.update(mine)
+    assert held > 500 and not missed
+
+
+def test_windows_are_those_of_the_tree():
+    def tree(values, left, right, narrow):
+        if right - left + 1 < narrow:
+            return []
+        at = left + int(values[left:right + 1].argmin())
+        return [(left, at, right)] + tree(values, left, at - 1, narrow) + tree(values, at + 1, right, narrow)
+
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        lens = rng.integers(0, 90, 4)
+        values = rng.integers(0, rng.choice([1, 2, 9, 2 ** 60]), lens.sum()).astype(np.uint64)
+        last, narrow = np.cumsum(lens) - 1, int(rng.integers(1, 20))
+        first = last - lens + 1
+        got = compact_windows.windows_of_all(values, first, last, narrow)
+        assert sorted(zip(*(x.tolist() for x in got))) == sorted(
+            w for a, b in zip(first.tolist(), last.tolist()) for w in tree(values, a, b, narrow))
+
+
+def test_shared_lines_alone_make_no_neighbours_seek_each_other():
+    line = [f"line{i}" for i in range(11)]
+    seeking = []
+    for d in range(2):
+        words = [f"own{d}x{i}" for i in range(60)] + line + [f"own{d}y{i}" for i in range(60)]
+        items = compact_windows.shingles(words, 5)
+        at = np.arange(60, 67)
+        key = np.arange(7)                      # as if every hash had its smallest shingle in the line
+        n, mixed, place, seeks = compact_windows.neighbours(
+            items, key, np.zeros(7, int), at, np.full(7, len(items) - 1), [], 46, 0.8, 4)
+        seeking.append((set(mixed[seeks].tolist()), set(mixed.tolist())))
+    assert seeking[0][1] & seeking[1][1] and not seeking[0][0] & seeking[1][1] and not seeking[1][0] & seeking[0][1]
+
+
 def test_passages_with_a_word_inserted_and_one_deleted(spark, tmp_path):
     words = PASSAGE.split()
     more, less = " ".join(words[:30] + ["new"] + words[30:]), " ".join(words[:30] + words[31:])
