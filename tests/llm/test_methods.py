@@ -6,10 +6,11 @@ import random
 import numpy as np
 import public_tokenizers
 import tiktoken
+import xxhash
 import base64
 
 from boardtide.llm import bpe, compact_windows, crf, mincut, packing, pii, prob_minhash, topk
-from boardtide.llm.shingles import shingles
+from boardtide.llm.shingles import shingles, word_hashes
 
 
 def test_perfect_hash_is_minimal_and_knows_strangers():
@@ -167,6 +168,26 @@ def test_short_texts_are_one_shingle():
     assert len(shingles(list("abcdef"))) == 2
 
 
+def test_windows_in_a_found_passage_are_not_swept(monkeypatch):
+    items, asked, sweep = np.arange(4000), [], compact_windows.agreeing
+
+    def counting(met, enough, narrow, some=slice(None)):
+        asked.append(len(met[some]))
+        return sweep(met, enough, narrow, some)
+
+    monkeypatch.setattr(compact_windows, "agreeing", counting)
+    at = np.repeat(np.arange(50, 3900, 10), 8)
+    met = np.column_stack([at, at - 50, at + 60, at, at - 50, at + 60, np.tile(np.arange(8), len(at) // 8)])
+    assert compact_windows.equal_passages(items, items, met, 46, 0.8, 4) == [(0, 3999, 0)]
+    assert sum(asked) < len(met) / 20
+
+
+def test_words_that_are_not_unicode_have_hashes():
+    words = ["a", "\ud800b", "c"]
+    assert word_hashes(words).tolist() == [
+        xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words] and not len(word_hashes([]))
+
+
 def test_reliabilities_tell_good_labelers():
     counts = {("secret", "1111"): 90, ("secret", "0000"): 100, ("secret", "0001"): 10, ("secret", "0111"): 20}
     post = pii.expectation_maximisation(counts)
